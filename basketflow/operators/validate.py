@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketflow import schemas
@@ -19,28 +19,48 @@ def fill_defaults(table: str, raw: DataFrame) -> DataFrame:
     return raw.fillna(defaults) if defaults else raw
 
 
-def first_broken_rule(table: str, strict: bool = False) -> Column:
-    kinds = dict(schemas.declared(table))
+def _typed(column: str) -> str:
+    return f"typed_{column}"
 
-    def typed(column: str) -> Column:
-        return as_declared(F.col(column), kinds[column], strict)
 
-    breaks = [F.when(typed(column).isNull(), column) for column in kinds]
+def first_broken_rule(table: str) -> Column:
+    breaks = [F.when(F.col(_typed(name)).isNull(), name) for name in schemas.columns(table)]
     for rule in schemas.ROW_RULES.get(table, []):
-        breaks.append(F.when(~rule.holds(typed(rule.column)), rule.name))
+        breaks.append(F.when(~rule.holds(F.col(_typed(rule.column))), rule.name))
     return F.coalesce(*breaks)
 
 
-def tag(table: str, raw: DataFrame, strict: bool = False) -> DataFrame:
-    """`raw` text rows with defaults filled and a `rule` column."""
+def rule_names(table: str) -> list[str]:
+    names = schemas.columns(table) + [rule.name for rule in schemas.ROW_RULES.get(table, [])]
+    return list(dict.fromkeys(names))
+
+
+def rule_counts(table: str) -> list[Column]:
+    """Kept rows, and rows per broken rule."""
+    broke = [F.count_if(F.col(RULE) == name).alias(name) for name in rule_names(table)]
+    return [F.count_if(F.col(RULE).isNull()).alias("kept"), *broke]
+
+
+def tag(
+    table: str, raw: DataFrame, strict: bool = False, observation: Observation | str | None = None
+) -> DataFrame:
+    """`raw` text rows with defaults filled, their typed values, and `rule`.
+
+    The rules are counted as rows pass by. That also keeps a later filter on
+    `rule` above this projection, so each cell is parsed once per row.
+    """
     filled = fill_defaults(table, raw.select(schemas.columns(table)))
-    return filled.withColumn(RULE, first_broken_rule(table, strict))
+    typed = filled.withColumns(
+        {_typed(name): as_declared(F.col(name), kind, strict) for name, kind in schemas.declared(table)}
+    )
+    tagged = typed.withColumn(RULE, first_broken_rule(table))
+    return tagged.observe(observation or f"clean_{table}", *rule_counts(table))
 
 
-def kept(table: str, tagged: DataFrame, strict: bool = False) -> DataFrame:
+def kept(table: str, tagged: DataFrame) -> DataFrame:
     """Rows that broke no rule, as their declared types."""
     return tagged.filter(F.col(RULE).isNull()).select(
-        *(as_declared(F.col(name), kind, strict).alias(name) for name, kind in schemas.declared(table))
+        *(F.col(_typed(name)).alias(name) for name in schemas.columns(table))
     )
 
 
@@ -54,18 +74,7 @@ def rejects(table: str, tagged: DataFrame) -> DataFrame:
 def clean(table: str, raw: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected) rows of one raw table."""
     tagged = tag(table, raw, strict)
-    return kept(table, tagged, strict), rejects(table, tagged)
-
-
-def rule_names(table: str) -> list[str]:
-    names = schemas.columns(table) + [rule.name for rule in schemas.ROW_RULES.get(table, [])]
-    return list(dict.fromkeys(names))
-
-
-def rule_counts(table: str) -> list[Column]:
-    """Aggregates over tagged rows: one count per rule, to observe in passing."""
-    broke = [F.count_if(F.col(RULE) == name).alias(name) for name in rule_names(table)]
-    return [F.count_if(F.col(RULE).isNull()).alias("_kept"), *broke]
+    return kept(table, tagged), rejects(table, tagged)
 
 
 def quality_report(rejected: dict[str, DataFrame], orphaned: dict[str, DataFrame]) -> DataFrame:

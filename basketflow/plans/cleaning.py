@@ -14,19 +14,20 @@ from basketflow.sources.zones import Zones
 def load_table(
     raw: DataFrame, zones: Zones, table: str, load: int = 0, replace: bool = True, strict: bool = False
 ) -> dict[str, int]:
-    """Write one load of a table; returns rows per broken rule, and `_kept`.
+    """Write one load of a table; returns rows kept, and rows per broken rule.
 
     The rows are counted while the kept ones are written, so the raw files are
     read again only if there are rejects to write.
     """
-    tagged = validate.tag(table, raw, strict)
     seen = Observation(f"clean_{table}")
-    observed = tagged.observe(seen, *validate.rule_counts(table))
-    writers.write_clean(validate.kept(table, observed, strict), zones, table, load, replace)
-    counts = {name: n for name, n in seen.get.items() if n or name == "_kept"}
-    if len(counts) > 1 or replace:
-        bad = validate.rejects(table, tagged)
-        writers.write_rejects(bad if len(counts) > 1 else bad.limit(0), zones, table, load, replace)
+    tagged = validate.tag(table, raw, strict, seen)
+    writers.write_clean(validate.kept(table, tagged), zones, table, load, replace)
+    counts = {name: n for name, n in seen.get.items() if n or name == "kept"}
+    bad = validate.rejects(table, tagged)
+    if len(counts) > 1:
+        writers.write_rejects(bad, zones, table, load, replace)
+    elif replace:
+        writers.write_rejects(bad.limit(0), zones, table, load, replace)
     return counts
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Joins are never hinted: Spark broadcasts a side only
 # when its size is under spark.sql.autoBroadcastJoinThreshold, and splits hot
@@ -45,3 +45,11 @@ def scratch(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         parent = tempfile.mkdtemp(prefix="basketflow-")
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the shared folder and read back: what follows starts
+    from the files, however often it is used and whichever executors are lost."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

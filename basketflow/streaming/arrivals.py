@@ -25,42 +25,42 @@ from basketflow.sources.readers import read_raw
 from basketflow.sources.zones import Zones
 
 FILES = "path string, modified bigint"
+# Bookmarks are numbered from 0; the listing being acted on stands before them.
+PENDING = -1
 
 
-def _missing(error: AnalysisException) -> bool:
-    return "PATH_NOT_FOUND" in str(error)
+def _read_bookmark(spark: SparkSession, zones: Zones, table: str, version: int) -> DataFrame:
+    return spark.read.schema(FILES).parquet(f"{zones.bookmark(table)}/version={version}")
+
+
+def _write_bookmark(files: DataFrame, zones: Zones, table: str, version: int) -> None:
+    files.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={version}")
 
 
 def _list_files(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
     """The raw files of a table, written down so that the listing stands still
-    while it is acted on. The content of the files is not read."""
+    while it is acted on. The content of the files is not read. A nameless
+    entry at time 0 marks a listing as made even if there are no files."""
+    listed = spark.range(1).select(F.lit("").alias("path"), F.lit(0).cast("bigint").alias("modified"))
     try:
         files = spark.read.format("binaryFile").load(zones.raw_table(table))
-        listed = files.select("path", F.unix_millis("modificationTime").alias("modified"))
+        listed = listed.union(files.select("path", F.unix_millis("modificationTime")))
     except AnalysisException as error:
-        if not _missing(error):
+        if "PATH_NOT_FOUND" not in str(error):
             raise
-        listed = spark.createDataFrame([], FILES)
-    pending = f"{zones.bookmark(table)}_pending"
-    listed.write.mode("overwrite").parquet(pending)
-    return spark.read.schema(FILES).parquet(pending)
+    _write_bookmark(listed, zones, table, PENDING)
+    return _read_bookmark(spark, zones, table, PENDING)
 
 
 def _last_version(spark: SparkSession, zones: Zones, table: str) -> int:
-    """Number of the newest bookmark, -1 if the table was never cleaned."""
-    try:
-        versions = spark.read.schema(f"{FILES}, version bigint").parquet(zones.bookmark(table))
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
-        return -1
-    newest = versions.agg(F.max("version")).first()[0]
-    return -1 if newest is None else newest
+    """Number of the newest bookmark, PENDING if the table was never cleaned."""
+    versions = spark.read.schema(f"{FILES}, version bigint").parquet(zones.bookmark(table))
+    return versions.agg(F.max("version")).first()[0]
 
 
 def _compare(now: DataFrame, then: DataFrame) -> Row:
     both = now.join(then.withColumnRenamed("modified", "was"), "path", "full")
-    new = F.col("was").isNull()
+    new = F.col("was").isNull() & (F.col("path") != "")
     return both.agg(
         F.count_if(new).alias("added"),
         F.count_if(F.col("modified").isNull() | (F.col("modified") != F.col("was"))).alias("lost"),
@@ -82,22 +82,17 @@ def refresh_table(spark: SparkSession, zones: Zones, table: str, strict: bool =
     Retrying after a failure repeats the same load, since the bookmark moves
     last. The clean table must not be written by other jobs in between.
     """
-    version = _last_version(spark, zones, table)
     now = _list_files(spark, zones, table)
-    then = (
-        spark.read.schema(FILES).parquet(f"{zones.bookmark(table)}/version={version}")
-        if version >= 0
-        else spark.createDataFrame([], FILES)
-    )
+    version = _last_version(spark, zones, table)
+    known = version > PENDING
+    then = _read_bookmark(spark, zones, table, version) if known else now.limit(0)
     change = _compare(now, then)
-    if version >= 0 and not change.added and not change.lost:
+    if known and not change.added and not change.lost:
         return "none"
     # New files can be told from cleaned ones by time only if all are newer.
-    append = (
-        change.since is not None and not change.lost and change.oldest_added > change.since
-    )
+    append = known and not change.lost and change.oldest_added > change.since
     load = version + 1
-    if change.until is None:
+    if change.until == 0:
         empty_table(spark, zones, table)
     else:
         span = {"timeZone": "UTC", "modifiedBefore": _time(change.until + 1)}
@@ -105,7 +100,7 @@ def refresh_table(spark: SparkSession, zones: Zones, table: str, strict: bool =
             span["modifiedAfter"] = _time(change.since)
         raw = read_raw(spark, zones, table, **span)
         load_table(raw, zones, table, load=load, replace=not append, strict=strict)
-    now.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={load}")
+    _write_bookmark(now, zones, table, load)
     return "append" if append else "rebuild"
 
 

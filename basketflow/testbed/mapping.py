@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow import schemas
+from basketflow.session import scratch
 
 PRODUCTS, AISLES, DEPARTMENTS = 50, 10, 5
 
@@ -100,13 +101,27 @@ BUILD = {
 }
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in BUILD.items()}
+    """The basket tables as Parquet, which is how the operators find them in a
+    clean zone. They are written once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        root = scratch(spark, "basket")
+        for name, build in BUILD.items():
+            build(spark, sf_dir).write.parquet(f"{root}/{name}")
+        _stored[key] = root
+    return {
+        name: spark.read.schema(schemas.typed_schema(name)).parquet(f"{_stored[key]}/{name}")
+        for name in BUILD
+    }
 
 
 def dirty(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A basket table as raw text, with some rows spoilt by id."""
-    typed = BUILD[table](spark, sf_dir)
+    typed = tables(spark, sf_dir)[table]
     text = typed.select([F.col(name).cast("string") for name in schemas.columns(table)])
 
     def spoil(key: str, modulus: int, changes: dict[str, dict[int, str | None]]) -> DataFrame:

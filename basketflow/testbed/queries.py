@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from basketflow.operators import (
 )
 from basketflow.plans import recommend
 from basketflow.plans.runner import run_all
-from basketflow.session import scratch, tune
+from basketflow.session import scratch, stored, tune
 from basketflow.sources import catalog, readers
 from basketflow.sources.readers import CSV
 from basketflow.sources.zones import Zones
@@ -43,48 +44,53 @@ class Basket:
         self.order_products = self.tables["order_products"]
         self.products = self.tables["products"]
 
-    @property
+    @cached_property
     def prior(self) -> DataFrame:
         return purchases.prior_lines(self.order_products, self.orders)
 
-    @property
+    @cached_property
     def pairs(self) -> DataFrame:
         return purchases.pair_totals(self.prior)
 
-    @property
+    def keep_pairs(self) -> "Basket":
+        """Store the pair totals, for queries that roll them up several ways."""
+        self.pairs = stored(self.pairs, "pair-totals")
+        return self
+
+    @cached_property
     def up_features(self) -> DataFrame:
         return purchases.user_product_features(self.pairs)
 
-    @property
+    @cached_property
     def user_features(self) -> DataFrame:
         return purchases.user_features(self.pairs)
 
-    @property
+    @cached_property
     def product_features(self) -> DataFrame:
         return purchases.product_features(self.pairs, self.prior)
 
-    @property
+    @cached_property
     def targets(self) -> DataFrame:
         return mlset.target_orders(self.orders)
 
-    @property
+    @cached_property
     def labels(self) -> DataFrame:
         return mlset.labels(self.targets, self.order_products)
 
-    @property
+    @cached_property
     def target_users(self) -> DataFrame:
         return mlset.target_users(self.user_features, self.targets)
 
-    @property
+    @cached_property
     def with_up(self) -> DataFrame:
         return mlset.attach_up(self.labels, self.up_features)
 
-    @property
+    @cached_property
     def with_user(self) -> DataFrame:
         """Compact: `copies` holds how often each row stands."""
         return mlset.attach_user(self.with_up.withColumn("copies", F.lit(1)), self.target_users)
 
-    @property
+    @cached_property
     def ml_set(self) -> DataFrame:
         return mlset.assemble(
             self.orders,
@@ -98,7 +104,7 @@ class Basket:
     def split(self, eval_set: str) -> DataFrame:
         return repeat_rows(mlset.split(self.ml_set, eval_set))
 
-    @property
+    @cached_property
     def predictions(self) -> DataFrame:
         return mapping.predictions(mlset.split(self.labels, "test"))
 
@@ -107,6 +113,10 @@ def over_basket(build: Callable[[Basket], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Basket(tune(spark), sf_dir))
 
 
+def over_pairs(build: Callable[[Basket], DataFrame]) -> Query:
+    return over_basket(lambda basket: build(basket.keep_pairs()))
+
+
 def dirty_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {table: mapping.dirty(spark, sf_dir, table) for table in schemas.DECLARED}
 
@@ -252,15 +262,15 @@ QUERIES: dict[str, Query] = {
     "ml_attach_product": over_basket(
         lambda b: mlset.attach_product(b.labels.select("product_id", "order_id"), b.product_features)
     ),
-    "ml_attach_user": over_basket(lambda b: repeat_rows(b.with_user)),
-    "ml_cross_features": over_basket(lambda b: repeat_rows(mlset.cross_features(b.with_user))),
-    "ml_training_data": over_basket(lambda b: b.split("train")),
-    "ml_test_data": over_basket(lambda b: b.split("test")),
-    "labels_with_features": over_basket(
+    "ml_attach_user": over_pairs(lambda b: repeat_rows(b.with_user)),
+    "ml_cross_features": over_pairs(lambda b: repeat_rows(mlset.cross_features(b.with_user))),
+    "ml_training_data": over_pairs(lambda b: b.split("train")),
+    "ml_test_data": over_pairs(lambda b: b.split("test")),
+    "labels_with_features": over_pairs(
         lambda b: repeat_rows(mlset.labels_with_features(b.labels, b.ml_set))
     ),
     "jobs_training_data": jobs_training_data,
-    "train_and_score": over_basket(train_and_score),
+    "train_and_score": over_pairs(train_and_score),
     "top3_all_users": over_basket(lambda b: serve.top_k(b.predictions)),
     "top3_one_user": over_basket(lambda b: serve.lookup(b.predictions, ONE_USER)),
     "predictions_upsert": over_basket(predictions_upsert),
