@@ -83,22 +83,21 @@ def product_side(products: DataFrame, product_features: DataFrame) -> DataFrame:
 def assemble(
     orders: DataFrame,
     order_products: DataFrame,
-    products: DataFrame,
     up_features: DataFrame,
-    user_features: DataFrame,
-    product_features: DataFrame,
+    users: DataFrame,
+    product_side: DataFrame,
 ) -> DataFrame:
     """The ML set in compact form: distinct rows with `copies`.
 
-    A product listed n times in an order yields each of its rows n times.
+    A product listed n times in an order yields each of its rows n times. The
+    sides joined to the labels should be stored tables: Spark then knows their
+    sizes, broadcasts those that are small, and splits the labels' hot users
+    and products when they are not.
     """
-    targets = target_orders(orders)
-    rows = distinct_labels(labels(targets, order_products))
-    rows = attach_up(rows, up_features)
-    rows = attach_user(rows, target_users(user_features, targets))
+    rows = distinct_labels(labels(target_orders(orders), order_products))
+    rows = attach_user(attach_up(rows, up_features), users)
     rows = cross_features(rows).withColumn("copies", F.col("copies") * F.col("listed"))
-    rows = rows.join(product_side(products, product_features), "product_id")
-    return rows.select(*schemas.ML_COLUMNS, "copies")
+    return rows.join(product_side, "product_id").select(*schemas.ML_COLUMNS, "copies")
 
 
 def split(ml_set: DataFrame, eval_set: str) -> DataFrame:

@@ -49,7 +49,8 @@ def tag(
     The rules are counted as rows pass by. That also keeps a later filter on
     `rule` above this projection, so each cell is parsed once per row.
     """
-    filled = fill_defaults(table, raw.select(schemas.columns(table)))
+    text = raw.select([F.col(name).cast("string") for name in schemas.columns(table)])
+    filled = fill_defaults(table, text)
     typed = filled.withColumns(
         {_typed(name): as_declared(F.col(name), kind, strict) for name, kind in schemas.declared(table)}
     )

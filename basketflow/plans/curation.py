@@ -2,7 +2,8 @@
 
 Purchase history and the pair totals are each written once and read back, so
 no later write repeats the join or the big aggregation, and a lost executor
-costs at most the step it was working on.
+costs at most the step it was working on. The two tables joined to the labels
+are written too: a join between plain scans is one whose hot keys Spark splits.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from basketflow.sources.zones import Zones
 
 HISTORY = "order_products_prior"
 TOTALS = "_pair_totals"
+USERS = "_target_users"
+NAMED = "_named_products"
 
 
 def write_features(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
@@ -37,13 +40,22 @@ def write_features(spark: SparkSession, zones: Zones, mode: str = "overwrite") -
 
 
 def write_ml_dataset(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
+    orders = readers.read_clean(spark, zones, "orders")
+    users = mlset.target_users(
+        readers.read_curated(spark, zones, "user_features"), mlset.target_orders(orders)
+    )
+    named = mlset.product_side(
+        readers.read_clean(spark, zones, "products"),
+        readers.read_curated(spark, zones, "product_features"),
+    )
+    writers.write_curated(users, zones, USERS)
+    writers.write_curated(named, zones, NAMED)
     compact = mlset.assemble(
-        readers.read_clean(spark, zones, "orders"),
+        orders,
         readers.read_clean(spark, zones, "order_products"),
-        readers.read_clean(spark, zones, "products"),
         readers.read_curated(spark, zones, "up_features"),
-        readers.read_curated(spark, zones, "user_features"),
-        readers.read_curated(spark, zones, "product_features"),
+        readers.read_curated(spark, zones, USERS),
+        readers.read_curated(spark, zones, NAMED),
     )
     writers.write_ml_split(compact, zones, mode)
 

@@ -11,19 +11,21 @@ from basketflow.sources.zones import Zones
 
 # Quotes inside a quoted cell are doubled. Lines are records, so files split.
 CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+# A file whose header differs from the table's fails instead of being misread.
+CHECKED = {**CSV, "enforceSchema": "false"}
 
 
 def read_raw(spark: SparkSession, zones: Zones, table: str, **options: str) -> DataFrame:
     """The raw table as text, columns by header name; blank cells are null."""
-    frame = spark.read.options(**CSV, **options).csv(zones.raw_table(table))
+    frame = spark.read.options(**CHECKED, **options).csv(zones.raw_table(table))
     return frame.select(schemas.columns(table))
 
 
 def stream_raw(spark: SparkSession, zones: Zones, table: str, **options: str) -> DataFrame:
-    """The raw table as a file stream. A file whose header disagrees fails."""
+    """The raw table as a file stream, columns in declared order."""
     return (
         spark.readStream.schema(schemas.text_schema(table))
-        .options(**CSV, enforceSchema="false", **options)
+        .options(**CHECKED, **options)
         .csv(zones.raw_table(table))
     )
 

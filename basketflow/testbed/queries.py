@@ -88,17 +88,18 @@ class Basket:
     @cached_property
     def with_user(self) -> DataFrame:
         """Compact: `copies` holds how often each row stands."""
-        return mlset.attach_user(self.with_up.withColumn("copies", F.lit(1)), self.target_users)
+        users = stored(self.target_users, "target-users")
+        return mlset.attach_user(self.with_up.withColumn("copies", F.lit(1)), users)
 
     @cached_property
     def ml_set(self) -> DataFrame:
+        named = mlset.product_side(self.products, self.product_features)
         return mlset.assemble(
             self.orders,
             self.order_products,
-            self.products,
             self.up_features,
-            self.user_features,
-            self.product_features,
+            stored(self.target_users, "target-users"),
+            stored(named, "named-products"),
         )
 
     def split(self, eval_set: str) -> DataFrame:
@@ -223,8 +224,8 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_and_score(basket: Basket) -> DataFrame:
-    model = recommend.train(basket.split("train"))
-    return recommend.score(model, basket.split("test"))
+    ml_set = stored(repeat_rows(basket.ml_set), "ml-set")
+    return recommend.score(recommend.train(mlset.split(ml_set, "train")), mlset.split(ml_set, "test"))
 
 
 def product_onehot(basket: Basket) -> DataFrame:
