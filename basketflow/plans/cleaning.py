@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from basketflow import schemas
 from basketflow.operators import orphans, validate
-from basketflow.session import tune
+from basketflow.session import size_shuffles, tune
 from basketflow.sources import readers, writers
 from basketflow.sources.zones import Zones
 
@@ -61,6 +61,7 @@ def quality_report(spark: SparkSession, zones: Zones) -> DataFrame:
 
 def clean_all(spark: SparkSession, zones: Zones, strict: bool = False) -> dict[str, dict[str, int]]:
     tune(spark)
+    size_shuffles(spark, *(zones.raw_table(table) for table in schemas.DECLARED))
     counts = {
         table: load_table(readers.read_raw(spark, zones, table), zones, table, strict=strict)
         for table in schemas.DECLARED

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from basketflow.operators import mlset, purchases
-from basketflow.session import tune
+from basketflow.session import size_shuffles, tune
 from basketflow.sources import readers, writers
 from basketflow.sources.zones import Zones
 
@@ -62,5 +62,6 @@ def write_ml_dataset(spark: SparkSession, zones: Zones, mode: str = "overwrite")
 
 def curate_all(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
     tune(spark)
+    size_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products"))
     write_features(spark, zones, mode)
     write_ml_dataset(spark, zones, mode)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.operators import serve
-from basketflow.session import tune
+from basketflow.session import scratch, tune
 from basketflow.sources import readers, writers
 from basketflow.sources.zones import Zones
 
@@ -25,7 +25,13 @@ def _numbers(ml_set: DataFrame) -> DataFrame:
     return ml_set.withColumns({name: F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in NUMERIC})
 
 
-def train(training: DataFrame, trees: bool = False) -> PipelineModel:
+def train(training: DataFrame, trees: bool = False, path: str | None = None) -> PipelineModel:
+    """A model of `reordered`, saved to `path` or the shared folder.
+
+    It is returned as loaded again: a freshly fitted model holds on to its
+    session, and cannot be sent to executors once that session has observed
+    metrics, which the cleaning does.
+    """
     classifier = (
         GBTClassifier(labelCol=LABEL, maxIter=20, seed=SEED)
         if trees
@@ -33,7 +39,9 @@ def train(training: DataFrame, trees: bool = False) -> PipelineModel:
     )
     assembler = VectorAssembler(inputCols=NUMERIC, outputCol="features", handleInvalid="keep")
     rows = _numbers(training).select(*NUMERIC, F.col(LABEL).cast("double"))
-    return Pipeline(stages=[assembler, classifier]).fit(rows)
+    path = path or scratch(training.sparkSession, "model")
+    Pipeline(stages=[assembler, classifier]).fit(rows).write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def score(model: PipelineModel, ml_set: DataFrame) -> DataFrame:
@@ -48,7 +56,7 @@ def score(model: PipelineModel, ml_set: DataFrame) -> DataFrame:
 
 def train_job(spark: SparkSession, zones: Zones, model_path: str, trees: bool = False) -> None:
     tune(spark)
-    train(readers.read_ml_split(spark, zones, "train"), trees).write().overwrite().save(model_path)
+    train(readers.read_ml_split(spark, zones, "train"), trees, model_path)
 
 
 def score_job(spark: SparkSession, zones: Zones, model_path: str, version: int) -> None:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings. Joins are never hinted: Spark broadcasts a side only
 # when its size is under spark.sql.autoBroadcastJoinThreshold, and splits hot
@@ -33,6 +34,25 @@ def build(app: str = "basketflow", shuffle_partitions: int | None = None) -> Spa
     return tune(builder.getOrCreate())
 
 
+INPUT_PER_TASK = 64 << 20
+MOST_SHUFFLE_PARTITIONS = 20_000
+
+
+def size_shuffles(spark: SparkSession, *folders: str) -> int:
+    """Raise the number of shuffle partitions to fit the files of `folders`.
+
+    Adaptive execution merges partitions that turn out small, but cannot make
+    more of them than there are. The files are listed, not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
+    size = files.agg(F.sum("length")).first()[0] or 0
+    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-size // INPUT_PER_TASK))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder path that every executor can reach.
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow import schemas
-from basketflow.session import scratch
+from basketflow.session import stored
 
 PRODUCTS, AISLES, DEPARTMENTS = 50, 10, 5
 
@@ -67,41 +67,34 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def aisles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = products(spark, sf_dir).select("aisle_id").distinct()
+def aisles(named: DataFrame) -> DataFrame:
+    ids = named.select("aisle_id").distinct()
     return ids.withColumn("aisle", F.concat(F.lit("aisle "), F.col("aisle_id")))
 
 
-def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = products(spark, sf_dir).select("department_id").distinct()
+def departments(named: DataFrame) -> DataFrame:
+    ids = named.select("department_id").distinct()
     return ids.withColumn("department", F.concat(F.lit("department "), F.col("department_id")))
 
 
-def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = (
+def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFrame:
+    """Lines of the mapped orders, `numbered`."""
+    lines = stored(
         _table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % PRODUCTS).alias("product_id"))
         .agg(F.min("l_linenumber").cast("bigint").alias("add_to_cart_order"))
-        .join(orders(spark, sf_dir).select("order_id", "user_id", "order_number"), "order_id")
+        .join(numbered.select("order_id", "user_id", "order_number"), "order_id"),
+        "lines",
     )
     pair = ["user_id", "product_id"]
-    first = lines.groupBy(pair).agg(F.min("order_number").alias("first_order"))
+    first = stored(lines.groupBy(pair).agg(F.min("order_number").alias("first_order")), "first-orders")
     again = (F.col("first_order") < F.col("order_number")).cast("bigint")
     return lines.join(first, pair).select(
         "order_id", "product_id", "add_to_cart_order", again.alias("reordered")
     )
 
 
-BUILD = {
-    "aisles": aisles,
-    "departments": departments,
-    "products": products,
-    "orders": orders,
-    "order_products": order_products,
-}
-
-
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -109,14 +102,16 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     clean zone. They are written once per application and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        root = scratch(spark, "basket")
-        for name, build in BUILD.items():
-            build(spark, sf_dir).write.parquet(f"{root}/{name}")
-        _stored[key] = root
-    return {
-        name: spark.read.schema(schemas.typed_schema(name)).parquet(f"{_stored[key]}/{name}")
-        for name in BUILD
-    }
+        numbered = stored(orders(spark, sf_dir), "orders")
+        named = stored(products(spark, sf_dir), "products")
+        _stored[key] = {
+            "aisles": stored(aisles(named), "aisles"),
+            "departments": stored(departments(named), "departments"),
+            "products": named,
+            "orders": numbered,
+            "order_products": stored(order_products(spark, sf_dir, numbered), "order_products"),
+        }
+    return _stored[key]
 
 
 def dirty(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

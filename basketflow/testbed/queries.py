@@ -259,9 +259,11 @@ QUERIES: dict[str, Query] = {
     "target_orders": over_basket(lambda b: b.targets),
     "ml_labels": over_basket(lambda b: b.labels),
     "ml_user_restricted": over_basket(lambda b: repeat_rows(b.target_users)),
-    "ml_attach_up": over_basket(lambda b: b.with_up),
+    "ml_attach_up": over_pairs(lambda b: b.with_up),
     "ml_attach_product": over_basket(
-        lambda b: mlset.attach_product(b.labels.select("product_id", "order_id"), b.product_features)
+        lambda b: mlset.attach_product(
+            b.labels.select("product_id", "order_id"), stored(b.product_features, "product-features")
+        )
     ),
     "ml_attach_user": over_pairs(lambda b: repeat_rows(b.with_user)),
     "ml_cross_features": over_pairs(lambda b: repeat_rows(mlset.cross_features(b.with_user))),

@@ -40,19 +40,30 @@ def put(folder: Path, table: str, lines, name: str | None = None) -> Path:
     return path
 
 
+def raw_zones(folder: Path) -> Zones:
+    for table, lines in RAW.items():
+        put(folder, table, lines)
+    return Zones.under(str(folder))
+
+
 @pytest.fixture
 def zones(tmp_path):
-    for table, lines in RAW.items():
-        put(tmp_path, table, lines)
-    return Zones.under(str(tmp_path))
+    return raw_zones(tmp_path)
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """Zones after both jobs, and what the cleaning counted."""
+    done = raw_zones(tmp_path_factory.mktemp("lake"))
+    return done, runner.run_all(spark, done)
 
 
 def ids(df, column):
     return sorted(r[column] for r in df.collect())
 
 
-def test_both_jobs_and_the_model(spark, zones, tmp_path):
-    counts = runner.run_all(spark, zones)
+def test_cleaning(spark, lake):
+    zones, counts = lake
     assert counts["orders"] == {"kept": 5, "order_dow": 1}
     assert counts["order_products"] == {"kept": 8, "reordered": 1}
 
@@ -70,14 +81,23 @@ def test_both_jobs_and_the_model(spark, zones, tmp_path):
     }
     assert readers.read_rejects(spark, zones, "orders").first().order_dow == "9"
 
+
+def test_ml_splits(spark, lake):
+    zones, _ = lake
     train, test = (readers.read_ml_split(spark, zones, name) for name in ("train", "test"))
     assert train.columns == schemas.ML_COLUMNS
     assert [(r.user_id, r.product_id, r.up_orders) for r in train.collect()] == [(1, 10, 2)]
     assert [(r.user_id, r.product_id, r.product_name) for r in test.collect()] == [(2, 11, "Bread")]
 
+
+def test_catalog_views(spark, lake):
+    zones, _ = lake
     assert "user_features" in catalog.register(spark, zones)
     assert spark.sql("SELECT count(*) FROM user_features").first()[0] == 2
 
+
+def test_train_and_score_jobs(spark, lake, tmp_path):
+    zones, _ = lake
     model = str(tmp_path / "model")
     recommend.train_job(spark, zones, model)
     for version in (0, 1):
@@ -86,16 +106,16 @@ def test_both_jobs_and_the_model(spark, zones, tmp_path):
 
 
 def test_rerun_replaces_and_append_adds(spark, zones):
-    runner.run_all(spark, zones)
-    before = readers.read_curated(spark, zones, "up_features").count()
-    runner.run_all(spark, zones)
-    assert readers.read_curated(spark, zones, "up_features").count() == before
-    curation.write_features(spark, zones, mode="append")
-    assert readers.read_curated(spark, zones, "order_products_prior").count() == 2 * 5
+    cleaning.clean_all(spark, zones)
+    for mode, copies in (("overwrite", 1), ("overwrite", 1), ("append", 2)):
+        curation.write_features(spark, zones, mode)
+        assert readers.read_curated(spark, zones, "order_products_prior").count() == copies * 5
+    cleaning.clean_all(spark, zones)
+    assert readers.read_clean(spark, zones, "orders").count() == 5
 
 
-def test_sorted_table_is_in_order_over_files(spark, zones):
-    runner.run_all(spark, zones)
+def test_sorted_table_is_in_order_over_files(spark, lake):
+    zones, _ = lake
     files = sorted(Path(zones.curated_table("user_features")).glob("*.parquet"))
     users = [r.user_id for path in files for r in spark.read.parquet(str(path)).collect()]
     assert users == [1, 2]
@@ -118,8 +138,8 @@ def test_fixed_rows_leave_no_stale_rejects(spark, zones, tmp_path):
     assert readers.read_rejects(spark, zones, "orders").count() == 0
 
 
-def test_catalog_database(spark, zones):
-    runner.run_all(spark, zones)
+def test_catalog_database(spark, lake):
+    zones, _ = lake
     catalog.register_database(spark, zones, "shop")
     try:
         assert spark.sql("SELECT count(*) FROM shop.ml_dataset").first()[0] == 2
@@ -261,3 +281,14 @@ def test_notifications_refresh_only_named_tables(spark, tmp_path):
     assert not Path(zones.clean_table("aisles")).exists()
     send("3.json", "data/orders.csv")
     assert runs == ["1.json"]
+
+
+def test_shuffles_are_sized_by_the_files(spark, zones, conf, monkeypatch):
+    from basketflow import session
+
+    conf({"spark.sql.shuffle.partitions": "4"})
+    assert session.size_shuffles(spark, zones.raw) == 4
+    monkeypatch.setattr(session, "INPUT_PER_TASK", 20)
+    wanted = session.size_shuffles(spark, zones.raw)
+    assert wanted > 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)

@@ -3,6 +3,8 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.operators import artifacts, serve
@@ -78,6 +80,14 @@ def ml_rows(spark, rows):
     return spark.createDataFrame(filled, schema)
 
 
+def test_scoring_works_in_a_session_that_observed_metrics(spark):
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    training = ml_rows(spark, [(u, p, p % 2, p) for u in range(4) for p in range(6)])
+    assert len(recommend.score(recommend.train(training), training).collect()) == 24
+
+
 @pytest.mark.parametrize("trees", [False, True])
 def test_model_learns_that_bought_means_bought_again(spark, trees):
     training = ml_rows(spark, [(u, p, int(p > 5), p if p > 5 else 0) for u in range(12) for p in range(10)])
