@@ -103,7 +103,7 @@ class Basket:
         )
 
     def split(self, eval_set: str) -> DataFrame:
-        return repeat_rows(mlset.split(self.ml_set, eval_set))
+        return repeat_rows(mlset.split(self.ml_set, eval_set), spread=True)
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -224,7 +224,7 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_and_score(basket: Basket) -> DataFrame:
-    ml_set = stored(repeat_rows(basket.ml_set), "ml-set")
+    ml_set = stored(repeat_rows(basket.ml_set, spread=True), "ml-set")
     return recommend.score(recommend.train(mlset.split(ml_set, "train")), mlset.split(ml_set, "test"))
 
 
@@ -270,7 +270,7 @@ QUERIES: dict[str, Query] = {
     "ml_training_data": over_pairs(lambda b: b.split("train")),
     "ml_test_data": over_pairs(lambda b: b.split("test")),
     "labels_with_features": over_pairs(
-        lambda b: repeat_rows(mlset.labels_with_features(b.labels, b.ml_set))
+        lambda b: repeat_rows(mlset.labels_with_features(b.labels, b.ml_set), spread=True)
     ),
     "jobs_training_data": jobs_training_data,
     "train_and_score": over_pairs(train_and_score),

@@ -66,6 +66,25 @@ def test_top_k_limits_before_the_shuffle(basket):
     assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
 
 
+def test_newest_limits_before_the_shuffle(basket):
+    plan = final_plan(serve.newest(basket.predictions))
+    assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
+
+
+def test_a_small_batch_leaves_the_old_scores_unshuffled(spark, basket):
+    old = stored(basket.predictions, "old")
+    new = stored(basket.predictions.filter("product_id = '3'"), "new")
+    plan = serve.upsert_predictions(old, new)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [coalesce(user_id" in plan or "BroadcastHashJoin [user_id" in plan
+    assert len(shuffles(plan)) == 2  # the batch, once for its keys and once for its rows
+
+
+def test_lookup_filters_in_the_scan(spark, basket):
+    table = stored(basket.predictions, "scores")
+    plan = serve.lookup(table, "7")._jdf.queryExecution().toString()
+    assert "EqualTo(user_id,7)" in plan
+
+
 def test_nothing_is_a_nested_loop(basket):
     for df in (basket.split("train"), basket.product_features, basket.prior):
         plan = final_plan(df)
