@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import chat, decontaminate, packing, sharding, topk, toxicity
+from basketflow.llm import chat, decontaminate, packing, sharding, spans, topk, toxicity
 from basketflow.llm.texts import prepare
 
 
@@ -40,6 +40,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen, rejected = chat.swapped_answers(table(spark, sf_dir, "conversations"))
     pairs = chat.format_preferences(chosen, rejected)
@@ -69,6 +74,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
+    "op7_substrings": op7_substrings,
     "op9_preferences": op9_preferences,
     "op10_decontamination": op10_decontamination,
 }
