@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import chat, decontaminate, packing, sharding, spans, topk, toxicity
+from basketflow.llm import chat, decontaminate, minhash, ngrams, packing, sharding, spans, topk, toxicity
 from basketflow.llm.texts import prepare
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,10 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.perplexities(table(spark, sf_dir, "documents"))
+
+
 def op9_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen, rejected = chat.swapped_answers(table(spark, sf_dir, "conversations"))
     pairs = chat.format_preferences(chosen, rejected)
@@ -70,11 +78,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op3_toxicity": op3_toxicity,
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
     "op7_substrings": op7_substrings,
+    "op8_perplexity": op8_perplexity,
     "op9_preferences": op9_preferences,
     "op10_decontamination": op10_decontamination,
 }
