@@ -23,7 +23,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.packed import SCHEMA, bucket_bits, bucket_of, gather, pieces, text_bytes
+from basketflow.llm.packed import (
+    ARROW,
+    COLUMNS,
+    SCHEMA,
+    bucket_bits,
+    bucket_of,
+    gather,
+    pieces,
+    text_bytes,
+)
 from basketflow.llm.texts import Texts, mix, slices
 from basketflow.session import scratch
 
@@ -219,11 +228,8 @@ def count_pairs(documents: DataFrame, model: Model) -> Model:
         codes, values = codes[order], values[order]
         out = [x.to_pandas() for x in pieces(codes >> (RANGE_BITS + 2), [codes, values])]
         times = pa.array([np.array([*_times(counts), len(keys)], np.int64).tobytes()], pa.binary())
-        none = pa.nulls(1, pa.binary())
-        head = pa.RecordBatch.from_arrays(
-            [pa.array([-1 - b]), pa.array([1], pa.int32()), times, none, none, none],
-            names=["bucket", "kind", "c0", "c1", "c2", "c3"],
-        )
+        none = [pa.nulls(1, pa.binary())] * (COLUMNS - 1)
+        head = pa.RecordBatch.from_arrays([pa.array([-1 - b]), pa.array([1], pa.int32()), times, *none], schema=ARROW)
         return pd.concat([head.to_pandas(), *out])
 
     def spread(rows: pd.DataFrame) -> pd.DataFrame:

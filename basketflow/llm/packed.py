@@ -45,9 +45,10 @@ def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
-SCHEMA = "bucket bigint, kind int, c0 binary, c1 binary, c2 binary, c3 binary"
+COLUMNS = 5
+SCHEMA = "bucket bigint, kind int, " + ", ".join(f"c{i} binary" for i in range(COLUMNS))
 ARROW = pa.schema(
-    [("bucket", pa.int64()), ("kind", pa.int32()), *((f"c{i}", pa.binary()) for i in range(4))]
+    [("bucket", pa.int64()), ("kind", pa.int32()), *((f"c{i}", pa.binary()) for i in range(COLUMNS))]
 )
 
 
@@ -60,9 +61,9 @@ def pieces(
         return
     cuts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
     ends = np.append(cuts[1:], len(buckets))
-    blobs: list[list[bytes | None]] = [[], [], [], []]
+    blobs: list[list[bytes | None]] = [[] for _ in range(COLUMNS)]
     for a, b in zip(cuts, ends):
-        for i in range(4):
+        for i in range(COLUMNS):
             blobs[i].append(pack(columns[i][a:b], ordered and i == 0) if i < len(columns) else None)
     yield pa.RecordBatch.from_arrays(
         [

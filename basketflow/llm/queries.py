@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import chat, decontaminate, minhash, ngrams, packing, sharding, spans, topk, toxicity
+from basketflow.llm import chat, decontaminate, minhash, ngrams, packing, sharding, spans, suffixes, topk, toxicity
 from basketflow.llm.texts import prepare
 
 
@@ -17,6 +17,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -79,6 +83,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_suffixes": op2_suffixes,
     "op3_toxicity": op3_toxicity,
     "op4_topk": op4_topk,
     "op5_packing": op5_packing,
