@@ -201,6 +201,21 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
+def keep_first(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, less those of a group but one: the one of
+    smallest id. If ids are missing or repeat, rows are numbered first, as
+    repeated rows are near copies of each other, and the one of smallest
+    number stays."""
+    again = documents.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if again.isEmpty():
+        gone = near_duplicates(documents).filter(~F.col("kept")).select("doc_id")
+        return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    rows = stored(documents.withColumn("row_number", F.monotonically_increasing_id()), "numbered")
+    named = rows.select(F.col("row_number").alias("doc_id"), "text")
+    gone = near_duplicates(named).filter(~F.col("kept")).select(F.col("doc_id").alias("row_number"))
+    return rows.join(gone, "row_number", "left_anti").select(*documents.columns)
+
+
 def _join_rounds(members: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
     """(c, label) after all links are found; equal labels are one component."""
     tested = None

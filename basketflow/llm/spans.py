@@ -163,11 +163,14 @@ _KEYED = pa.list_(
 )
 
 
-def _judge(batches: Iterator[pa.RecordBatch], size: int, keep_text: bool) -> Iterator[pa.RecordBatch]:
+def _judge(
+    batches: Iterator[pa.RecordBatch], size: int, keep_text: bool, carry: list[str]
+) -> Iterator[pa.RecordBatch]:
     """Cut the spans out of each text; tell the digests of its own spans and of
     the stretches it is asked for."""
     for part, texts in slices(batches):
-        columns = {name: part.column(name).to_pylist() for name in part.schema.names if name != "text"}
+        needed = ["id", "refused", "asked", *(name for name, _ in SPAN)]
+        columns = {name: part.column(name).to_pylist() for name in needed}
         out: dict[str, list] = {name: [] for name in ("n", "removed", "text", "sha", "own", "given")}
         for i, own_id in enumerate(columns["id"]):
             words = texts.text(i).split()  # bytes.split() cuts at just these six bytes
@@ -216,8 +219,9 @@ def _judge(batches: Iterator[pa.RecordBatch], size: int, keep_text: bool) -> Ite
                 pa.array(out["sha"]),
                 pa.array(out["own"], _KEYED),
                 pa.array(out["given"], _KEYED),
+                *(part.column(f"carried_{name}") for name in carry),
             ],
-            names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "own", "given"],
+            names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "own", "given", *carry],
         )
 
 
@@ -240,9 +244,11 @@ def _refused(judged: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(documents: DataFrame, size: int = WINDOW, keep_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text, kept_sha256) of every document:
-    each word goes that a window of `size` words covers which also starts in a
+def remove_repeats(
+    documents: DataFrame, size: int = WINDOW, keep_text: bool = False, carry: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text, kept_sha256) of every document,
+    and its columns named in `carry`: each word goes that a window of `size` words covers which also starts in a
     document of smaller id. kept_text is null unless asked for, and is the
     text as it was if nothing went, else the words left, joined by one space.
 
@@ -256,12 +262,19 @@ def remove_repeats(documents: DataFrame, size: int = WINDOW, keep_text: bool = F
         compacted(repeated_places(edges(named, bits, size), bits)), "spans"
     ).withColumnRenamed("doc_id", "id")
     asked = _requests(targets, size)
-    keyed = named.withColumn("id", F.coalesce("doc_id", F.lit(MISSING_ID)))
+    carry = carry or []
+    keyed = documents.select(
+        F.col("doc_id").cast("bigint"),
+        "text",
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(MISSING_ID)).alias("id"),
+        *(F.col(name).alias(f"carried_{name}") for name in carry),
+    )
+    carried = "".join(f", `{n}` {documents.schema[n].dataType.simpleString()}" for n in carry)
     joined = keyed.join(targets, "id", "left").join(asked, "id", "left")
 
     def judge(rows: DataFrame) -> DataFrame:
-        run = lambda batches: _judge(batches, size, keep_text)
-        return stored(rows.mapInArrow(run, JUDGED), "judged")
+        run = lambda batches: _judge(batches, size, keep_text, carry)
+        return stored(rows.mapInArrow(run, JUDGED + carried), "judged")
 
     none = F.array().cast("array<struct<source:bigint,start:bigint,edges:bigint>>")
     judged = judge(joined.withColumn("refused", none))
