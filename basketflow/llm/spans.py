@@ -17,6 +17,7 @@ documents arrives once per slice.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,8 +132,11 @@ def compacted(place_rows: DataFrame) -> DataFrame:
     return place_rows.groupBy("bucket").applyInPandas(run, SPANS)
 
 
-def _digest(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+def _digest(words: list[bytes]) -> dict[str, int]:
+    """128 bits of a stretch of words, as two numbers, which Spark aggregates
+    in hash tables."""
+    d0, d1 = struct.unpack("<qq", hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+    return {"d0": d0, "d1": d1}
 
 
 def _requests(targets: DataFrame, size: int) -> DataFrame:
@@ -155,11 +159,11 @@ def _requests(targets: DataFrame, size: int) -> DataFrame:
 
 JUDGED = (
     "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string, "
-    "own array<struct<source:bigint,start:bigint,edges:bigint,digest:binary>>, "
-    "given array<struct<source:bigint,start:bigint,edges:bigint,digest:binary>>"
+    "own array<struct<source:bigint,start:bigint,edges:bigint,d0:bigint,d1:bigint>>, "
+    "given array<struct<source:bigint,start:bigint,edges:bigint,d0:bigint,d1:bigint>>"
 )
 _KEYED = pa.list_(
-    pa.struct([("source", pa.int64()), ("start", pa.int64()), ("edges", pa.int64()), ("digest", pa.binary())])
+    pa.struct([(name, pa.int64()) for name in ("source", "start", "edges", "d0", "d1")])
 )
 
 
@@ -177,15 +181,15 @@ def _judge(
             own, gone = [], np.zeros(len(words), bool)
             if columns["start"][i] is not None:
                 start, n, source, source_start = (unpack(columns[k][i], t) for k, t in SPAN)
-                refused = {(r["start"], r["edges"], r["source"]) for r in columns["refused"][i] or []}
+                refused = columns["refused"][i] or []
                 single = Words(_one(texts, i), False)
                 at, keys = single.windows(size)
                 hit = np.zeros(len(words) + 1, np.int64)
                 for a, m, s, b in zip(start.tolist(), n.tolist(), source.tolist(), source_start.tolist()):
                     inside = a + m + size - 1 <= len(words)
                     stretch = words[a : a + m + size - 1] if inside else []
-                    own.append({"source": s, "start": b, "edges": m, "digest": _digest(stretch)})
-                    if inside and (b, m, s) not in refused:
+                    own.append({"source": s, "start": b, "edges": m, **_digest(stretch)})
+                    if inside and own[-1] not in refused:
                         hit[a] += 1
                         hit[a + m] -= 1
                 # The same words may stand in this document again.
@@ -199,7 +203,7 @@ def _judge(
                     "source": own_id,
                     "start": q["start"],
                     "edges": q["edges"],
-                    "digest": _digest(words[q["start"] : q["start"] + q["edges"] + size - 1]),
+                    **_digest(words[q["start"] : q["start"] + q["edges"] + size - 1]),
                 }
                 for q in columns["asked"][i] or []
             ]
@@ -236,11 +240,12 @@ def _refused(judged: DataFrame) -> DataFrame:
     own = judged.select("doc_id", F.explode("own").alias("s")).select("doc_id", "s.*")
     given = judged.select(F.explode("given").alias("s")).select("s.*")
     # Keys on which all agree are gone after one aggregation.
-    both = own.select(*key, "digest").unionByName(given)
-    unsure = both.groupBy(key).agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select(key)
-    doubted = own.join(unsure, key).join(given.join(unsure, key), [*key, "digest"], "left_anti")
+    both = own.select(*key, "d0", "d1").unionByName(given)
+    ends = [f(d).alias(f"{d}_{f.__name__}") for d in ("d0", "d1") for f in (F.min, F.max)]
+    unsure = both.groupBy(key).agg(*ends).filter("d0_min <> d0_max OR d1_min <> d1_max").select(key)
+    doubted = own.join(unsure, key).join(given.join(unsure, key), [*key, "d0", "d1"], "left_anti")
     return doubted.groupBy(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id")).agg(
-        F.collect_set(F.struct(*key)).alias("refused")
+        F.collect_set(F.struct(*key, "d0", "d1")).alias("refused")
     )
 
 
@@ -276,7 +281,7 @@ def remove_repeats(
         run = lambda batches: _judge(batches, size, keep_text, carry)
         return stored(rows.mapInArrow(run, JUDGED + carried), "judged")
 
-    none = F.array().cast("array<struct<source:bigint,start:bigint,edges:bigint>>")
+    none = F.array().cast("array<struct<source:bigint,start:bigint,edges:bigint,d0:bigint,d1:bigint>>")
     judged = judge(joined.withColumn("refused", none))
     refused = _refused(judged)
     if not refused.isEmpty():

@@ -65,7 +65,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     c_blocks = max(1, -(-candidates.count() // CANDIDATE_BLOCK))
 
     def dealt(rows: DataFrame, own: str, mine: int, other: str, theirs: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id", "weights", F.monotonically_increasing_id()), F.lit(mine))
+        block = F.pmod(F.xxhash64("vec_id", "weights"), F.lit(mine))
         everywhere = F.explode(F.sequence(F.lit(0), F.lit(theirs - 1)))
         return rows.select("vec_id", "weights", block.alias(own), everywhere.alias(other))
 

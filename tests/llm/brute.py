@@ -1,0 +1,127 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+
+def utf8(text):
+    return (text or "").encode()
+
+
+def words(text, lower=False):
+    data = utf8(text)
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in data) if lower else data
+    return re.findall(rb"[^\x20\x09-\x0D]+", data)
+
+
+def shingles(text):
+    w = words(text, lower=True)
+    if len(w) < 5:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def near_duplicates(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)].append(doc)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        component = min(least[find(i)], default=None)
+        out.append((doc, len(sets[i]), component, doc is not None and doc == component))
+    return out
+
+
+def repeated_bytes(rows, size):
+    texts = [utf8(t) for _, t in rows]
+    seen = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
+    out = []
+    for (doc, _), t in zip(rows, texts):
+        gone = [False] * len(t)
+        for i in range(len(t) - size + 1):
+            if seen[t[i : i + size]] > 1:
+                gone[i : i + size] = [True] * size
+        left = bytes(c for c, g in zip(t, gone) if not g)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((doc, len(t), sum(gone), spans, hashlib.sha256(left).hexdigest()))
+    return out
+
+
+def repeated_words(rows, size):
+    order = lambda doc: -math.inf if doc is None else doc
+    first = {}
+    for doc, t in rows:
+        w = words(t)
+        for i in range(len(w) - size + 1):
+            key = tuple(w[i : i + size])
+            first[key] = min(first.get(key, math.inf), order(doc))
+    out = []
+    for doc, t in rows:
+        w = words(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - size + 1):
+            if first[tuple(w[i : i + size])] < order(doc):
+                gone[i : i + size] = [True] * size
+        left = b" ".join(x for x, g in zip(w, gone) if not g)
+        out.append((doc, len(w), sum(gone), hashlib.sha256(left).hexdigest()))
+    return out
+
+
+def kneser_ney(training):
+    """P(before, after) of the interpolated modified model, by counting."""
+    pairs = Counter()
+    for w in training:
+        pairs.update(zip([0, *w[:-1]], w))
+    preceded = Counter(w for _, w in pairs)
+    context, followed = Counter(), defaultdict(lambda: [0, 0, 0])
+    for (h, _), n in pairs.items():
+        context[h] += n
+        followed[h][min(n, 3) - 1] += 1
+
+    def discounts(counts):
+        n1, n2, n3, n4 = (sum(c == k for c in counts) for k in (1, 2, 3, 4))
+        if not (n1 and n2 and n3):
+            return [0, 0.5, 1.0, 1.5]
+        y = n1 / (n1 + 2 * n2)
+        found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
+        return [0, *(min(max(d, 0.05), k) for d, k in zip(found, (1, 2, 3)))]
+
+    upper, lower = discounts(list(pairs.values())), discounts(list(preceded.values()))
+    spare = sum(lower[min(n, 3)] for n in preceded.values()) / max(1, len(pairs))
+
+    def p(h, w):
+        q = max(preceded[w] - lower[min(preceded[w], 3)], 0) / max(1, len(pairs)) + spare / (len(preceded) + 1)
+        if h in context:
+            n = pairs[(h, w)]
+            weight = sum(a * b for a, b in zip(followed[h], upper[1:])) / context[h]
+            q = max(n - upper[min(n, 3)], 0) / context[h] + weight * q
+        return q
+
+    return p, preceded
+
+
+def edit_distance_within(item, text):
+    """Smallest edit distance between `item` and any stretch of `text`."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)
