@@ -6,12 +6,14 @@
    slot waits for, usually the second or third. Texts with the same set form a
    class and go on as one.
 2. Signatures are cut into bands; classes that agree in a band share a bucket.
-3. In rounds, classes of a bucket that are not yet in one component are
-   compared with the bucket's leaders - one leader, then two, four, ... - on
-   their full sets, and links join components. When few pairs between
-   components remain, all of them are compared, which ends it: no link between
-   classes that share a bucket is left out, and a bucket of mutual near copies
-   costs one comparison for each, not one for each pair.
+3. In each bucket the class that shares most buckets with others leads: the
+   others are compared with it, on their full sets, and links join components
+   by union-find. A bucket of near copies of one text mostly ends here.
+4. Buckets that still hold several components chain them into clusters. The
+   classes of a cluster meet in blocks of bounded size, every block with every
+   other except two of one component; inverted lists of shingles count what
+   sets share. No pair of classes is ever a row, and no link between classes
+   that share a bucket is left out.
 
 With 25 bands of 5 slots, two sets of similarity 0.85 share no bucket with a
 probability of 4e-7.
@@ -22,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +37,8 @@ SHINGLE = 5
 BANDS, BAND_SLOTS = 25, 5
 SLOTS = BANDS * BAND_SLOTS
 PERCENT = 85
-# So many pairs per member of the buckets are compared without leaders.
-FEW_PAIRS = 4
+# Text of a block; a task compares two of them at a time.
+BLOCK_BYTES = 2 << 20
 
 
 def shingle_sets(texts: Texts, size: int = SHINGLE) -> list[np.ndarray]:
@@ -177,13 +180,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         )
     )
     bands = stored(classes.select("c", "signature").mapInArrow(_band_rows, "key bigint, c binary"), "bands")
-    shared = bands.groupBy("key").count().filter("count > 1").select("key")
+    shared = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(bands.join(shared, "key"), "members")
     ids = rows.groupBy("c").agg(F.min(F.coalesce("doc_id", F.lit(MISSING_ID))).alias("id"))
-    wanted = members.select("c").distinct()
-    texts = stored(_texts_of(named, ids.join(wanted, "c")), "candidate-texts")
-    labels = stored(wanted.select("c", F.col("c").alias("label")), "labels")
-    labels = _join_rounds(members, texts, labels)
+    wanted = members.groupBy("c").agg(F.sum("n").alias("weight"))
+    wanted = stored(wanted, "candidates")
+    texts = stored(_texts_of(named, ids.join(wanted.select("c"), "c")), "candidate-texts")
+    labels = wanted.select("c", F.col("c").alias("label"))
+    labels = _merge(labels, _leader_links(members, wanted, texts))
+    labels = _merge(labels, _block_links(members, labels, texts))
 
     labelled = rows.join(labels, "c", "left").select(
         "doc_id",
@@ -216,56 +221,109 @@ def keep_first(documents: DataFrame) -> DataFrame:
     return rows.join(gone, "row_number", "left_anti").select(*documents.columns)
 
 
-def _join_rounds(members: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """(c, label) after all links are found; equal labels are one component."""
-    tested = None
-    size = members.count()
-    for round_ in range(64):
-        placed = members.join(labels, "c")
-        per_label = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-        per_key = per_label.groupBy("key").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("labels")
-        )
-        mixed = per_key.filter("labels > 1").select("key", "n", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs"))
-        placed = stored(placed.join(mixed, "key"), "mixed-buckets")
-        left = placed.groupBy("key").agg(F.first("pairs").alias("pairs"), F.first("n").alias("n"))
-        pairs, largest = left.agg(F.sum("pairs"), F.max("n")).first()
-        if not pairs:
-            break
-        last = round_ > 0 and (pairs <= FEW_PAIRS * size or 1 << round_ >= largest)
-        leaders = placed.select("key", F.col("c").alias("leader"), F.col("label").alias("led"))
-        if not last:
-            group = F.pmod(F.xxhash64("leader", F.lit(round_)), F.lit(1 << round_))
-            one = F.min(F.struct(F.xxhash64("leader", F.lit(-1 - round_)), "leader", "led")).alias("one")
-            leaders = leaders.groupBy("key", group.alias("g")).agg(one).select("key", "one.leader", "one.led")
-        found = (
-            placed.join(leaders, "key")
-            .filter(F.col("label") != F.col("led"))
-            .select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            found = found.join(tested, ["a", "b"], "left_anti")
-        compared = stored(
-            found.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
-            .mapInArrow(_compare, "a binary, b binary, linked boolean"),
-            "compared",
+def _leader_links(members: DataFrame, weights: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of classes with the leader of a bucket they are in."""
+    weighted = members.select("key", "c").join(weights, "c")
+    leaders = weighted.groupBy("key").agg(F.max(F.struct("weight", "c")).alias("best"))
+    led = (
+        weighted.select("key", "c")
+        .join(leaders.select("key", F.col("best.c").alias("leader")), "key")
+        .filter("c <> leader")
+        .select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b"))
+        .distinct()
+    )
+    compared = (
+        led.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
+        .mapInArrow(_compare, "a binary, b binary, linked boolean")
+    )
+    return compared.filter("linked").select("a", "b")
+
+
+def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` (c, label) after links between labels."""
+    roots = components(links).withColumnRenamed("node", "label")
+    joined = labels.join(roots, "label", "left")
+    return stored(joined.select("c", F.coalesce("root", "label").alias("label")), "labels")
+
+
+def linked_labels(sets: list[np.ndarray], labels: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """Links between the labels of some sets, no more than join them up."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    times = np.bincount(token)
+    owner, token = owner[times[token] > 1], token[times[token] > 1]
+    order = np.argsort(token, kind="stable")
+    lists = owner[order]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=len(times)))])
+    size = np.array([len(s) for s in sets])
+    cuts = np.searchsorted(owner, np.arange(len(sets) + 1))
+    root = {label: label for label in labels}
+
+    def find(x: bytes) -> bytes:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i in range(len(sets)):
+        own = token[cuts[i] : cuts[i + 1]]
+        if not len(own):
+            continue
+        both = np.bincount(np.concatenate([lists[begin[t] : begin[t + 1]] for t in own]), minlength=len(sets))
+        for j in np.flatnonzero(100 * both >= PERCENT * (size + size[i] - both)):
+            a, b = find(labels[i]), find(labels[j])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                out.append((labels[i], labels[j]))
+    return out
+
+
+def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between labels that share buckets, from comparing all
+    classes of a cluster block by block."""
+    placed = members.select("key", "c").join(labels, "c")
+    hubs = placed.groupBy("key").agg(F.min("label").alias("hub"), F.max("label").alias("other")).filter("hub <> other")
+    mixed = stored(placed.join(hubs.select("key", "hub"), "key").select("c", "label", "hub").distinct(), "mixed")
+    clusters = components(mixed.select(F.col("label").alias("a"), F.col("hub").alias("b")).distinct())
+    unsettled = mixed.select("c", "label").distinct().join(clusters.select(F.col("node").alias("label"), F.col("root").alias("cluster")), "label")
+    rows = stored(unsettled.join(texts, "c").withColumn("bytes", F.octet_length("text").cast("bigint")), "unsettled")
+
+    def parts(total: str) -> F.Column:
+        return F.ceil(F.col(total) / BLOCK_BYTES).cast("bigint")
+
+    per_label = rows.groupBy("cluster", "label").agg(F.sum("bytes").alias("of_label"))
+    per_cluster = per_label.groupBy("cluster").agg(F.sum("of_label").alias("of_cluster"))
+    total = per_cluster.agg(F.sum("of_cluster")).first()[0] or 0
+    bins = -(-total // BLOCK_BYTES) or 1
+    # A large label has blocks of its own; the others of its cluster share
+    # some, and clusters of less than a block share one with other clusters.
+    home = F.when(F.col("of_label") >= BLOCK_BYTES, F.hex("label")).otherwise("")
+    block = F.when(
+        F.col("of_cluster") <= BLOCK_BYTES, F.pmod(F.xxhash64("cluster", F.lit(1)), F.lit(bins))
+    ).otherwise(
+        F.when(F.col("of_label") >= BLOCK_BYTES, F.pmod(F.xxhash64("c", F.lit(2)), parts("of_label"))).otherwise(
+            F.pmod(F.xxhash64("label", F.lit(3)), parts("of_cluster"))
         )
-        done = compared.select("a", "b")
-        tested = done if tested is None else tested.unionByName(done)
-        links = compared.filter("linked").select("a", "b")
-        if not links.isEmpty():
-            named = labels.select(F.col("c").alias("a"), F.col("label").alias("label_a"))
-            other = labels.select(F.col("c").alias("b"), F.col("label").alias("label_b"))
-            between = links.join(named, "a").join(other, "b")
-            roots = components(between.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-            labels = stored(
-                labels.join(roots.withColumnRenamed("node", "label"), "label", "left").select(
-                    "c", F.coalesce("root", "label").alias("label")
-                ),
-                "labels",
-            )
-        if last:
-            break
-    return labels
+    )
+    sizes = per_label.join(per_cluster, "cluster")
+    area = F.when(F.col("of_cluster") <= BLOCK_BYTES, F.lit("")).otherwise(F.hex("cluster"))
+    dealt = rows.join(sizes, ["cluster", "label"]).select(
+        "label", "text", area.alias("area"), F.concat_ws(":", home, block).alias("block"), home.alias("home")
+    )
+    dealt = stored(dealt, "dealt")
+    blocks = dealt.select("area", "block", "home").distinct()
+    alone = blocks.filter("area = ''").select("area", "block", F.col("block").alias("meeting"))
+    several = blocks.filter("area <> ''")
+    other = several.select("area", F.col("block").alias("block_b"), F.col("home").alias("home_b"))
+    meet = several.join(other, "area").filter("block <= block_b AND (home = '' OR home <> home_b)")
+    named = meet.withColumn("meeting", F.concat_ws("|", "area", "block", "block_b"))
+    both = named.select("area", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("block"), "meeting")
+    rooms = dealt.join(alone.unionByName(both), ["area", "block"]).select("meeting", "label", "text")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = shingle_sets(as_texts(pa.array(frame["text"], pa.large_string())))
+        return pd.DataFrame(linked_labels(sets, [bytes(x) for x in frame["label"]]), columns=["a", "b"])
+
+    return rooms.groupBy("meeting").applyInPandas(compare, "a binary, b binary")

@@ -8,6 +8,7 @@ least a slice can hold).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Small Arrow batches: a Python worker holds one at a time, next to the
     executor's own memory."""
     tune(spark)
+    # Where workers share the driver's disk they find this package there; on a
+    # cluster it comes with --py-files or is installed.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark

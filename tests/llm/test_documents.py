@@ -304,3 +304,32 @@ def test_without_labels_or_items_documents_stay_clean(spark, documents):
     assert {r.predicted for r in toxicity.toxicity(documents, labels).collect()} == {0}
     items = spark.createDataFrame([], "item_id long, text string")
     assert {r.contaminated for r in decontaminate.contamination(documents, items).collect()} == {False}
+
+
+@pytest.mark.parametrize("task_links", [0, 1000])
+def test_components(spark, task_links):
+    from basketflow.llm.components import components
+
+    rng = np.random.default_rng(4)
+    links = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2))] + [(200 + i, 201 + i) for i in range(40)]
+    links += [(300, 300 + i) for i in range(1, 30)] + [(7, 7)]
+    root = {x: x for link in links for x in link}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    found = components(spark.createDataFrame(links, "a long, b long"), task_links)
+    expected = {x: find(x) for link in links if link[0] != link[1] for x in link}
+    assert {r.node: r.root for r in found.collect()} == expected
+    assert components(spark.createDataFrame([], "a long, b long"), task_links).count() == 0
+
+
+def test_near_duplicates_in_many_small_blocks(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", 500)
+    found = rows(minhash.near_duplicates(documents), "doc_id", "n_shingles", "component_id", "kept")
+    assert found == sorted(brute.near_duplicates(corpus()), key=repr)
