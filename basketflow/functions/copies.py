@@ -8,20 +8,22 @@ from pyspark.sql import functions as F
 CHUNK = 16_384
 
 
-def repeat_rows(df: DataFrame, copies: str = "copies", spread: bool = False) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: str = "copies") -> DataFrame:
     """Each row `copies` times over, without the `copies` column.
 
-    The repeat runs in two steps so that no array is longer than a chunk or the
-    number of chunks. With `spread` the chunks are rebalanced in between, which
-    shares the copies of one hot row out over many tasks.
+    Rows of up to a chunk of copies, nearly all, are repeated where they are.
+    The others are first cut into chunks, which are rebalanced, so that the
+    copies of one hot row are shared out over many tasks.
     """
+    few = df.filter((F.col(copies) > 0) & (F.col(copies) <= CHUNK))
     last = F.expr(f"({copies} - 1) DIV {CHUNK}L")
-    chunked = df.filter(F.col(copies) > 0).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-    )
-    if spread:
-        chunked = chunked.hint("rebalance")
-    take = F.least(F.lit(CHUNK), F.col(copies) - F.col("_chunk") * F.lit(CHUNK)).cast("int")
-    return chunked.withColumn("_copy", F.explode(F.sequence(F.lit(1), take))).drop(
-        copies, "_chunk", "_copy"
+    many = (
+        df.filter(F.col(copies) > CHUNK)
+        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+        .hint("rebalance")
     )
+    rest = F.least(F.lit(CHUNK), F.col(copies) - F.col("_chunk") * F.lit(CHUNK))
+    chunks = many.withColumn(copies, rest).drop("_chunk").select(df.columns)
+    repeated = few.unionByName(chunks)
+    take = F.sequence(F.lit(1), F.col(copies).cast("int"))
+    return repeated.withColumn("_copy", F.explode(take)).drop(copies, "_copy")

@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ENCODED = ["aisle_id", "department_id"]
 
 
-def product_onehot(prior: DataFrame, products: DataFrame, product_features: DataFrame) -> DataFrame:
+def frequent_first(sold: DataFrame, label: str) -> list[str]:
+    """The labels by lines sold, most first, ties by text. One per aisle or
+    department comes to the driver, as the indexer's model holds them anyway."""
+    counted = sold.groupBy(F.col(label).cast("string").alias("label")).agg(F.sum("prod_orders").alias("n"))
+    ordered = counted.filter("label IS NOT NULL").orderBy(F.desc("n"), "label")
+    return [row["label"] for row in ordered.collect()]
+
+
+def product_onehot(products: DataFrame, product_features: DataFrame) -> DataFrame:
     """Product features with index and one-hot vector of aisle and department.
 
-    Indexes go by how many past lines a label has, most frequent first. The
-    lines are only counted; the encoding itself runs over the products.
+    Indexes go by how many past lines a label has, most frequent first. Those
+    are the sum of prod_orders over its products; history is not read.
     """
-    indexer = StringIndexer(
-        inputCols=ENCODED,
-        outputCols=[f"{name}_index" for name in ENCODED],
-        stringOrderType="frequencyDesc",
-    )
+    sold = products.join(product_features.select("product_id", "prod_orders"), "product_id")
     encoder = OneHotEncoder(
-        inputCols=indexer.getOutputCols(), outputCols=[f"{name}_encoded" for name in ENCODED]
+        inputCols=[f"{name}_index" for name in ENCODED], outputCols=[f"{name}_encoded" for name in ENCODED]
     )
-    lines = prior.select("product_id").join(products.select("product_id", *ENCODED), "product_id")
-    bought = products.join(product_features.select("product_id"), "product_id", "left_semi")
-    indexes = indexer.fit(lines)
-    indexed = indexes.transform(bought.select("product_id", *ENCODED).distinct())
+    bought = sold.select("product_id", *(F.col(name).cast("string").alias(f"{name}_text") for name in ENCODED))
+    indexed = bought.distinct()
+    for name in ENCODED:
+        labels = frequent_first(sold, name)
+        model = StringIndexerModel.from_labels(labels, inputCol=f"{name}_text", outputCol=f"{name}_index")
+        indexed = model.transform(indexed)
     encoded = encoder.fit(indexed).transform(indexed)
     added = encoded.select("product_id", *encoder.getInputCols(), *encoder.getOutputCols())
     return product_features.join(added, "product_id", "left")

@@ -65,6 +65,7 @@ def attach_user(rows: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def cross_features(rows: DataFrame) -> DataFrame:
+    """The names of the three columns."""
     since_first = F.col("user_orders") - F.col("up_first_order") + 1
     return rows.withColumns(
         {
@@ -89,8 +90,9 @@ def assemble(
 ) -> DataFrame:
     """The ML set in compact form: distinct rows with `copies`.
 
-    A product listed n times in an order yields each of its rows n times. The
-    sides joined to the labels should be stored tables: Spark then knows their
+    A product listed n times in an order yields each of its rows n times (see
+    `repeated_lines`). An order belongs to one split, so `orders` may be
+    filtered to a split beforehand, which reaches the scan. The sides joined to the labels should be stored tables: Spark then knows their
     sizes, broadcasts those that are small, and splits the labels' hot users
     and products when they are not.
     """
@@ -100,6 +102,13 @@ def assemble(
     return rows.join(product_side, "product_id").select(*schemas.ML_COLUMNS, "copies")
 
 
+def repeated_lines(order_products: DataFrame) -> DataFrame:
+    """(order_id, product_id, listed) of products that an order lists more than
+    once; each adds listed ** 2 rows to the labelled set instead of one."""
+    listed = order_products.groupBy("order_id", "product_id").agg(F.count("*").alias("listed"))
+    return listed.filter("listed > 1")
+
+
 def split(ml_set: DataFrame, eval_set: str) -> DataFrame:
     return ml_set.filter(F.col("eval_set") == eval_set)
 

@@ -55,11 +55,14 @@ def validate_notifications(messages: DataFrame, prefix: str = PREFIX, column: st
 
 
 def touched_tables(validated: DataFrame, prefix: str = PREFIX) -> DataFrame:
-    """The declared tables that valid messages name: at most one row each.
+    """(table, removed): the declared tables that valid messages name, and
+    whether any of them says that an object was removed. At most one row each.
 
     A table's objects are `<prefix><table>.csv` or lie in a folder of that name.
     """
     keys = validated.filter("valid").select(F.explode("records").alias("record"))
     name = F.substring_index(F.substr(F.col("record")["s3"]["object"]["key"], F.lit(len(prefix) + 1)), "/", 1)
     table = F.regexp_replace(name, r"\.csv$", "").alias("table")
-    return keys.select(table).filter(F.col("table").isin(list(schemas.DECLARED))).distinct()
+    removed = F.col("record")["eventName"].startswith("ObjectRemoved:").alias("removed")
+    named = keys.select(table, removed).filter(F.col("table").isin(list(schemas.DECLARED)))
+    return named.groupBy("table").agg(F.bool_or("removed").alias("removed"))

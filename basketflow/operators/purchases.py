@@ -1,9 +1,11 @@
 """Purchase history and the features drawn from it.
 
-All features but the purchase sequence come from one table of sums per (user,
-product). It is aggregated before its shuffle, so a user or product with a
-large share of all rows reaches it as partial sums from each task; user and
-product features then roll up those sums instead of scanning history again.
+History is aggregated once, to sums per occasion: (user, product, order
+number). A user or product with a large share of all rows reaches it as partial
+sums from each task. Pair totals, early purchases and the purchase sequence are
+drawn from the occasions, and the features roll up the pair totals.
+
+Fixed values: the column names of the three feature tables.
 """
 
 from __future__ import annotations
@@ -25,16 +27,19 @@ def prior_lines(order_products: DataFrame, orders: DataFrame) -> DataFrame:
     return order_products.join(past, "order_id")
 
 
-def pair_totals(prior: DataFrame) -> DataFrame:
-    """Sums per (user, product) from which every average can be rebuilt."""
-    return prior.groupBy(PAIR).agg(
+SUMS = [
+    "lines", "reorders", "reordered_known", "reordered_lines", "cart_sum", "cart_known",
+    "gap_sum", "gap_known", "weekend_lines",
+]
+
+
+def occasions(prior: DataFrame) -> DataFrame:
+    """Sums per (user, product, order number), the one pass over history."""
+    return prior.groupBy(*PAIR, "order_number").agg(
         F.count("*").alias("lines"),
-        F.min("order_number").alias("first_order"),
-        F.max("order_number").alias("last_order"),
         F.sum("reordered").alias("reorders"),
         F.count("reordered").alias("reordered_known"),
         count_if(F.col("reordered") == 1).alias("reordered_lines"),
-        count_if(F.col("order_number") > 1).alias("later_lines"),
         F.sum("add_to_cart_order").alias("cart_sum"),
         F.count("add_to_cart_order").alias("cart_known"),
         F.sum("days_since_prior_order").alias("gap_sum"),
@@ -43,6 +48,26 @@ def pair_totals(prior: DataFrame) -> DataFrame:
     )
 
 
+def pair_totals(per_occasion: DataFrame) -> DataFrame:
+    """Sums per (user, product) from which every average can be rebuilt."""
+    later = F.sum(F.when(F.col("order_number") > 1, F.col("lines")).otherwise(0))
+    return per_occasion.groupBy(PAIR).agg(
+        F.min("order_number").alias("first_order"),
+        F.max("order_number").alias("last_order"),
+        later.alias("later_lines"),
+        *(F.sum(name).alias(name) for name in SUMS),
+    )
+
+
+def merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Pair totals of two parts of history as those of the whole."""
+    return old.unionByName(new).groupBy(PAIR).agg(
+        F.min("first_order").alias("first_order"),
+        F.max("last_order").alias("last_order"),
+        *(F.sum(name).alias(name) for name in ["later_lines", *SUMS]),
+    )
+
+
 def user_product_features(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         *PAIR,
@@ -82,12 +107,7 @@ def user_features(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _occasions(prior: DataFrame) -> DataFrame:
-    """Lines per (user, product, order number): ties of the sequence collapsed."""
-    return prior.groupBy(*PAIR, "order_number").agg(F.count("*").alias("lines"))
-
-
-def purchase_sequence(prior: DataFrame, slice_orders: int = SLICE) -> DataFrame:
+def purchase_sequence(per_occasion: DataFrame, slice_orders: int = SLICE) -> DataFrame:
     """Each line with how-manieth purchase of the product by the user it is;
     lines of the same order number share a rank and push later ranks on.
 
@@ -95,7 +115,7 @@ def purchase_sequence(prior: DataFrame, slice_orders: int = SLICE) -> DataFrame:
     order numbers and then within a slice, so that even a pair with a large
     share of all rows is ranked by many tasks.
     """
-    sliced = _occasions(prior).withColumn("_slice", F.expr(f"order_number DIV {slice_orders}"))
+    sliced = per_occasion.select(*PAIR, "order_number", "lines").withColumn("_slice", F.expr(f"order_number DIV {slice_orders}"))
     earlier_slices = (
         sliced.groupBy(*PAIR, "_slice")
         .agg(F.sum("lines").alias("_lines"))
@@ -126,7 +146,7 @@ def purchase_sequence(prior: DataFrame, slice_orders: int = SLICE) -> DataFrame:
     return repeat_rows(ranked, "lines")
 
 
-def early_purchases(prior: DataFrame) -> DataFrame:
+def early_purchases(per_occasion: DataFrame) -> DataFrame:
     """Lines per product that were some user's first, and second, purchase.
 
     Only the two lowest order numbers of a pair matter. The filter on
@@ -135,7 +155,7 @@ def early_purchases(prior: DataFrame) -> DataFrame:
     than once, those lines tie for first and nobody is second.
     """
     by_order = Window.partitionBy(PAIR).orderBy("order_number")
-    lowest = _occasions(prior).withColumn("place", F.row_number().over(by_order)).filter("place <= 2")
+    lowest = per_occasion.withColumn("place", F.row_number().over(by_order)).filter("place <= 2")
     per_pair = lowest.groupBy(PAIR).agg(
         F.sum(F.when(F.col("place") == 1, F.col("lines"))).alias("first"),
         F.sum(F.when(F.col("place") == 2, F.col("lines"))).alias("next"),
@@ -146,7 +166,7 @@ def early_purchases(prior: DataFrame) -> DataFrame:
     )
 
 
-def product_features(pairs: DataFrame, prior: DataFrame) -> DataFrame:
+def product_features(pairs: DataFrame, per_occasion: DataFrame) -> DataFrame:
     totals = pairs.groupBy("product_id").agg(
         F.sum("lines").alias("prod_orders"),
         F.sum("reorders").alias("prod_reorders"),
@@ -154,7 +174,7 @@ def product_features(pairs: DataFrame, prior: DataFrame) -> DataFrame:
         F.sum("cart_sum").alias("cart_sum"),
         F.sum("cart_known").alias("cart_known"),
     )
-    return totals.join(early_purchases(prior), "product_id").select(
+    return totals.join(early_purchases(per_occasion), "product_id").select(
         "product_id",
         "prod_orders",
         "prod_reorders",

@@ -10,8 +10,9 @@ SCORE = "predicted_probability"
 
 
 def _score():
-    """A probability given as number or text; missing or unreadable is 0."""
-    return F.coalesce(F.col(SCORE).try_cast("double"), F.lit(0.0))
+    """A probability given as number or text; missing, unreadable or not a
+    number is 0."""
+    return F.coalesce(F.nanvl(F.col(SCORE).try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def newest(batch: DataFrame, version: str | None = None) -> DataFrame:
@@ -24,15 +25,16 @@ def newest(batch: DataFrame, version: str | None = None) -> DataFrame:
     return batch.withColumn("_place", place).filter("_place = 1").select(*KEY, SCORE)
 
 
-def upsert_predictions(old: DataFrame, new: DataFrame, version: str | None = None) -> DataFrame:
-    """`old`, unique by key, with the rows of `new` added or put in their place.
+def untouched(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Old rows whose key `new` does not have. Only the keys of `new` are asked
+    for, so what computes its scores is not run for this. Old rows only pass an
+    anti-join: a small batch, which Spark broadcasts, leaves them unshuffled."""
+    return old.select(*KEY, SCORE).join(new.select(KEY), KEY, "left_anti")
 
-    Old rows only pass an anti-join, so a small batch, which Spark broadcasts,
-    leaves them unshuffled.
-    """
-    latest = newest(new, version)
-    untouched = old.select(*KEY, SCORE).join(latest.select(KEY), KEY, "left_anti")
-    return untouched.unionByName(latest)
+
+def upsert_predictions(old: DataFrame, new: DataFrame, version: str | None = None) -> DataFrame:
+    """`old`, unique by key, with the rows of `new` added or put in their place."""
+    return untouched(old, new).unionByName(newest(new, version))
 
 
 def top_k(predictions: DataFrame, k: int = 3, user_id: str | None = None) -> DataFrame:

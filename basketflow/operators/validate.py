@@ -72,6 +72,22 @@ def rejects(table: str, tagged: DataFrame) -> DataFrame:
     )
 
 
+def staged(table: str, tagged: DataFrame) -> DataFrame:
+    """Tagged rows for writing once: typed columns if kept, and else the text."""
+    bad = F.col(RULE).isNotNull()
+    typed = [F.when(~bad, F.col(_typed(name))).alias(_typed(name)) for name in schemas.columns(table)]
+    text = [F.when(bad, F.col(name)).alias(name) for name in schemas.columns(table)]
+    return tagged.select(*typed, *text, RULE, bad.alias("rejected"))
+
+
+def staged_kept(table: str, rows: DataFrame) -> DataFrame:
+    return kept(table, rows.filter(~F.col("rejected")))
+
+
+def staged_rejects(table: str, rows: DataFrame) -> DataFrame:
+    return rejects(table, rows.filter("rejected"))
+
+
 def clean(table: str, raw: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected) rows of one raw table."""
     tagged = tag(table, raw, strict)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from basketflow import schemas
 from basketflow.operators import orphans, validate
-from basketflow.session import size_shuffles, tune
+from basketflow.session import scratch, scratch_scope, sized_shuffles, tune
 from basketflow.sources import readers, writers
 from basketflow.sources.zones import Zones
 
@@ -16,18 +16,24 @@ def load_table(
 ) -> dict[str, int]:
     """Write one load of a table; returns rows kept, and rows per broken rule.
 
-    The rows are counted while the kept ones are written, so the raw files are
-    read again only if there are rejects to write.
+    The raw files are parsed once: tagged rows are staged, kept ones as typed
+    columns and rejected ones as text, in a folder each, and both tables are
+    written from there. The rows are counted on the way.
     """
-    seen = Observation(f"clean_{table}")
-    tagged = validate.tag(table, raw, strict, seen)
-    writers.write_clean(validate.kept(table, tagged), zones, table, load, replace)
-    counts = {name: n for name, n in seen.get.items() if n or name == "kept"}
-    bad = validate.rejects(table, tagged)
-    if len(counts) > 1:
-        writers.write_rejects(bad, zones, table, load, replace)
-    elif replace:
-        writers.write_rejects(bad.limit(0), zones, table, load, replace)
+    spark = raw.sparkSession
+    with scratch_scope(spark):
+        seen = Observation(f"clean_{table}")
+        staged = validate.staged(table, validate.tag(table, raw, strict, seen))
+        path = scratch(spark, f"tagged-{table}")
+        staged.write.partitionBy("rejected").parquet(path)
+        rows = spark.read.schema(staged.schema).parquet(path)
+        counts = {name: n for name, n in seen.get.items() if n or name == "kept"}
+        writers.write_clean(validate.staged_kept(table, rows), zones, table, load, replace)
+        bad = validate.staged_rejects(table, rows)
+        if len(counts) > 1:
+            writers.write_rejects(bad, zones, table, load, replace)
+        elif replace:
+            writers.write_rejects(bad.limit(0), zones, table, load, replace)
     return counts
 
 
@@ -61,10 +67,10 @@ def quality_report(spark: SparkSession, zones: Zones) -> DataFrame:
 
 def clean_all(spark: SparkSession, zones: Zones, strict: bool = False) -> dict[str, dict[str, int]]:
     tune(spark)
-    size_shuffles(spark, *(zones.raw_table(table) for table in schemas.DECLARED))
-    counts = {
-        table: load_table(readers.read_raw(spark, zones, table), zones, table, strict=strict)
-        for table in schemas.DECLARED
-    }
-    report_orphans(spark, zones)
+    with sized_shuffles(spark, *(zones.raw_table(table) for table in schemas.DECLARED)):
+        counts = {
+            table: load_table(readers.read_raw(spark, zones, table), zones, table, strict=strict)
+            for table in schemas.DECLARED
+        }
+        report_orphans(spark, zones)
     return counts

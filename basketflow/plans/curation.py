@@ -1,45 +1,43 @@
 """Clean zone to curated zone: history, features, ML set.
 
-Purchase history and the pair totals are each written once and read back, so
-no later write repeats the join or the big aggregation, and a lost executor
+Purchase history, its occasions and the pair totals are each written once and
+read back, so no later write repeats the join or the big aggregation, and a lost executor
 costs at most the step it was working on. The two tables joined to the labels
 are written too: a join between plain scans is one whose hot keys Spark splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.operators import mlset, purchases
-from basketflow.session import size_shuffles, tune
-from basketflow.sources import readers, writers
+from basketflow.session import scratch_scope, sized_shuffles, stored, tune
+from basketflow.sources import files, readers, writers
 from basketflow.sources.zones import Zones
 
 HISTORY = "order_products_prior"
+OCCASIONS = "_occasions"
 TOTALS = "_pair_totals"
 USERS = "_target_users"
 NAMED = "_named_products"
 
 
-def write_features(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
+def write_features(spark: SparkSession, zones: Zones) -> None:
     lines = readers.read_clean(spark, zones, "order_products")
     orders = readers.read_clean(spark, zones, "orders")
-    writers.write_curated(purchases.prior_lines(lines, orders), zones, HISTORY, mode=mode)
-
+    writers.write_curated(purchases.prior_lines(lines, orders), zones, HISTORY)
     prior = readers.read_curated(spark, zones, HISTORY)
-    writers.write_curated(purchases.pair_totals(prior), zones, TOTALS)
+    writers.write_curated(purchases.occasions(prior), zones, OCCASIONS)
+    occasions = readers.read_curated(spark, zones, OCCASIONS)
+    writers.write_curated(purchases.pair_totals(occasions), zones, TOTALS)
 
     pairs = readers.read_curated(spark, zones, TOTALS)
-    writers.write_curated(purchases.user_product_features(pairs), zones, "up_features", mode=mode)
-    writers.write_curated(
-        purchases.user_features(pairs), zones, "user_features", sort_by="user_id", mode=mode
-    )
-    writers.write_curated(
-        purchases.product_features(pairs, prior), zones, "product_features", mode=mode
-    )
+    writers.write_curated(purchases.user_product_features(pairs), zones, "up_features")
+    writers.write_curated(purchases.user_features(pairs), zones, "user_features", sort_by="user_id")
+    writers.write_curated(purchases.product_features(pairs, occasions), zones, "product_features")
 
 
-def write_ml_dataset(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
+def write_ml_dataset(spark: SparkSession, zones: Zones) -> None:
     orders = readers.read_clean(spark, zones, "orders")
     users = mlset.target_users(
         readers.read_curated(spark, zones, "user_features"), mlset.target_orders(orders)
@@ -57,11 +55,28 @@ def write_ml_dataset(spark: SparkSession, zones: Zones, mode: str = "overwrite")
         readers.read_curated(spark, zones, USERS),
         readers.read_curated(spark, zones, NAMED),
     )
-    writers.write_ml_split(compact, zones, mode)
+    writers.write_ml_split(compact, zones)
+
+
+def curate_all(spark: SparkSession, zones: Zones) -> None:
+    tune(spark)
+    with sized_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products")):
+        write_features(spark, zones)
+        write_ml_dataset(spark, zones)
 
 
-def curate_all(spark: SparkSession, zones: Zones, mode: str = "overwrite") -> None:
+def add_history(spark: SparkSession, zones: Zones, lines: DataFrame, orders: DataFrame) -> None:
+    """Merge one more load of history into the stored pair totals and write the
+    user and pair features anew. Lines and orders of a load belong together.
+
+    Only the load is joined and aggregated; the old totals are read once. They
+    are written aside first, since the table being read cannot be replaced."""
     tune(spark)
-    size_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products"))
-    write_features(spark, zones, mode)
-    write_ml_dataset(spark, zones, mode)
+    new = purchases.pair_totals(purchases.occasions(purchases.prior_lines(lines, orders)))
+    known = files.exists(spark, zones.curated_table(TOTALS))
+    merged = purchases.merge_totals(readers.read_curated(spark, zones, TOTALS), new) if known else new
+    with scratch_scope(spark):
+        writers.write_curated(stored(merged, "merged-totals"), zones, TOTALS)
+    pairs = readers.read_curated(spark, zones, TOTALS)
+    writers.write_curated(purchases.user_product_features(pairs), zones, "up_features")
+    writers.write_curated(purchases.user_features(pairs), zones, "user_features", sort_by="user_id")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow import schemas
-from basketflow.operators import serve
+from basketflow.operators import artifacts, serve
 from basketflow.session import scratch, tune
 from basketflow.sources import readers, writers
 from basketflow.sources.zones import Zones
@@ -18,6 +18,8 @@ from basketflow.sources.zones import Zones
 LABEL = "reordered"
 NUMERIC = [name for name in schemas.ML_COLUMNS[4:] if name != "product_name"]
 SEED = 7
+# A saved model is a folder with this one in it.
+SAVED = "/metadata"
 
 
 def _numbers(ml_set: DataFrame) -> DataFrame:
@@ -45,7 +47,8 @@ def train(training: DataFrame, trees: bool = False, path: str | None = None) ->
 
 
 def score(model: PipelineModel, ml_set: DataFrame) -> DataFrame:
-    """(user_id, product_id, predicted_probability), keys as text."""
+    """(user_id, product_id, predicted_probability), keys as text. Works with
+    any model over the numeric features; what else the set holds is ignored."""
     scored = model.transform(_numbers(ml_set.select("user_id", "product_id", *NUMERIC)))
     return scored.select(
         F.col("user_id").cast("string"),
@@ -54,20 +57,50 @@ def score(model: PipelineModel, ml_set: DataFrame) -> DataFrame:
     )
 
 
+def evaluate(model: PipelineModel, ml_set: DataFrame) -> DataFrame:
+    """One row on how a model does on a labelled set: rows, distinct pairs,
+    rows with a probability within 0 and 1, the log loss of the model and of
+    the label rate alone, and the mean score and label."""
+    label = F.col(LABEL).cast("double")
+    p = vector_to_array("probability")[1]
+    scored = model.transform(_numbers(ml_set)).select("user_id", "product_id", label.alias("y"), p.alias("p"))
+    safe = F.least(F.greatest(F.col("p"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = F.avg(-F.when(F.col("y") == 1, F.log(safe)).otherwise(F.log(1 - safe)))
+    rate = F.avg("y")
+    entropy = F.when(rate.between(1e-9, 1 - 1e-9), -rate * F.log(rate) - (1 - rate) * F.log(1 - rate)).otherwise(0.0)
+    return scored.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("user_id", "product_id").alias("pairs"),
+        F.count_if(F.col("p").between(0, 1)).alias("in_range"),
+        loss.alias("log_loss"),
+        entropy.alias("base_log_loss"),
+        F.avg("p").alias("mean_score"),
+        rate.alias("label_rate"),
+    )
+
+
+def newest_model(spark: SparkSession, folder: str) -> str:
+    """The model saved last below a folder."""
+    listed = artifacts.listing(spark, folder).filter(~F.col("key").contains("/stages/"))
+    saved = listed.withColumn("key", F.regexp_replace("key", f"{SAVED}/part-[^/]*$", SAVED))
+    return artifacts.latest_key(saved, prefix="", suffix=SAVED).removesuffix(SAVED)
+
+
 def train_job(spark: SparkSession, zones: Zones, model_path: str, trees: bool = False) -> None:
     tune(spark)
     train(readers.read_ml_split(spark, zones, "train"), trees, model_path)
 
 
-def score_job(spark: SparkSession, zones: Zones, model_path: str, version: int) -> None:
+def score_job(
+    spark: SparkSession, zones: Zones, model_path: str | None, version: int, models: str | None = None
+) -> None:
     """Score the test split into a new version of the prediction table, carried
-    on from the version before it if that exists."""
+    on from the version before it if that exists. The model is the one at
+    `model_path`, or else the newest below the folder `models`."""
     tune(spark)
-    model = PipelineModel.load(model_path)
+    model = PipelineModel.load(model_path or newest_model(spark, models))
     fresh = score(model, readers.read_ml_split(spark, zones, "test"))
+    carried = None
     if version > 0:
-        old = spark.read.parquet(zones.predictions(version - 1))
-        table = serve.upsert_predictions(old, fresh)
-    else:
-        table = serve.newest(fresh)
-    writers.write_predictions(table, zones, version)
+        carried = serve.untouched(spark.read.parquet(zones.predictions(version - 1)), fresh)
+    writers.write_predictions(serve.newest(fresh), zones, version, carried)

@@ -6,9 +6,11 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from basketflow import session
+from basketflow import schemas, session
 from basketflow.plans import cleaning, curation, recommend
 from basketflow.sources.zones import Zones
+from basketflow.streaming.arrivals import on_notifications
+from basketflow.streaming.incremental import incremental_clean
 
 
 def run_all(spark: SparkSession, zones: Zones, strict: bool = False) -> dict[str, dict[str, int]]:
@@ -20,7 +22,7 @@ def run_all(spark: SparkSession, zones: Zones, strict: bool = False) -> dict[str
 
 def parser() -> argparse.ArgumentParser:
     args = argparse.ArgumentParser(prog="basketflow")
-    args.add_argument("job", choices=["clean", "curate", "all", "train", "score"])
+    args.add_argument("job", choices=["clean", "curate", "all", "train", "score", "stream", "arrivals"])
     args.add_argument("--root", help="folder that holds all zones not given below")
     for zone in ("raw", "clean", "curated", "consumption", "quarantine"):
         args.add_argument(f"--{zone}", help=f"{zone} zone")
@@ -28,7 +30,12 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--version", type=int, default=0, help="prediction table version (score)")
     args.add_argument("--trees", action="store_true", help="train boosted trees")
     args.add_argument("--strict", action="store_true", help="reject decimal text in whole-number columns")
-    args.add_argument("--append", action="store_true", help="append curated tables instead of replacing them")
+    args.add_argument("--models", help="folder of models, of which the newest scores (score)")
+    args.add_argument("--prefix", default="data/", help="folder of the raw tables within the raw zone")
+    args.add_argument("--tables", nargs="+", choices=sorted(schemas.DECLARED), default=sorted(schemas.DECLARED),
+                      help="tables to take new files of (stream)")
+    args.add_argument("--inbox", help="folder of notification messages (arrivals)")
+    args.add_argument("--checkpoint", help="folder of stream progress (stream, arrivals)")
     args.add_argument("--shuffle-partitions", type=int)
     return args
 
@@ -39,7 +46,7 @@ def zones_from(args: argparse.Namespace) -> Zones:
     if args.root:
         defaults = Zones.under(args.root)
         given = {name: value or getattr(defaults, name) for name, value in given.items()}
-    return Zones(**{name: (value or "").rstrip("/") for name, value in given.items()})
+    return Zones(**{name: (value or "").rstrip("/") for name, value in given.items()}, prefix=args.prefix)
 
 
 def needed_zones(job: str) -> tuple[str, ...]:
@@ -49,6 +56,8 @@ def needed_zones(job: str) -> tuple[str, ...]:
         "all": ("raw", "clean", "quarantine", "curated"),
         "train": ("curated",),
         "score": ("curated", "consumption"),
+        "stream": ("raw", "clean", "quarantine"),
+        "arrivals": ("raw", "clean", "quarantine", "curated"),
     }[job]
 
 
@@ -57,8 +66,12 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments.parse_args(argv)
     zones = zones_from(args)
     missing = [f"--{zone}" for zone in needed_zones(args.job) if not getattr(zones, zone)]
-    if args.job in ("train", "score") and not args.model:
+    if args.job == "train" and not args.model or args.job == "score" and not (args.model or args.models):
         missing.append("--model")
+    if args.job in ("stream", "arrivals") and not args.checkpoint:
+        missing.append("--checkpoint")
+    if args.job == "arrivals" and not args.inbox:
+        missing.append("--inbox")
     if missing:
         arguments.error(f"{args.job} needs {', '.join(missing)}")
     spark = session.build(shuffle_partitions=args.shuffle_partitions)
@@ -66,8 +79,13 @@ def main(argv: list[str] | None = None) -> None:
         for table, counts in cleaning.clean_all(spark, zones, args.strict).items():
             print(table, counts)
     if args.job in ("curate", "all"):
-        curation.curate_all(spark, zones, "append" if args.append else "overwrite")
+        curation.curate_all(spark, zones)
     if args.job == "train":
         recommend.train_job(spark, zones, args.model, args.trees)
     if args.job == "score":
-        recommend.score_job(spark, zones, args.model, args.version)
+        recommend.score_job(spark, zones, args.model, args.version, args.models)
+    if args.job == "stream":
+        for table in args.tables:
+            incremental_clean(spark, zones, table, f"{args.checkpoint}/{table}", strict=args.strict)
+    if args.job == "arrivals":
+        on_notifications(spark, zones, args.inbox, args.checkpoint, then=curation.curate_all, strict=args.strict)

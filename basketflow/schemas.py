@@ -10,26 +10,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
 # The column names and types of the five input tables.
 DECLARED = {
-    "aisles": "aisle_id bigint, aisle string",
-    "departments": "department_id bigint, department string",
-    "products": "product_id bigint, product_name string, aisle_id bigint, department_id bigint",
-    "orders": (
-        "order_id bigint, user_id bigint, eval_set string, order_number bigint, "
-        "order_dow bigint, order_hour_of_day bigint, days_since_prior_order double"
+    "aisles": _table(aisle_id=T.LongType(), aisle=T.StringType()),
+    "departments": _table(department_id=T.LongType(), department=T.StringType()),
+    "products": _table(
+        product_id=T.LongType(),
+        product_name=T.StringType(),
+        aisle_id=T.LongType(),
+        department_id=T.LongType(),
+    ),
+    "orders": _table(
+        order_id=T.LongType(),
+        user_id=T.LongType(),
+        eval_set=T.StringType(),
+        order_number=T.LongType(),
+        order_dow=T.LongType(),
+        order_hour_of_day=T.LongType(),
+        days_since_prior_order=T.DoubleType(),
     ),
-    "order_products": (
-        "order_id bigint, product_id bigint, add_to_cart_order bigint, reordered bigint"
+    "order_products": _table(
+        order_id=T.LongType(),
+        product_id=T.LongType(),
+        add_to_cart_order=T.LongType(),
+        reordered=T.LongType(),
     ),
 }
 
-TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
-
 
 def declared(table: str) -> list[tuple[str, str]]:
     """(column, type name) pairs in declared order."""
-    return [tuple(field.split()) for field in DECLARED[table].split(", ")]
+    return [(field.name, field.dataType.simpleString()) for field in typed_schema(table)]
 
 
 def columns(table: str) -> list[str]:
@@ -37,7 +52,7 @@ def columns(table: str) -> list[str]:
 
 
 def typed_schema(table: str) -> T.StructType:
-    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in declared(table)])
+    return DECLARED[table]
 
 
 def text_schema(table: str) -> T.StructType:
@@ -92,11 +107,32 @@ def is_training_target() -> Column:
 
 
 # The columns of the training and test sets, in order.
-ML_COLUMNS = (
-    "product_id user_id eval_set reordered up_orders up_reorders up_first_order up_last_order "
-    "up_avg_add_to_cart_order up_avg_time_since_last_order user_orders user_total_products "
-    "user_period user_mean_days_since_prior user_distinct_products user_reorder_ratio "
-    "weekend_order_ratio user_average_basket up_order_rate up_orders_since_last_order "
-    "up_order_rate_since_first_order prod_orders prod_avg_cart_position prod_reorder_rate "
-    "prod_reorder_probability prod_reorder_times product_name"
-).split()
+ML_COLUMNS = [
+    "product_id",
+    "user_id",
+    "eval_set",
+    "reordered",
+    "up_orders",
+    "up_reorders",
+    "up_first_order",
+    "up_last_order",
+    "up_avg_add_to_cart_order",
+    "up_avg_time_since_last_order",
+    "user_orders",
+    "user_total_products",
+    "user_period",
+    "user_mean_days_since_prior",
+    "user_distinct_products",
+    "user_reorder_ratio",
+    "weekend_order_ratio",
+    "user_average_basket",
+    "up_order_rate",
+    "up_orders_since_last_order",
+    "up_order_rate_since_first_order",
+    "prod_orders",
+    "prod_avg_cart_position",
+    "prod_reorder_rate",
+    "prod_reorder_probability",
+    "prod_reorder_times",
+    "product_name",
+]

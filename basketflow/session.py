@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from basketflow.sources import files
 
 # Runtime SQL settings. Joins are never hinted: Spark broadcasts a side only
 # when its size is under spark.sql.autoBroadcastJoinThreshold, and splits hot
@@ -35,26 +38,32 @@ def build(app: str = "basketflow", shuffle_partitions: int | None = None) -> Spa
 
 
 INPUT_PER_TASK = 64 << 20
-MOST_SHUFFLE_PARTITIONS = 20_000
 
 
-def size_shuffles(spark: SparkSession, *folders: str) -> int:
-    """Raise the number of shuffle partitions to fit the files of `folders`.
+@contextmanager
+def sized_shuffles(spark: SparkSession, *folders: str) -> Iterator[int]:
+    """Within it, shuffles have partitions enough for the files of `folders`.
 
     Adaptive execution merges partitions that turn out small, but cannot make
-    more of them than there are. The files are listed, not read.
+    more of them than there are. The size is the one Spark learns from listing
+    the files, so nothing is read. The former setting comes back afterwards.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(folders))
-    size = files.agg(F.sum("length")).first()[0] or 0
-    wanted = min(MOST_SHUFFLE_PARTITIONS, -(-size // INPUT_PER_TASK))
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    listed = spark.read.option("recursiveFileLookup", "true").text(list(folders))
+    size = int(listed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = max(int(before), -(-size // INPUT_PER_TASK))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+_scratch: dict[str, list[str]] = {}
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder path that every executor can reach.
+    """A new folder path that every executor can reach, until `release`.
 
     The parent is the session's checkpoint folder. Only a local master, where
     the one machine is the whole cluster, may fall back to a temporary folder.
@@ -64,7 +73,28 @@ def scratch(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         parent = tempfile.mkdtemp(prefix="basketflow-")
-    return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch folders of this application, or those made after the
+    first `since`. Frames that read them end with that."""
+    made = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in made[since:]:
+        files.delete(spark, path)
+    del made[since:]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what scratch folders were made within it."""
+    since = len(_scratch.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, since)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

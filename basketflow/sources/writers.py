@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.copies import repeat_rows
+from basketflow.session import scratch_scope, stored
 from basketflow.sources.zones import Zones
 
 
@@ -15,8 +16,10 @@ def write_clean(df: DataFrame, zones: Zones, table: str, load: int = 0, replace:
 
 
 def write_rejects(df: DataFrame, zones: Zones, table: str, load: int = 0, replace: bool = True) -> None:
-    """One load of a table's rejected rows, foldered by the rule they broke."""
-    _write_load(df.drop("table"), zones.rejects(table), load, replace, ["rule"])
+    """One load of a table's rejected rows, foldered by the rule they broke.
+    They are few for their number of tasks, so they are gathered by rule first;
+    a rule with very many is split again."""
+    _write_load(df.drop("table").hint("rebalance", "rule"), zones.rejects(table), load, replace, ["rule"])
 
 
 def _write_load(df: DataFrame, root: str, load: int, replace: bool, partitions: list[str]) -> None:
@@ -28,30 +31,41 @@ def _write_load(df: DataFrame, root: str, load: int, replace: bool, partitions:
         writer.mode("overwrite").parquet(f"{root}/load={load}")
 
 
-def write_curated(df: DataFrame, zones: Zones, table: str, sort_by: str | None = None, mode: str = "overwrite") -> None:
+def write_curated(df: DataFrame, zones: Zones, table: str, sort_by: str | None = None) -> None:
     """A curated table. `sort_by` range-partitions, so that file after file is
-    in global order without one task writing everything."""
-    if sort_by:
-        df = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
-    df.write.mode(mode).parquet(zones.curated_table(table))
-
-
-def write_ml_split(compact: DataFrame, zones: Zones, mode: str = "overwrite") -> None:
+    in global order without one task writing everything. The rows are stored
+    before that: placing the borders of the ranges reads them once more."""
+    path = zones.curated_table(table)
+    if not sort_by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    with scratch_scope(df.sparkSession):
+        ranged = stored(df, "to-sort").repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        ranged.write.mode("overwrite").parquet(path)
+
+
+def write_ml_split(compact: DataFrame, zones: Zones) -> None:
     """Both splits of the compact ML set in one job, foldered by eval_set."""
     splits = compact.filter(F.col("eval_set").isin("train", "test"))
-    repeat_rows(splits, spread=True).write.mode(mode).partitionBy("eval_set").parquet(zones.ml_dataset())
+    repeat_rows(splits).write.mode("overwrite").partitionBy("eval_set").parquet(zones.ml_dataset())
 
 
 def write_orphans(df: DataFrame, zones: Zones, reference: str) -> None:
     df.write.mode("overwrite").parquet(zones.orphans(reference))
 
 
-def write_predictions(df: DataFrame, zones: Zones, version: int) -> None:
+def write_predictions(df: DataFrame, zones: Zones, version: int, carried: DataFrame | None = None) -> None:
     """A version of the prediction table, ranged by user so that a lookup of
-    one user skips all row groups but those that can hold it."""
-    (
-        df.repartitionByRange("user_id", "product_id")
-        .sortWithinPartitions("user_id", "product_id")
-        .write.mode("overwrite")
-        .parquet(zones.predictions(version))
-    )
+    one user skips all row groups but those that can hold it. Rows carried on
+    from the version before are in that order already and are copied as they
+    lie; only the new ones are ranged."""
+    if carried is not None:
+        carried.write.mode("overwrite").parquet(zones.predictions(version))
+    with scratch_scope(df.sparkSession):
+        (
+            stored(df, "to-range")
+            .repartitionByRange("user_id", "product_id")
+            .sortWithinPartitions("user_id", "product_id")
+            .write.mode("overwrite" if carried is None else "append")
+            .parquet(zones.predictions(version))
+        )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 
@@ -12,15 +13,18 @@ class Zones:
     curated: str
     consumption: str
     quarantine: str
+    # Where raw tables lie in the raw zone; notifications name keys below it.
+    prefix: str = "data/"
 
     @classmethod
-    def under(cls, root: str) -> "Zones":
+    def under(cls, root: str, prefix: str = "data/") -> "Zones":
         root = root.rstrip("/")
-        return cls(*(f"{root}/{zone}" for zone in ("raw", "clean", "curated", "consumption", "quarantine")))
+        zones = (f"{root}/{zone}" for zone in ("raw", "clean", "curated", "consumption", "quarantine"))
+        return cls(*zones, prefix)
 
     def raw_table(self, table: str) -> str:
         """One CSV object, or a folder of them under the same name."""
-        return f"{self.raw}/data/{table}.csv"
+        return f"{self.raw}/{self.prefix}{table}.csv"
 
     def clean_table(self, table: str) -> str:
         return f"{self.clean}/{table}"
@@ -38,7 +42,9 @@ class Zones:
         return f"{self.quarantine}/orphans/{reference}"
 
     def bookmark(self, table: str) -> str:
-        return f"{self.clean}/_bookmarks/{table}"
+        """Kept per raw path: another raw folder is another history."""
+        raw = hashlib.sha256(self.raw_table(table).encode()).hexdigest()[:16]
+        return f"{self.clean}/_bookmarks/{table}/{raw}"
 
     def predictions(self, version: int) -> str:
         return f"{self.consumption}/predictions/version={version}"

@@ -3,8 +3,8 @@
 A notification only says that a table changed. What changed is found by
 comparing the table's raw files with a bookmark of those already cleaned: new
 files are cleaned as one more load, while a file that was replaced or removed
-means the table is cleaned anew. File names never leave the executors; the
-driver gets counts and the span of modification times to read.
+means the table is cleaned anew. A table is only emptied if a message says
+that objects were removed: raw files that are missing without one are an error.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow import schemas
-from basketflow.operators.notifications import PREFIX, touched_tables, validate_notifications
+from basketflow.operators.notifications import touched_tables, validate_notifications
 from basketflow.plans.cleaning import empty_table, load_table
 from basketflow.session import tune
+from basketflow.sources import files
 from basketflow.sources.readers import read_raw
 from basketflow.sources.zones import Zones
 
@@ -33,29 +33,35 @@ def _read_bookmark(spark: SparkSession, zones: Zones, table: str, version: int)
     return spark.read.schema(FILES).parquet(f"{zones.bookmark(table)}/version={version}")
 
 
-def _write_bookmark(files: DataFrame, zones: Zones, table: str, version: int) -> None:
-    files.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={version}")
+def _write_bookmark(listed: DataFrame, zones: Zones, table: str, version: int) -> None:
+    listed.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={version}")
 
 
 def _list_files(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
     """The raw files of a table, written down so that the listing stands still
-    while it is acted on. The content of the files is not read. A nameless
-    entry at time 0 marks a listing as made even if there are no files."""
-    listed = spark.range(1).select(F.lit("").alias("path"), F.lit(0).cast("bigint").alias("modified"))
-    try:
-        files = spark.read.format("binaryFile").load(zones.raw_table(table))
-        listed = listed.union(files.select("path", F.unix_millis("modificationTime")))
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    while it is acted on. Only the file system is asked, no file is opened. A
+    nameless entry at time 0 marks a listing as made even if there are no files."""
+    raw = zones.raw_table(table)
+    found = list(files.listing(spark, raw)) if files.exists(spark, raw) else []
+    listed = spark.createDataFrame([("", 0), *found], FILES)
     _write_bookmark(listed, zones, table, PENDING)
     return _read_bookmark(spark, zones, table, PENDING)
 
 
+def _versions(spark: SparkSession, zones: Zones, table: str) -> list[int]:
+    names = files.names(spark, zones.bookmark(table))
+    return sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
+
+
 def _last_version(spark: SparkSession, zones: Zones, table: str) -> int:
     """Number of the newest bookmark, PENDING if the table was never cleaned."""
-    versions = spark.read.schema(f"{FILES}, version bigint").parquet(zones.bookmark(table))
-    return versions.agg(F.max("version")).first()[0]
+    return max(_versions(spark, zones, table), default=PENDING)
+
+
+def _drop_versions(spark: SparkSession, zones: Zones, table: str, before: int) -> None:
+    for version in _versions(spark, zones, table):
+        if PENDING < version < before:
+            files.delete(spark, f"{zones.bookmark(table)}/version={version}")
 
 
 def _compare(now: DataFrame, then: DataFrame) -> Row:
@@ -75,14 +81,21 @@ def _time(millis: int) -> str:
     return moment.replace(tzinfo=None).isoformat(timespec="milliseconds")
 
 
-def refresh_table(spark: SparkSession, zones: Zones, table: str, strict: bool = False) -> str:
+def refresh_table(
+    spark: SparkSession, zones: Zones, table: str, strict: bool = False, removed: bool = False
+) -> str:
     """Bring a clean table up to date with its raw files; returns what it did:
     "none", "append" or "rebuild".
 
+    Without any raw file it empties the clean table if `removed` says that
+    they were taken away, and else raises FileNotFoundError.
+
     Retrying after a failure repeats the same load, since the bookmark moves
     last. The clean table must not be written by other jobs in between.
     """
     now = _list_files(spark, zones, table)
+    if not removed and now.filter("path <> ''").isEmpty():
+        raise FileNotFoundError(f"no raw file at {zones.raw_table(table)}, and none was said to be removed")
     version = _last_version(spark, zones, table)
     known = version > PENDING
     then = _read_bookmark(spark, zones, table, version) if known else now.limit(0)
@@ -101,6 +114,7 @@ def refresh_table(spark: SparkSession, zones: Zones, table: str, strict: bool =
         raw = read_raw(spark, zones, table, **span)
         load_table(raw, zones, table, load=load, replace=not append, strict=strict)
     _write_bookmark(now, zones, table, load)
+    _drop_versions(spark, zones, table, load)
     return "append" if append else "rebuild"
 
 
@@ -109,21 +123,21 @@ def on_notifications(
     zones: Zones,
     inbox: str,
     checkpoint: str,
-    prefix: str = PREFIX,
     then: Callable[[SparkSession, Zones], None] | None = None,
     strict: bool = False,
 ) -> StreamingQuery:
     """Work through the notifications in `inbox` (JSON text, one per line).
 
     Messages are validated as a stream; per micro-batch each table that valid
-    ones name is refreshed, then `then` runs if anything changed.
+    ones name is refreshed, then `then` runs if anything changed. Keys count
+    below the prefix of `zones`, where the raw files are looked for as well.
     """
     tune(spark)
 
     def handle(messages: DataFrame, batch_id: int) -> None:
-        named = touched_tables(validate_notifications(messages, prefix), prefix)
-        tables = [row["table"] for row in named.take(len(schemas.DECLARED))]
-        done = [refresh_table(spark, zones, table, strict) for table in sorted(tables)]
+        named = touched_tables(validate_notifications(messages, zones.prefix), zones.prefix)
+        rows = sorted(named.take(len(schemas.DECLARED)))
+        done = [refresh_table(spark, zones, row["table"], strict, row["removed"]) for row in rows]
         if then is not None and any(action != "none" for action in done):
             then(spark, zones)
 

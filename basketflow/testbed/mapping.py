@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.session import stored
 
-PRODUCTS, AISLES, DEPARTMENTS = 50, 10, 5
+# So many parts are one product, products one aisle, and products one
+# department: all three grow with the data, and parts come back often enough.
+PARTS, AISLE, DEPARTMENT = 20, 2, 5
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             }
         )
     )
+    # A user's orders of one day are few in any data that has users; they are
+    # the smallest group that numbering needs.
     place = F.row_number().over(Window.partitionBy("user_id", "day").orderBy("at", "order_id"))
     numbered = rows.withColumn("place", place).join(days, ["user_id", "day"])
     number = F.col("before") + F.col("place")
@@ -59,11 +63,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = (
         _table(spark, sf_dir, "part")
-        .groupBy((F.col("p_partkey") % PRODUCTS).alias("product_id"))
+        .groupBy(F.expr(f"p_partkey DIV {PARTS}").alias("product_id"))
         .agg(F.min("p_name").alias("product_name"))
     )
     return named.withColumns(
-        {"aisle_id": F.col("product_id") % AISLES, "department_id": F.col("product_id") % DEPARTMENTS}
+        {"aisle_id": F.expr(f"product_id DIV {AISLE}"), "department_id": F.expr(f"product_id DIV {DEPARTMENT}")}
     )
 
 
@@ -81,7 +85,7 @@ def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Dat
     """Lines of the mapped orders, `numbered`."""
     lines = stored(
         _table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"), (F.col("l_partkey") % PRODUCTS).alias("product_id"))
+        .groupBy(F.col("l_orderkey").alias("order_id"), F.expr(f"l_partkey DIV {PARTS}").alias("product_id"))
         .agg(F.min("l_linenumber").cast("bigint").alias("add_to_cart_order"))
         .join(numbered.select("order_id", "user_id", "order_number"), "order_id"),
         "lines",
@@ -144,10 +148,10 @@ def dirty(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         )
     if table == "order_products":
         return spoil(
-            "order_id", 89, {"reordered": {1: "2"}, "product_id": {2: "100000"}, "order_id": {3: "-1"}}
+            "order_id", 89, {"reordered": {1: "2"}, "product_id": {2: "100000000"}, "order_id": {3: "-1"}}
         )
     if table == "products":
-        return spoil("product_id", 17, {"aisle_id": {1: "99"}, "department_id": {2: "99"}})
+        return spoil("product_id", 17, {"aisle_id": {1: "999999"}, "department_id": {2: "999999"}})
     return text
 
 
@@ -169,7 +173,7 @@ def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+def notifications(spark: SparkSession, sf_dir: str, prefix: str = "data/") -> DataFrame:
     """(event_id, value): one JSON message per event."""
     kind = F.col("event_type")
     name = (
@@ -180,7 +184,7 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = F.element_at(
         F.array([F.lit(t) for t in sorted(schemas.DECLARED)]), (F.col("event_id") % 5 + 1).cast("int")
     )
-    folder = F.when(kind == "signup", "logs/").otherwise("data/")
+    folder = F.when(kind == "signup", "logs/").otherwise(prefix)
 
     def record(source: str):
         return F.struct(

@@ -4,7 +4,7 @@ counts and windows over single rows."""
 from __future__ import annotations
 
 from basketflow import schemas
-from basketflow.testbed.queries import ONE_USER
+from basketflow.testbed.queries import COEFFICIENTS, INTERCEPT, ONE_USER
 
 
 def r2(top: str, bottom: str) -> str:
@@ -25,12 +25,12 @@ fx_orders AS (
          o_orderdate) AS DOUBLE) AS days_since_prior_order
   FROM orders),
 fx_products AS (
-  SELECT product_id, product_name, product_id % 10 AS aisle_id, product_id % 5 AS department_id
-  FROM (SELECT p_partkey % 50 AS product_id, min(p_name) AS product_name FROM part GROUP BY 1)),
+  SELECT product_id, product_name, product_id // 2 AS aisle_id, product_id // 5 AS department_id
+  FROM (SELECT p_partkey // 20 AS product_id, min(p_name) AS product_name FROM part GROUP BY 1)),
 fx_aisles AS (SELECT DISTINCT aisle_id, 'aisle ' || aisle_id AS aisle FROM fx_products),
 fx_departments AS (SELECT DISTINCT department_id, 'department ' || department_id AS department FROM fx_products),
 fx_lines AS (
-  SELECT l_orderkey AS order_id, l_partkey % 50 AS product_id,
+  SELECT l_orderkey AS order_id, l_partkey // 20 AS product_id,
     CAST(min(l_linenumber) AS BIGINT) AS add_to_cart_order
   FROM lineitem GROUP BY 1, 2),
 fx_order_products AS (
@@ -71,7 +71,7 @@ cl_orders AS (
   FROM tagged_orders WHERE rule IS NULL),
 tx_order_products AS (
   SELECT CASE WHEN order_id % 89 = 3 THEN '-1' ELSE CAST(order_id AS VARCHAR) END AS order_id,
-    CASE WHEN order_id % 89 = 2 THEN '100000' ELSE CAST(product_id AS VARCHAR) END AS product_id,
+    CASE WHEN order_id % 89 = 2 THEN '100000000' ELSE CAST(product_id AS VARCHAR) END AS product_id,
     CAST(add_to_cart_order AS VARCHAR) AS add_to_cart_order,
     CASE WHEN order_id % 89 = 1 THEN '2' ELSE CAST(reordered AS VARCHAR) END AS reordered
   FROM fx_order_products),
@@ -81,8 +81,8 @@ cl_order_products AS (
   FROM tx_order_products WHERE reordered IN ('0', '1')),
 cl_products AS (
   SELECT product_id, product_name,
-    CASE WHEN product_id % 17 = 1 THEN 99 ELSE aisle_id END AS aisle_id,
-    CASE WHEN product_id % 17 = 2 THEN 99 ELSE department_id END AS department_id
+    CASE WHEN product_id % 17 = 1 THEN 999999 ELSE aisle_id END AS aisle_id,
+    CASE WHEN product_id % 17 = 2 THEN 999999 ELSE department_id END AS department_id
   FROM fx_products),
 reject_orders AS (
   SELECT 'orders' AS "table", rule, order_id, user_id, eval_set, order_number, order_dow,
@@ -191,6 +191,7 @@ def _with(select: str, cleaned: bool = False) -> str:
     return f"WITH {FIXTURE}, {DIRTY}, {source}, {FEATURES} {select}"
 
 
+_LINEAR = " + ".join(f"{weight} * coalesce({name}, 0)" for name, weight in COEFFICIENTS.items())
 _LABEL_FEATURES = ", ".join(f"f.{name}" for name in schemas.ML_COLUMNS[4:])
 
 def _index(name: str) -> str:
@@ -277,6 +278,30 @@ ORACLE: dict[str, str] = {
             WHEN event_type = 'signup' THEN 'prefix'
             WHEN event_id % 10 = 0 THEN 'source' END AS reason
           FROM events)""",
+    "train_and_score": _with(
+        """SELECT eval_set, count(*) AS rows, count(DISTINCT (user_id, product_id)) AS pairs, count(*) AS in_range,
+          true AS beats_base_rate, true AS near_label_rate
+        FROM final GROUP BY eval_set"""
+    ),
+    "score_fixed_model": _with(
+        f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
+          round(1 / (1 + exp(-({INTERCEPT} + {_LINEAR}))), 6) AS predicted_probability
+        FROM final WHERE eval_set = 'test'"""
+    ),
+    "quarantine_rows": _with('SELECT * EXCLUDE ("table") FROM reject_order_products'),
+    "repeated_lines": _with(
+        """SELECT order_id, product_id, count(*) AS listed FROM fx_order_products
+        GROUP BY order_id, product_id HAVING count(*) > 1"""
+    ),
+    "notified_prefix": _with("SELECT * FROM cl_order_products"),
+    "notified_training_data": _with("SELECT * FROM final WHERE eval_set = 'train'", cleaned=True),
+    "incremental_features": _with("SELECT * FROM ups"),
+    "catalog_tables": _with(
+        """SELECT eval_set, count(*) AS rows, count(DISTINCT user_id) AS users,
+          CAST(sum(p.prod_orders) AS BIGINT) AS product_lines
+        FROM final JOIN prods p USING (product_id) GROUP BY eval_set""",
+        cleaned=True,
+    ),
     "incremental_clean": _with("SELECT * FROM cl_orders"),
     "notified_clean": _with("SELECT * FROM cl_order_products"),
     "catalog_sql": _with(

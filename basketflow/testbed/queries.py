@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +28,8 @@ from basketflow.operators import (
     validate,
 )
 from basketflow.plans import recommend
+from basketflow.plans.cleaning import load_table
+from basketflow.plans.curation import add_history, curate_all
 from basketflow.plans.runner import run_all
 from basketflow.session import scratch, stored, tune
 from basketflow.sources import catalog, readers
@@ -48,12 +56,17 @@ class Basket:
     def prior(self) -> DataFrame:
         return purchases.prior_lines(self.order_products, self.orders)
 
+    @cached_property
+    def occasions(self) -> DataFrame:
+        return purchases.occasions(self.prior)
+
     @cached_property
     def pairs(self) -> DataFrame:
-        return purchases.pair_totals(self.prior)
+        return purchases.pair_totals(self.occasions)
 
     def keep_pairs(self) -> "Basket":
-        """Store the pair totals, for queries that roll them up several ways."""
+        """Store occasions and pair totals, for queries that use them several times."""
+        self.occasions = stored(self.occasions, "occasions")
         self.pairs = stored(self.pairs, "pair-totals")
         return self
 
@@ -67,7 +80,7 @@ class Basket:
 
     @cached_property
     def product_features(self) -> DataFrame:
-        return purchases.product_features(self.pairs, self.prior)
+        return purchases.product_features(self.pairs, self.occasions)
 
     @cached_property
     def targets(self) -> DataFrame:
@@ -91,11 +104,11 @@ class Basket:
         users = stored(self.target_users, "target-users")
         return mlset.attach_user(self.with_up.withColumn("copies", F.lit(1)), users)
 
-    @cached_property
-    def ml_set(self) -> DataFrame:
+    def ml_set(self, eval_set: str | None = None) -> DataFrame:
+        """The compact ML set, or one split of it."""
         named = mlset.product_side(self.products, self.product_features)
         return mlset.assemble(
-            self.orders,
+            mlset.split(self.orders, eval_set) if eval_set else self.orders,
             self.order_products,
             self.up_features,
             stored(self.target_users, "target-users"),
@@ -103,7 +116,7 @@ class Basket:
         )
 
     def split(self, eval_set: str) -> DataFrame:
-        return repeat_rows(mlset.split(self.ml_set, eval_set), spread=True)
+        return repeat_rows(self.ml_set(eval_set))
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -130,11 +143,6 @@ def rejected(table: str) -> Query:
     return lambda spark, sf_dir: validate.clean(table, mapping.dirty(tune(spark), sf_dir, table))[1]
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    both = {table: validate.clean(table, raw) for table, raw in dirty_tables(spark, sf_dir).items()}
-    return {t: pair[0] for t, pair in both.items()}, {t: pair[1] for t, pair in both.items()}
-
-
 def orphaned(name: str) -> Query:
     reference = next(r for r in schemas.REFERENCES if r.name == name)
 
@@ -150,10 +158,22 @@ def orphaned(name: str) -> Query:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = cleaned(tune(spark), sf_dir)
+    """Each raw table is parsed once; rejects and orphans come from the result."""
+    good, bad = {}, {}
+    for table, raw in dirty_tables(tune(spark), sf_dir).items():
+        rows = stored(validate.staged(table, validate.tag(table, raw)), f"tagged-{table}")
+        good[table], bad[table] = validate.staged_kept(table, rows), validate.staged_rejects(table, rows)
     return validate.quality_report(bad, orphans.all_orphans(good))
 
 
+def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected order lines as the cleaning job wrote them."""
+    zones = Zones.under(scratch(tune(spark), "quarantine"))
+    write_raw(spark, sf_dir, zones, ["order_products"])
+    load_table(readers.read_raw(spark, zones, "order_products"), zones, "order_products")
+    return readers.read_rejects(spark, zones, "order_products")
+
+
 def write_raw(spark: SparkSession, sf_dir: str, zones: Zones, names: list[str]) -> None:
     for table in names:
         raw = mapping.dirty(spark, sf_dir, table)
@@ -178,14 +198,58 @@ def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_clean(spark, zones, "orders")
 
 
-def notified_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean order lines after a notification stream refreshed them."""
+def notified(spark: SparkSession, sf_dir: str, prefix: str = "data/", then=None) -> Zones:
+    """Zones after a notification stream refreshed the clean tables."""
     root = scratch(tune(spark), "arrivals")
-    zones = Zones.under(root)
+    zones = Zones.under(root, prefix)
     write_raw(spark, sf_dir, zones, list(schemas.DECLARED))
-    mapping.notifications(spark, sf_dir).select("value").write.text(f"{root}/inbox")
-    on_notifications(spark, zones, f"{root}/inbox", f"{root}/checkpoint")
-    return readers.read_clean(spark, zones, "order_products")
+    mapping.notifications(spark, sf_dir, prefix).select("value").write.text(f"{root}/inbox")
+    on_notifications(spark, zones, f"{root}/inbox", f"{root}/checkpoint", then=then)
+    return zones
+
+
+def notified_order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_clean(spark, notified(spark, sf_dir), "order_products")
+
+
+def notified_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the raw tables, and the notified keys, in another folder."""
+    return readers.read_clean(spark, notified(spark, sf_dir, "incoming/day/"), "order_products")
+
+
+def notified_training_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From notifications to the training split: cleaning, then curation."""
+    return readers.read_ml_split(spark, notified(spark, sf_dir, then=curate_all), "train")
+
+
+LOADS = 3
+
+
+def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pair features after history came in loads, each merged into the totals."""
+    basket = Basket(tune(spark), sf_dir)
+    zones = Zones.under(scratch(spark, "loads"))
+    for load in range(LOADS):
+        mine = (F.col("order_id") % LOADS) == load
+        add_history(spark, zones, basket.order_products.filter(mine), basket.orders.filter(mine))
+    return readers.read_curated(spark, zones, "up_features")
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the curated tables as the job wrote them, by database."""
+    zones = Zones.under(scratch(tune(spark), "catalog"))
+    write_raw(spark, sf_dir, zones, list(schemas.DECLARED))
+    run_all(spark, zones)
+    database = f"shop_{uuid.uuid4().hex[:8]}"
+    catalog.register_database(spark, zones, database)
+    return spark.sql(
+        f"""
+        SELECT m.eval_set, count(*) AS rows, count(DISTINCT m.user_id) AS users,
+               sum(f.prod_orders) AS product_lines
+        FROM {database}.ml_dataset m JOIN {database}.product_features f USING (product_id)
+        GROUP BY m.eval_set
+        """
+    )
 
 
 def notifications_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +269,7 @@ def predictions_upsert(basket: Basket) -> DataFrame:
 
 
 def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    basket = Basket(tune(spark), sf_dir)
+    basket = Basket(tune(spark), sf_dir).keep_pairs()
     catalog.register_frames(
         {
             "product_features": basket.product_features,
@@ -223,13 +287,50 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# How far the mean score may be from the label rate of a split.
+NEAR = 0.1
+
+
 def train_and_score(basket: Basket) -> DataFrame:
-    ml_set = stored(repeat_rows(basket.ml_set, spread=True), "ml-set")
-    return recommend.score(recommend.train(mlset.split(ml_set, "train")), mlset.split(ml_set, "test"))
+    """How a model trained on one split does on both."""
+    ml_set = stored(repeat_rows(basket.ml_set()), "ml-set")
+    model = recommend.train(mlset.split(ml_set, "train"))
+    both = [
+        recommend.evaluate(model, mlset.split(ml_set, name)).select(
+            F.lit(name).alias("eval_set"),
+            "rows",
+            "pairs",
+            "in_range",
+            (F.col("log_loss") < F.col("base_log_loss")).alias("beats_base_rate"),
+            (F.abs(F.col("mean_score") - F.col("label_rate")) < NEAR).alias("near_label_rate"),
+        )
+        for name in ("train", "test")
+    ]
+    return both[0].unionByName(both[1])
+
+
+# The hand-set model of `score_fixed_model`: intercept and coefficients.
+INTERCEPT = -1.5
+COEFFICIENTS = {"up_order_rate": 2.0, "user_reorder_ratio": 1.25, "prod_reorder_rate": 0.75, "up_orders": -0.125}
+
+
+def fixed_model(spark: SparkSession) -> PipelineModel:
+    weights = Vectors.dense([COEFFICIENTS.get(name, 0.0) for name in recommend.NUMERIC])
+    java = spark.sparkContext._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "fixed", _py2java(spark.sparkContext, weights), INTERCEPT
+    )
+    assembler = VectorAssembler(inputCols=recommend.NUMERIC, outputCol="features", handleInvalid="keep")
+    return PipelineModel([assembler, LogisticRegressionModel(java)])
+
+
+def score_fixed_model(basket: Basket) -> DataFrame:
+    """The test split scored by hand-set coefficients, to six digits."""
+    scored = recommend.score(fixed_model(basket.orders.sparkSession), basket.split("test"))
+    return scored.withColumn(serve.SCORE, F.round(serve.SCORE, 6))
 
 
 def product_onehot(basket: Basket) -> DataFrame:
-    encoded = encode.product_onehot(basket.prior, basket.products, basket.product_features)
+    encoded = encode.product_onehot(basket.products, basket.product_features)
     vectors = {
         name: vector_to_array(f"{name}_encoded").alias(f"{name}_encoded") for name in encode.ENCODED
     }
@@ -253,14 +354,14 @@ QUERIES: dict[str, Query] = {
     "order_products_prior": over_basket(lambda b: b.prior),
     "user_features": over_basket(lambda b: b.user_features),
     "user_product_features": over_basket(lambda b: b.up_features),
-    "purchase_sequence": over_basket(lambda b: purchases.purchase_sequence(b.prior)),
-    "product_features": over_basket(lambda b: b.product_features),
-    "product_onehot": over_basket(product_onehot),
+    "purchase_sequence": over_pairs(lambda b: purchases.purchase_sequence(b.occasions)),
+    "product_features": over_pairs(lambda b: b.product_features),
+    "product_onehot": over_pairs(product_onehot),
     "target_orders": over_basket(lambda b: b.targets),
     "ml_labels": over_basket(lambda b: b.labels),
     "ml_user_restricted": over_basket(lambda b: repeat_rows(b.target_users)),
     "ml_attach_up": over_pairs(lambda b: b.with_up),
-    "ml_attach_product": over_basket(
+    "ml_attach_product": over_pairs(
         lambda b: mlset.attach_product(
             b.labels.select("product_id", "order_id"), stored(b.product_features, "product-features")
         )
@@ -270,10 +371,13 @@ QUERIES: dict[str, Query] = {
     "ml_training_data": over_pairs(lambda b: b.split("train")),
     "ml_test_data": over_pairs(lambda b: b.split("test")),
     "labels_with_features": over_pairs(
-        lambda b: repeat_rows(mlset.labels_with_features(b.labels, b.ml_set), spread=True)
+        lambda b: repeat_rows(mlset.labels_with_features(b.labels, b.ml_set()))
     ),
     "jobs_training_data": jobs_training_data,
     "train_and_score": over_pairs(train_and_score),
+    "score_fixed_model": over_pairs(score_fixed_model),
+    "quarantine_rows": quarantine_rows,
+    "repeated_lines": over_basket(lambda b: mlset.repeated_lines(b.order_products)),
     "top3_all_users": over_basket(lambda b: serve.top_k(b.predictions)),
     "top3_one_user": over_basket(lambda b: serve.lookup(b.predictions, ONE_USER)),
     "predictions_upsert": over_basket(predictions_upsert),
@@ -281,5 +385,9 @@ QUERIES: dict[str, Query] = {
     "notifications_valid": notifications_valid,
     "incremental_clean": incremental_orders,
     "notified_clean": notified_order_products,
+    "notified_prefix": notified_prefix,
+    "notified_training_data": notified_training_data,
+    "incremental_features": incremental_features,
+    "catalog_tables": catalog_tables,
     "catalog_sql": catalog_sql,
 }

@@ -3,6 +3,7 @@
 import json
 import os
 import time
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -105,11 +106,11 @@ def test_train_and_score_jobs(spark, lake, tmp_path):
     assert [(r.user_id, r.product_id) for r in spark.read.parquet(zones.predictions(1)).collect()] == [("2", "11")]
 
 
-def test_rerun_replaces_and_append_adds(spark, zones):
+def test_rerun_replaces(spark, zones):
     cleaning.clean_all(spark, zones)
-    for mode, copies in (("overwrite", 1), ("overwrite", 1), ("append", 2)):
-        curation.write_features(spark, zones, mode)
-        assert readers.read_curated(spark, zones, "order_products_prior").count() == copies * 5
+    for _ in range(2):
+        curation.write_features(spark, zones)
+        assert readers.read_curated(spark, zones, "order_products_prior").count() == 5
     cleaning.clean_all(spark, zones)
     assert readers.read_clean(spark, zones, "orders").count() == 5
 
@@ -202,8 +203,8 @@ def later(path: Path, seconds: int) -> None:
 def test_refresh_appends_rebuilds_and_empties(spark, tmp_path):
     zones = Zones.under(str(tmp_path))
 
-    def refresh():
-        action = refresh_table(spark, zones, "orders")
+    def refresh(removed=False):
+        action = refresh_table(spark, zones, "orders", removed=removed)
         return action, ids(readers.read_clean(spark, zones, "orders"), "order_id")
 
     first = put(tmp_path, "orders", RAW["orders"][:2], "a.csv")
@@ -228,8 +229,12 @@ def test_refresh_appends_rebuilds_and_empties(spark, tmp_path):
     assert refresh() == ("rebuild", [2, 5])
     first.unlink()
     old.unlink()
-    assert refresh() == ("rebuild", [])
-    assert refresh() == ("none", [])
+    with pytest.raises(FileNotFoundError):
+        refresh()
+    assert ids(readers.read_clean(spark, zones, "orders"), "order_id") == [2, 5]
+    assert refresh(removed=True) == ("rebuild", [])
+    assert refresh(removed=True) == ("none", [])
+    assert len(list(Path(zones.bookmark("orders")).glob("version=*"))) == 2  # the last, and the one at work
 
 
 def test_a_failed_refresh_is_repeated(spark, tmp_path, monkeypatch):
@@ -264,6 +269,7 @@ def test_notifications_refresh_only_named_tables(spark, tmp_path):
     runs = []
 
     def send(name, key, source="aws:s3"):
+        # Keys are below the prefix of the zones.
         record = {
             "eventSource": source,
             "eventName": "ObjectCreated:Put",
@@ -287,8 +293,103 @@ def test_shuffles_are_sized_by_the_files(spark, zones, conf, monkeypatch):
     from basketflow import session
 
     conf({"spark.sql.shuffle.partitions": "4"})
-    assert session.size_shuffles(spark, zones.raw) == 4
+    with session.sized_shuffles(spark, zones.raw) as wanted:
+        assert wanted == 4
+    size = sum(path.stat().st_size for path in Path(zones.raw).rglob("*.csv"))
     monkeypatch.setattr(session, "INPUT_PER_TASK", 20)
-    wanted = session.size_shuffles(spark, zones.raw)
-    assert wanted > 4
-    assert spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)
+    with session.sized_shuffles(spark, zones.raw) as wanted:
+        assert wanted == -(-size // 20) > 4
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+@pytest.mark.parametrize("cleaned_before", [False, True])
+def test_a_created_message_without_a_raw_file_leaves_the_table_alone(spark, tmp_path, cleaned_before):
+    """The raw files lie in another folder than the zones say."""
+    put(tmp_path, "orders", RAW["orders"])
+    zones = Zones.under(str(tmp_path))
+    cleaning.clean_all(spark, raw_zones(tmp_path))
+    if cleaned_before:
+        refresh_table(spark, zones, "orders")
+    wrong = Zones.under(str(tmp_path), prefix="incoming/")
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    record = {
+        "eventSource": "aws:s3",
+        "eventName": "ObjectCreated:Put",
+        "s3": {"bucket": {"name": "raw"}, "object": {"key": "incoming/orders.csv"}},
+    }
+    (inbox / "1.json").write_text(json.dumps({"Records": [record]}) + "\n")
+    with pytest.raises(Exception, match="no raw file"):
+        on_notifications(spark, wrong, str(inbox), str(tmp_path / "checkpoint"))
+    assert readers.read_clean(spark, zones, "orders").count() == 5
+
+
+def test_loads_merge_into_the_features_of_all_history(spark, tmp_path, lake):
+    done, _ = lake
+    zones = Zones.under(str(tmp_path))
+    lines, orders = (readers.read_clean(spark, done, t) for t in ("order_products", "orders"))
+    for part in ("order_id < 2", "order_id = 2", "order_id > 2"):
+        curation.add_history(spark, zones, lines.filter(part), orders.filter(part))
+    for table in ("up_features", "user_features"):
+        merged, whole = (sorted(readers.read_curated(spark, z, table).collect()) for z in (zones, done))
+        assert merged == whole
+
+
+def test_raw_files_are_parsed_once(spark, zones):
+    """Each line of a table with rejects is read from its file one time."""
+    from basketflow.functions import casting  # noqa: F401
+    from basketflow.plans.cleaning import load_table
+
+    seen = spark.sparkContext.accumulator(0)
+    raw = readers.read_raw(spark, zones, "orders")
+    counted = raw.mapInPandas(lambda parts: (seen.add(len(p)) or p for p in parts), raw.schema)
+    assert load_table(counted, zones, "orders")["order_dow"] == 1
+    assert seen.value == len(RAW["orders"])
+
+
+def test_scratch_ends(spark):
+    from basketflow import session
+    from basketflow.sources import files
+
+    with session.scratch_scope(spark):
+        frame = session.stored(spark.range(5), "short-lived")
+        path = session._scratch[spark.sparkContext.applicationId][-1]
+        assert frame.count() == 5 and files.exists(spark, path)
+    assert not files.exists(spark, path)
+
+
+def test_newest_model_scores(spark, lake, tmp_path):
+    zones, _ = lake
+    for n, name in enumerate(("b", "a")):
+        recommend.train_job(spark, zones, str(tmp_path / "models" / name))
+        for path in (tmp_path / "models" / name).rglob("*"):
+            later(path, n * 100 - 500)
+    assert recommend.newest_model(spark, str(tmp_path / "models")).endswith("/models/a")
+    zones = replace(zones, consumption=str(tmp_path / "consumption"))
+    recommend.score_job(spark, zones, None, 0, models=str(tmp_path / "models"))
+    assert spark.read.parquet(zones.predictions(0)).count() == 1
+
+
+def test_new_predictions_leave_old_rows_as_they_lie(spark, tmp_path):
+    from basketflow.operators import serve
+    from basketflow.sources import writers
+
+    zones = Zones.under(str(tmp_path))
+    schema = "user_id string, product_id string, predicted_probability double"
+    old = spark.createDataFrame([(str(i), "1", 0.5) for i in range(20)], schema)
+    new = spark.createDataFrame([("3", "1", 0.75), ("99", "1", 0.25)], schema)
+    writers.write_predictions(old, zones, 0)
+    stored_old = spark.read.parquet(zones.predictions(0))
+    writers.write_predictions(serve.newest(new), zones, 1, serve.untouched(stored_old, new))
+    got = {r.user_id: r.predicted_probability for r in spark.read.parquet(zones.predictions(1)).collect()}
+    assert got == {**{str(i): 0.5 for i in range(20)}, "3": 0.75, "99": 0.25}
+
+
+def test_command_line_has_the_stream_jobs(spark, tmp_path):
+    zones = Zones.under(str(tmp_path))
+    put(tmp_path, "orders", RAW["orders"], "part-0.csv")
+    runner.main(["stream", "--root", str(tmp_path), "--tables", "orders", "--checkpoint", str(tmp_path / "c")])
+    assert readers.read_clean(spark, zones, "orders").count() == 5
+    with pytest.raises(SystemExit):
+        runner.main(["arrivals", "--root", str(tmp_path)])

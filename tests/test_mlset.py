@@ -44,14 +44,15 @@ def parts(spark):
     lines = spark.createDataFrame(LINES, schemas.typed_schema("order_products"))
     products = spark.createDataFrame(PRODUCTS, schemas.typed_schema("products"))
     prior = purchases.prior_lines(lines, orders)
-    pairs = purchases.pair_totals(prior)
+    occasions = purchases.occasions(prior)
+    pairs = purchases.pair_totals(occasions)
     return {
         "orders": orders,
         "lines": lines,
         "products": products,
         "up": purchases.user_product_features(pairs),
         "users": purchases.user_features(pairs),
-        "product_features": purchases.product_features(pairs, prior),
+        "product_features": purchases.product_features(pairs, occasions),
     }
 
 

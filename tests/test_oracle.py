@@ -21,7 +21,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_scores_are_probabilities_of_test_pairs(spark):
-    scored = QUERIES["train_and_score"](spark, SMALL)
+    scored = QUERIES["score_fixed_model"](spark, SMALL)
     pairs = QUERIES["ml_test_data"](spark, SMALL)
     keys = {(str(r.user_id), str(r.product_id)) for r in pairs.select("user_id", "product_id").collect()}
     rows = scored.collect()
@@ -39,4 +39,5 @@ def test_entry_has_the_declared_columns(spark):
 
 def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"train_and_score"}
+    # Only text operators that SQL cannot express have no SQL.
+    assert all(name.startswith("op") or name == "pipeline" for name in set(QUERIES) - set(ORACLE))

@@ -39,6 +39,11 @@ def prior(spark, basket):
     return stored(basket.prior, "prior")
 
 
+@pytest.fixture(scope="module")
+def occasions(spark, prior):
+    return stored(purchases.occasions(prior), "occasions")
+
+
 def test_prior_filter_and_columns_reach_the_scan(basket):
     plan = basket.prior.select("user_id", "product_id")._jdf.queryExecution().toString()
     assert "EqualTo(eval_set,prior)" in plan
@@ -46,18 +51,37 @@ def test_prior_filter_and_columns_reach_the_scan(basket):
     assert "ReadSchema: struct<order_id:bigint,product_id:bigint>" in plan
 
 
-def test_pair_totals_shuffle_once(prior):
-    assert shuffles(final_plan(purchases.pair_totals(prior))) == ["user_id, product_id"]
+def test_occasions_shuffle_history_once(prior):
+    assert shuffles(final_plan(purchases.occasions(prior))) == ["user_id, product_id, order_number"]
+
 
+def test_features_take_one_pass_over_the_tables(spark, basket):
+    """Each table is scanned once, for the occasions; the rest reads those."""
+    plan = final_plan(basket.occasions)
+    assert len(re.findall("FileScan parquet", plan)) == 2
+    kept = Basket(spark, SMALL).keep_pairs()
+    for frame in (kept.product_features, purchases.purchase_sequence(kept.occasions)):
+        scans = re.findall(r"FileScan parquet .*?Location: [^\[]*\[([^\]]*)\]", final_plan(frame))
+        assert scans and all("occasions" in s or "pair-totals" in s for s in scans)
 
-def test_user_rollup_counts_distinct_products_without_expanding(prior):
-    plan = final_plan(purchases.user_features(purchases.pair_totals(prior)))
+
+def test_user_rollup_counts_distinct_products_without_expanding(occasions):
+    plan = final_plan(purchases.user_features(purchases.pair_totals(occasions)))
     assert sorted(shuffles(plan)) == ["user_id", "user_id, product_id"]
     assert "Expand" not in plan
 
 
-def test_early_purchases_limit_before_the_shuffle(prior):
-    plan = final_plan(purchases.early_purchases(prior))
+def test_a_split_is_filtered_in_the_scan_and_not_rebalanced(spark):
+    frame = Basket(spark, SMALL).keep_pairs().split("train")
+    assert "EqualTo(eval_set,train)" in frame._jdf.queryExecution().toString()
+    # Only the branch of rows with more copies than a chunk is rebalanced.
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.split("RebalancePartitions")[1:]:
+        assert "16384" in line.split("Filter")[1][:400]
+
+
+def test_early_purchases_limit_before_the_shuffle(occasions):
+    plan = final_plan(purchases.early_purchases(occasions))
     assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
 
 
@@ -76,7 +100,7 @@ def test_a_small_batch_leaves_the_old_scores_unshuffled(spark, basket):
     new = stored(basket.predictions.filter("product_id = '3'"), "new")
     plan = serve.upsert_predictions(old, new)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [coalesce(user_id" in plan or "BroadcastHashJoin [user_id" in plan
-    assert len(shuffles(plan)) == 2  # the batch, once for its keys and once for its rows
+    assert len(shuffles(plan)) == 1  # the batch, for its rows
 
 
 def test_lookup_filters_in_the_scan(spark, basket):

@@ -38,7 +38,7 @@ def test_prior_lines_join_filter_and_flag(spark):
 
 def test_user_features(spark):
     rows = [(1, 10, 1, 1, 0, -1.0, 1), (1, 11, 1, 2, 0, -1.0, 1), (1, 10, 2, 1, 1, 6.0, 0)]
-    row = purchases.user_features(purchases.pair_totals(prior(spark, rows))).first()
+    row = purchases.user_features(purchases.pair_totals(purchases.occasions(prior(spark, rows)))).first()
     assert row.asDict() == {
         "user_id": 1,
         "user_orders": 2,
@@ -54,13 +54,13 @@ def test_user_features(spark):
 
 
 def test_single_order_user_has_no_reorder_ratio(spark):
-    row = purchases.user_features(purchases.pair_totals(prior(spark, [(1, 10, 1)]))).first()
+    row = purchases.user_features(purchases.pair_totals(purchases.occasions(prior(spark, [(1, 10, 1)])))).first()
     assert row.user_reorder_ratio is None
 
 
 def test_pair_features_round_halves_up(spark):
     rows = [(1, 10, n, position) for n, position in enumerate([1] * 199 + [2], 1)]
-    row = purchases.user_product_features(purchases.pair_totals(prior(spark, rows))).first()
+    row = purchases.user_product_features(purchases.pair_totals(purchases.occasions(prior(spark, rows)))).first()
     assert (row.up_orders, row.up_first_order, row.up_last_order) == (200, 1, 200)
     assert row.up_avg_add_to_cart_order == 1.01
 
@@ -68,7 +68,8 @@ def test_pair_features_round_halves_up(spark):
 def test_ties_for_first_leave_nobody_second(spark):
     rows = [(1, 10, 1), (1, 10, 1), (1, 10, 2), (2, 10, 4), (2, 10, 6), (2, 10, 6), (3, 10, 1)]
     history = prior(spark, rows)
-    row = purchases.product_features(purchases.pair_totals(history), history).first()
+    occasions = purchases.occasions(history)
+    row = purchases.product_features(purchases.pair_totals(occasions), occasions).first()
     assert (row.prod_first_orders, row.prod_second_orders) == (4, 2)
     assert row.prod_reorder_probability == 0.5
 
@@ -91,10 +92,10 @@ def ranks(rows):
 )
 def test_sequence_matches_brute_force(spark, rows, width):
     history = prior(spark, rows)
-    got = purchases.purchase_sequence(history, slice_orders=width)
+    got = purchases.purchase_sequence(purchases.occasions(history), slice_orders=width)
     expected = ranks(rows)
     assert sorted(tuple(r) for r in got.collect()) == expected
-    counts = purchases.early_purchases(history)
+    counts = purchases.early_purchases(purchases.occasions(history))
     assert {r.product_id: (r.prod_first_orders, r.prod_second_orders) for r in counts.collect()} == {
         product: tuple(sum(p == product and rank == n for _, p, _, rank in expected) for n in (1, 2))
         for product in {row[1] for row in rows}
@@ -105,14 +106,15 @@ def test_rollups_agree_with_each_other(spark):
     dice = random.Random(3)
     rows = [(dice.randint(1, 9), dice.randint(1, 5), dice.randint(1, 6)) for _ in range(400)]
     history = prior(spark, rows)
-    pairs = purchases.pair_totals(history)
+    occasions = purchases.occasions(history)
+    pairs = purchases.pair_totals(occasions)
     up = purchases.user_product_features(pairs).collect()
     per_user, per_product = defaultdict(int), defaultdict(int)
     for row in up:
         per_user[row.user_id] += row.up_orders
         per_product[row.product_id] += row.up_orders
     users = purchases.user_features(pairs).collect()
-    products = purchases.product_features(pairs, history).collect()
+    products = purchases.product_features(pairs, occasions).collect()
     assert {r.user_id: r.user_total_products for r in users} == per_user
     assert {r.product_id: r.prod_orders for r in products} == per_product
 
@@ -120,9 +122,8 @@ def test_rollups_agree_with_each_other(spark):
 def test_repeat_rows_beyond_one_chunk(spark):
     counts = {1: 1, 2: 0, 3: CHUNK, 4: CHUNK + 1, 5: 3 * CHUNK - 1}
     rows = spark.createDataFrame(list(counts.items()), "id int, copies bigint")
-    for spread in (False, True):
-        got = repeat_rows(rows, spread=spread)
-        assert got.columns == ["id"]
-        assert {r.id: r["count"] for r in got.groupBy("id").count().collect()} == {
-            key: n for key, n in counts.items() if n
-        }
+    got = repeat_rows(rows)
+    assert got.columns == ["id"]
+    assert {r.id: r["count"] for r in got.groupBy("id").count().collect()} == {
+        key: n for key, n in counts.items() if n
+    }
