@@ -315,9 +315,10 @@ def score(documents: DataFrame, model: Model, held_out: Column) -> DataFrame:
             before, after, count, rows = _pairs(model, texts)
             before_count = np.concatenate([[0], count[:-1]])
             before_count[before == model.vocabulary] = model.documents
-            pairs = np.stack([before, after, before_count], axis=1)
-            once, back = np.unique(pairs, axis=0, return_inverse=True)
-            p = np.log10(probabilities(model, once[:, 0], once[:, 1], once[:, 2]))[back.ravel()]
+            # Each pair of words once; its context count goes with its first word.
+            _, first, back = np.unique(_joined(before + 1, after + 1), return_index=True, return_inverse=True)
+            p = probabilities(model, before[first], after[first], before_count[first])
+            p = np.log10(p)[back]
             base = np.log10((count + 1) / (model.total + model.vocabulary + 1))
             n = len(texts)
             total = lambda x: np.bincount(rows, weights=x, minlength=n)
