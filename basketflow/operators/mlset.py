@@ -92,9 +92,10 @@ def assemble(
 
     A product listed n times in an order yields each of its rows n times (see
     `repeated_lines`). An order belongs to one split, so `orders` may be
-    filtered to a split beforehand, which reaches the scan. The sides joined to the labels should be stored tables: Spark then knows their
-    sizes, broadcasts those that are small, and splits the labels' hot users
-    and products when they are not.
+    filtered to a split beforehand, which reaches the scan. The sides joined to
+    the labels should be stored tables: Spark then knows their sizes, broadcasts
+    those that are small, and splits the labels' hot users and products when
+    they are not.
     """
     rows = distinct_labels(labels(target_orders(orders), order_products))
     rows = attach_user(attach_up(rows, up_features), users)

@@ -115,7 +115,9 @@ def purchase_sequence(per_occasion: DataFrame, slice_orders: int = SLICE) -> Dat
     order numbers and then within a slice, so that even a pair with a large
     share of all rows is ranked by many tasks.
     """
-    sliced = per_occasion.select(*PAIR, "order_number", "lines").withColumn("_slice", F.expr(f"order_number DIV {slice_orders}"))
+    sliced = per_occasion.select(
+        *PAIR, "order_number", "lines", F.expr(f"order_number DIV {slice_orders}").alias("_slice")
+    )
     earlier_slices = (
         sliced.groupBy(*PAIR, "_slice")
         .agg(F.sum("lines").alias("_lines"))

@@ -338,7 +338,6 @@ def test_loads_merge_into_the_features_of_all_history(spark, tmp_path, lake):
 
 def test_raw_files_are_parsed_once(spark, zones):
     """Each line of a table with rejects is read from its file one time."""
-    from basketflow.functions import casting  # noqa: F401
     from basketflow.plans.cleaning import load_table
 
     seen = spark.sparkContext.accumulator(0)
