@@ -85,7 +85,8 @@ class Anchors:
         self.at = best[head]
         self.high, self.low = self.at - starts[head], self.at - starts[tail]
         self.row = np.searchsorted(texts.offsets, self.at, side="right") - 1
-        self.key = hashes[self.at]
+        # Anchors are small hashes by choice: spread them out again.
+        self.key = mix(hashes[self.at])
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -297,7 +298,7 @@ def _run_rows(batches: Iterator[pa.RecordBatch], size: int, bits: int, hot: np.n
             at, window = at[inside], window[inside]
             if not len(at):
                 continue
-            keys = _gram_hashes(np.frombuffer(text, np.uint8), GRAM)[at]
+            keys = mix(_gram_hashes(np.frombuffer(text, np.uint8), GRAM)[at])
             heated = np.isin(keys, hot)
             if heated.any():
                 rolling = Texts(np.frombuffer(text, np.uint8), np.array([0, len(text)])).bytes_rolling()
