@@ -287,7 +287,8 @@ def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
     hubs = placed.groupBy("key").agg(F.min("label").alias("hub"), F.max("label").alias("other")).filter("hub <> other")
     mixed = stored(placed.join(hubs.select("key", "hub"), "key").select("c", "label", "hub").distinct(), "mixed")
     clusters = components(mixed.select(F.col("label").alias("a"), F.col("hub").alias("b")).distinct())
-    unsettled = mixed.select("c", "label").distinct().join(clusters.select(F.col("node").alias("label"), F.col("root").alias("cluster")), "label")
+    named = clusters.select(F.col("node").alias("label"), F.col("root").alias("cluster"))
+    unsettled = mixed.select("c", "label").distinct().join(named, "label")
     rows = stored(unsettled.join(texts, "c").withColumn("bytes", F.octet_length("text").cast("bigint")), "unsettled")
 
     def parts(total: str) -> F.Column:
@@ -318,8 +319,8 @@ def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
     several = blocks.filter("area <> ''")
     other = several.select("area", F.col("block").alias("block_b"), F.col("home").alias("home_b"))
     meet = several.join(other, "area").filter("block <= block_b AND (home = '' OR home <> home_b)")
-    named = meet.withColumn("meeting", F.concat_ws("|", "area", "block", "block_b"))
-    both = named.select("area", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("block"), "meeting")
+    rooms = meet.withColumn("meeting", F.concat_ws("|", "area", "block", "block_b"))
+    both = rooms.select("area", F.explode(F.array_distinct(F.array("block", "block_b"))).alias("block"), "meeting")
     rooms = dealt.join(alone.unionByName(both), ["area", "block"]).select("meeting", "label", "text")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:

@@ -1,9 +1,9 @@
 """Shards by a Feistel permutation of global row numbers.
 
-Rows get global numbers, and the numbers are permuted at random by a keyed Feistel network, and the permuted number p goes to shard p mod k at
-slot p div k. So counts differ by one at most, slots have no gap, and anyone
-who knows the key, the row number and the number of rows can tell shard and
-slot without the table. Only ids, sizes and checksums are shuffled, no text.
+Rows get global numbers, a keyed Feistel network permutes the numbers at random,
+and the permuted number p goes to shard p mod k at slot p div k. So counts
+differ by one at most, slots have no gap, and anyone who knows the key, the row
+number and the number of rows can tell shard and slot without the table. Only ids, sizes and checksums are shuffled, no text.
 """
 
 from __future__ import annotations

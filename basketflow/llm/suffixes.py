@@ -280,8 +280,8 @@ def decoded(prefixes: np.ndarray, lengths: np.ndarray, rests: bytes) -> list[byt
     return out
 
 
-RUNS = "bucket bigint, prefixes binary, lengths binary, rests binary, lefts binary, meta binary, owners binary, places binary"
-_RUN_NAMES = [c.split()[0] for c in RUNS.split(", ")]
+_RUN_NAMES = ["bucket", "prefixes", "lengths", "rests", "lefts", "meta", "owners", "places"]
+RUNS = "bucket bigint, " + ", ".join(f"{name} binary" for name in _RUN_NAMES[1:])
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch], size: int, bits: int, hot: np.ndarray, doc_bits: int):
