@@ -234,18 +234,25 @@ def _one(texts: Texts, i: int) -> Texts:
     return Texts(data, np.array([0, len(data)]))
 
 
-def _refused(judged: DataFrame) -> DataFrame:
+KEY = ["source", "start", "edges"]
+
+
+def _doubtful(judged: DataFrame) -> DataFrame:
+    """The stretches on whose words not all agree. Where all do, as is the
+    rule, one aggregation of partial minima and maxima shows it."""
+    own = judged.select(F.explode("own").alias("s")).select("s.*")
+    both = own.unionByName(judged.select(F.explode("given").alias("s")).select("s.*"))
+    ends = [f(d).alias(f"{d}_{f.__name__}") for d in ("d0", "d1") for f in (F.min, F.max)]
+    return both.groupBy(KEY).agg(*ends).filter("d0_min <> d0_max OR d1_min <> d1_max").select(KEY)
+
+
+def _refused(judged: DataFrame, doubtful: DataFrame) -> DataFrame:
     """Spans whose words are not those of the stretch they name, by document."""
-    key = ["source", "start", "edges"]
     own = judged.select("doc_id", F.explode("own").alias("s")).select("doc_id", "s.*")
     given = judged.select(F.explode("given").alias("s")).select("s.*")
-    # Keys on which all agree are gone after one aggregation.
-    both = own.select(*key, "d0", "d1").unionByName(given)
-    ends = [f(d).alias(f"{d}_{f.__name__}") for d in ("d0", "d1") for f in (F.min, F.max)]
-    unsure = both.groupBy(key).agg(*ends).filter("d0_min <> d0_max OR d1_min <> d1_max").select(key)
-    doubted = own.join(unsure, key).join(given.join(unsure, key), [*key, "d0", "d1"], "left_anti")
-    return doubted.groupBy(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id")).agg(
-        F.collect_set(F.struct(*key, "d0", "d1")).alias("refused")
+    wrong = own.join(doubtful, KEY).join(given.join(doubtful, KEY), [*KEY, "d0", "d1"], "left_anti")
+    return wrong.groupBy(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id")).agg(
+        F.collect_set(F.struct(*KEY, "d0", "d1")).alias("refused")
     )
 
 
@@ -283,7 +290,8 @@ def remove_repeats(
 
     none = F.array().cast("array<struct<source:bigint,start:bigint,edges:bigint,d0:bigint,d1:bigint>>")
     judged = judge(joined.withColumn("refused", none))
-    refused = _refused(judged)
-    if not refused.isEmpty():
-        judged = judge(joined.join(stored(refused, "refused"), "id", "left"))
+    doubtful = stored(_doubtful(judged), "doubtful")
+    if not doubtful.isEmpty():
+        refused = stored(_refused(judged, doubtful), "refused")
+        judged = judge(joined.join(refused, "id", "left"))
     return judged.drop("own", "given")
