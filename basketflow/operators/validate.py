@@ -72,6 +72,12 @@ def rejects(table: str, tagged: DataFrame) -> DataFrame:
     )
 
 
+def tagged_keys(table: str, tagged: DataFrame) -> DataFrame:
+    """The rule, and the typed keys by which tables refer to each other."""
+    keys = sorted({r.key for r in schemas.REFERENCES if table in (r.child, r.parent)})
+    return tagged.select(RULE, *(F.col(_typed(name)).alias(name) for name in keys))
+
+
 def staged(table: str, tagged: DataFrame) -> DataFrame:
     """Tagged rows for writing once: typed columns if kept, and else the text."""
     bad = F.col(RULE).isNotNull()

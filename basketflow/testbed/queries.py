@@ -158,11 +158,13 @@ def orphaned(name: str) -> Query:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each raw table is parsed once; rejects and orphans come from the result."""
+    """Each raw table is parsed once. Of the result, rejects need the rule and
+    orphans the keys of the references."""
     good, bad = {}, {}
     for table, raw in dirty_tables(tune(spark), sf_dir).items():
-        rows = stored(validate.staged(table, validate.tag(table, raw)), f"tagged-{table}")
-        good[table], bad[table] = validate.staged_kept(table, rows), validate.staged_rejects(table, rows)
+        rows = stored(validate.tagged_keys(table, validate.tag(table, raw)), f"tagged-{table}")
+        good[table] = rows.filter(F.col(validate.RULE).isNull()).drop(validate.RULE)
+        bad[table] = rows.filter(F.col(validate.RULE).isNotNull()).select(F.lit(table).alias("table"), validate.RULE)
     return validate.quality_report(bad, orphans.all_orphans(good))
 
 
