@@ -15,12 +15,14 @@
    sets share. No pair of classes is ever a row, and no link between classes
    that share a bucket is left out.
 
-With 25 bands of 5 slots, two sets of similarity 0.85 share no bucket with a
-probability of 4e-7.
+A set is sent on as the keys of its bands. How many there are goes by the
+similarity asked for: 25 bands of 5 slots at 0.85 and 37 at 0.8, so that two
+sets of just that similarity share no bucket with a probability of 4e-7.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,8 @@ SHINGLE = 5
 BANDS, BAND_SLOTS = 25, 5
 SLOTS = BANDS * BAND_SLOTS
 PERCENT = 85
+# Two sets of just the similarity asked for may miss each other so often.
+MISSED = 4.3e-7
 # Text of a block; a task compares two of them at a time.
 BLOCK_BYTES = 2 << 20
 
@@ -102,19 +106,34 @@ def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
     return table
 
 
-def _class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def bands_for(percent: int) -> int:
+    """The bands that sets of this similarity need to miss each other no more
+    often than MISSED."""
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** BAND_SLOTS)))
+
+
+def band_keys(table: np.ndarray, bands: int) -> np.ndarray:
+    """The key of each band of each signature."""
+    table = table.astype(np.uint64).reshape(-1, bands, BAND_SLOTS)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), table.shape[:2]).copy()
+    for i in range(BAND_SLOTS):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + table[:, :, i])
+    return key
+
+
+def _class_rows(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.RecordBatch]:
     for part, texts in slices(batches, limit=1 << 20):
         sets = shingle_sets(texts)
-        table = signatures(sets)
+        keys = band_keys(signatures(sets, bands * BAND_SLOTS), bands)
         full = [len(s) > 0 for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) if f else None for s, f in zip(sets, full)], pa.binary()),
-                pa.array([row.tobytes() if f else None for row, f in zip(table, full)], pa.binary()),
+                pa.array([row.tobytes() if f else None for row, f in zip(keys, full)], pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "c", "signature"],
+            names=["doc_id", "n_shingles", "c", "keys"],
         )
 
 
@@ -122,24 +141,18 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).astype(np.uint64)
-        table = table.reshape(-1, BANDS, BAND_SLOTS)
-        key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), table.shape[:2]).copy()
-        for i in range(BAND_SLOTS):
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + table[:, :, i])
-        again = np.repeat(np.arange(batch.num_rows), BANDS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key.reshape(-1).view(np.int64)), batch.column("c").take(pa.array(again))], names=["key", "c"]
-        )
+        keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64)
+        again = np.repeat(np.arange(batch.num_rows), len(keys) // batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("c").take(pa.array(again))], names=["key", "c"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for part, left in slices(batches, "text_a", 1 << 20):
         right = as_texts(part.column("text_b"))
         linked = []
         for x, y in zip(shingle_sets(left), shingle_sets(right)):
             both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            linked.append(100 * both >= percent * (len(x) + len(y) - both))
         yield pa.RecordBatch.from_arrays(
             [part.column("a"), part.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
         )
@@ -159,27 +172,31 @@ def _texts_of(documents: DataFrame, classes: DataFrame) -> DataFrame:
     return keyed.join(classes, "id").select("c", "text").mapInArrow(check, "c binary, text string")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document.
 
-    Documents are linked if their shingle sets share at least 85 % of their
-    union; component_id is the smallest id that links lead to. Null and empty
+    Documents are linked if their shingle sets share at least `percent` % of
+    their union; component_id is the smallest id that links lead to. Null and empty
     texts, and texts without words, have an empty set, are linked with nothing
     and are their own component. Rows that repeat fall into one component. A
     null id is never the smallest; a component of null ids has a null id."""
     named = documents.select(F.col("doc_id").cast("bigint"), "text")
+    bands = bands_for(percent)
     rows = stored(
-        named.mapInArrow(_class_rows, "doc_id bigint, n_shingles bigint, c binary, signature binary"), "signatures"
+        named.mapInArrow(
+            lambda batches: _class_rows(batches, bands), "doc_id bigint, n_shingles bigint, c binary, keys binary"
+        ),
+        "classes",
     )
     classes = (
         rows.filter("c IS NOT NULL")
         .groupBy("c")
         .agg(
             F.min(F.coalesce("doc_id", F.lit(MISSING_ID))).alias("id"),
-            F.min("signature").alias("signature"),
+            F.min("keys").alias("keys"),
         )
     )
-    bands = stored(classes.select("c", "signature").mapInArrow(_band_rows, "key bigint, c binary"), "bands")
+    bands = stored(classes.select("c", "keys").mapInArrow(_band_rows, "key bigint, c binary"), "bands")
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(bands.join(shared, "key"), "members")
     ids = rows.groupBy("c").agg(F.min(F.coalesce("doc_id", F.lit(MISSING_ID))).alias("id"))
@@ -187,8 +204,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     wanted = stored(wanted, "candidates")
     texts = stored(_texts_of(named, ids.join(wanted.select("c"), "c")), "candidate-texts")
     labels = wanted.select("c", F.col("c").alias("label"))
-    labels = _merge(labels, _leader_links(members, wanted, texts))
-    labels = _merge(labels, _block_links(members, labels, texts))
+    labels = _merge(labels, _leader_links(members, wanted, texts, percent))
+    labels = _merge(labels, _block_links(members, labels, texts, percent))
 
     labelled = rows.join(labels, "c", "left").select(
         "doc_id",
@@ -206,22 +223,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
-def keep_first(documents: DataFrame) -> DataFrame:
+def keep_first(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, all columns, less those of a group but one: the one of
     smallest id. If ids are missing or repeat, rows are numbered first, as
     repeated rows are near copies of each other, and the one of smallest
     number stays."""
     again = documents.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
     if again.isEmpty():
-        gone = near_duplicates(documents).filter(~F.col("kept")).select("doc_id")
+        gone = near_duplicates(documents, percent).filter(~F.col("kept")).select("doc_id")
         return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
     rows = stored(documents.withColumn("row_number", F.monotonically_increasing_id()), "numbered")
     named = rows.select(F.col("row_number").alias("doc_id"), "text")
-    gone = near_duplicates(named).filter(~F.col("kept")).select(F.col("doc_id").alias("row_number"))
+    gone = near_duplicates(named, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("row_number"))
     return rows.join(gone, "row_number", "left_anti").select(*documents.columns)
 
 
-def _leader_links(members: DataFrame, weights: DataFrame, texts: DataFrame) -> DataFrame:
+def _leader_links(members: DataFrame, weights: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) of classes with the leader of a bucket they are in."""
     weighted = members.select("key", "c").join(weights, "c")
     leaders = weighted.groupBy("key").agg(F.max(F.struct("weight", "c")).alias("best"))
@@ -235,7 +252,7 @@ def _leader_links(members: DataFrame, weights: DataFrame, texts: DataFrame) -> D
     compared = (
         led.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
-        .mapInArrow(_compare, "a binary, b binary, linked boolean")
+        .mapInArrow(lambda batches: _compare(batches, percent), "a binary, b binary, linked boolean")
     )
     return compared.filter("linked").select("a", "b")
 
@@ -247,7 +264,9 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(joined.select("c", F.coalesce("root", "label").alias("label")), "labels")
 
 
-def linked_labels(sets: list[np.ndarray], labels: list[bytes]) -> list[tuple[bytes, bytes]]:
+def linked_labels(
+    sets: list[np.ndarray], labels: list[bytes], percent: int = PERCENT
+) -> list[tuple[bytes, bytes]]:
     """Links between the labels of some sets, no more than join them up."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, token = np.unique(np.concatenate(sets), return_inverse=True)
@@ -272,7 +291,7 @@ def linked_labels(sets: list[np.ndarray], labels: list[bytes]) -> list[tuple[byt
         if not len(own):
             continue
         both = np.bincount(np.concatenate([lists[begin[t] : begin[t + 1]] for t in own]), minlength=len(sets))
-        for j in np.flatnonzero(100 * both >= PERCENT * (size + size[i] - both)):
+        for j in np.flatnonzero(100 * both >= percent * (size + size[i] - both)):
             a, b = find(labels[i]), find(labels[j])
             if a != b:
                 root[max(a, b)] = min(a, b)
@@ -280,7 +299,7 @@ def linked_labels(sets: list[np.ndarray], labels: list[bytes]) -> list[tuple[byt
     return out
 
 
-def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between labels that share buckets, from comparing all
     classes of a cluster block by block."""
     placed = members.select("key", "c").join(labels, "c")
@@ -325,6 +344,6 @@ def _block_links(members: DataFrame, labels: DataFrame, texts: DataFrame) -> Dat
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         sets = shingle_sets(as_texts(pa.array(frame["text"], pa.large_string())))
-        return pd.DataFrame(linked_labels(sets, [bytes(x) for x in frame["label"]]), columns=["a", "b"])
+        return pd.DataFrame(linked_labels(sets, [bytes(x) for x in frame["label"]], percent), columns=["a", "b"])
 
     return rooms.groupBy("meeting").applyInPandas(compare, "a binary, b binary")

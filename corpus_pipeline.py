@@ -2,7 +2,8 @@
 stage before it kept.
 
 1. toxicity       documents that the classifier rejects go
-2. near_dedup     one document of each group of near copies stays
+2. near_dedup     one document of each group of near copies stays (sets of
+                  five-word shingles, linked from a similarity of 0.8 up)
 3. substrings     words of passages that stand in an earlier document go, and
                   documents left without a word
 4. decontaminate  documents that hold a benchmark item go
@@ -23,6 +24,8 @@ from basketflow.llm import decontaminate, minhash, packing, spans, toxicity
 from basketflow.llm.texts import prepare
 from basketflow.session import stored
 
+# Shingle sets that share so much of their union are near copies.
+NEAR_PERCENT = 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -39,7 +42,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document of smallest id of each component of near copies."""
     prepare(spark)
-    return minhash.keep_first(docs.select(*COLUMNS)).select(*COLUMNS)
+    return minhash.keep_first(docs.select(*COLUMNS), NEAR_PERCENT).select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=85):
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -35,7 +35,7 @@ def near_duplicates(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     least = defaultdict(list)
     for i, (doc, _) in enumerate(rows):

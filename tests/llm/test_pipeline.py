@@ -1,6 +1,7 @@
 import brute
 import pytest
 from conftest import SMALL
+from corpora import passage
 
 import corpus_pipeline
 from basketflow.llm import decontaminate, toxicity
@@ -74,3 +75,20 @@ def test_repeated_and_unnamed_documents(spark):
         assert after.count() > 0
         docs = after
     assert docs.count() == 2
+
+
+def test_near_copies_are_linked_from_four_fifths_up(spark):
+    """Pairs of similarity 0.80 to 0.85, and one just below."""
+    rows, at = [], []
+    for i in range(12):
+        words = passage(3000 + i, 94).split(" ")
+        other = [*words[: 84 + i % 3 - 1], *passage(4000 + i, 10 - i % 3 + 1).split(" ")]
+        rows += [(2 * i, " ".join(words), "en", "s", 1), (2 * i + 1, " ".join(other), "en", "s", 1)]
+        a, b = (brute.shingles(t) for _, t, *_ in rows[-2:])
+        at.append(len(a & b) / len(a | b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    after = corpus_pipeline.keep_one_of_each_group(spark, docs, SMALL)
+    expected = {d for d, *_, kept in brute.near_duplicates([r[:2] for r in rows], 80) if kept}
+    assert {r.doc_id for r in after.collect()} == expected
+    assert sum(0.8 <= x < 0.85 for x in at) >= 6 and min(at) < 0.8
+    assert expected != {d for d, *_, kept in brute.near_duplicates([r[:2] for r in rows]) if kept}
