@@ -47,7 +47,7 @@ from basketflow.llm.packed import (
     text_bytes,
     unpack,
 )
-from basketflow.llm.texts import MISSING_ID, Texts, ids, mix, slices
+from basketflow.llm.texts import Texts, ids, mix, slices
 from basketflow.session import stored
 
 SIZE = 400
@@ -174,7 +174,7 @@ def _anchor_rows(documents: DataFrame, size: int, bits: int, doc_bits: int) -> D
             if len(a.at):
                 at = (a.at - texts.offsets[a.row]).astype(np.int32)
                 window = (a.low | a.high << 16).astype(np.uint32)
-                held.append((a.key, ids(part.column("doc_id"))[a.row], at, window))
+                held.append((a.key, ids(part.column("id"))[a.row], at, window))
             if sum(len(h[0]) for h in held) > 1 << 17:
                 yield from sent()
         if held:
@@ -442,17 +442,22 @@ def remove_repeated_bytes(
     starts anywhere else. kept_text (bytes) is null unless asked for.
 
     A null text is empty. Texts shorter than `size` keep all. Rows that repeat
-    are repeats of each other; where rows share an id but not the text, places
-    found in either count for both, as far as they lie in the text. A null id
-    is one id."""
+    are repeats of each other; rows that share an id, or have none, are judged
+    each by its own text. If there are such rows, all rows are numbered first,
+    and places go by these numbers."""
     named = documents.select(F.col("doc_id").cast("bigint"), "text")
+    again = named.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
+    if again.isEmpty():
+        keyed = named.withColumn("id", F.col("doc_id"))
+    else:
+        keyed = stored(named.withColumn("id", F.monotonically_increasing_id()), "numbered")
     anchors = text_bytes(named) * 2 // (size - GRAM + 1)
     bits, doc_bits = bucket_bits(anchors), bucket_bits(anchors)
-    settled = _anchor_rows(named, size, bits, doc_bits).groupBy("bucket").applyInPandas(_settle(doc_bits, hot), SCHEMA)
+    found = _anchor_rows(keyed.select("id", "text"), size, bits, doc_bits)
+    settled = found.groupBy("bucket").applyInPandas(_settle(doc_bits, hot), SCHEMA)
     repeated = stored(settled, "repeated-anchors")
     many = [unpack(r["c0"], np.uint64, ordered=True) for r in repeated.filter("kind = 2").select("c0").collect()]
     many = np.concatenate(many) if many else np.zeros(0, np.uint64)
-    keyed = named.withColumn("id", F.coalesce("doc_id", F.lit(MISSING_ID)))
     texts = keyed.join(_documents_of(repeated, ["at", "window"], PLACE), "id")
     range_bits = bucket_bits(anchors // 3, RANGE_ENTRIES)
 

@@ -74,6 +74,23 @@ def test_repeated_bytes(documents, hot):
     assert len(found) == len(expected)
 
 
+@pytest.mark.parametrize("hot", [suffixes.HOT, 2])
+def test_repeated_bytes_of_rows_that_share_an_id(spark, hot):
+    """Each row is cut by its own text alone, with a null id or a shared one."""
+    long = passage(1, 150)
+    data = [(None, long), (None, passage(2, 300)), (None, f"{passage(3, 90)} {long}"), (None, None)]
+    data += [(5, passage(4, 300)), (5, f"{long} {passage(6, 90)}"), (5, long), (6, passage(7, 200))]
+    found = rows(
+        suffixes.remove_repeated_bytes(spark.createDataFrame(data, "doc_id long, text string"), hot=hot),
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        "kept_sha256",
+    )
+    assert found == sorted(brute.repeated_bytes(data, suffixes.SIZE), key=repr)
+
+
 def test_repeated_words(documents):
     found = rows(spans.remove_repeats(documents), "doc_id", "n_words", "n_removed", "kept_sha256")
     expected = sorted(brute.repeated_words(corpus(), spans.WINDOW), key=repr)
