@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import chat, decontaminate, minhash, ngrams, packing, sharding, spans, suffixes, topk, toxicity
+from basketflow.llm import (
+    chat,
+    decontaminate,
+    minhash,
+    mixing,
+    ngrams,
+    packing,
+    sharding,
+    spans,
+    suffixes,
+    topk,
+    toxicity,
+)
 from basketflow.llm.texts import prepare
 
 
@@ -81,6 +93,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "whole")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -92,6 +109,7 @@ QUERIES = {
     "op8_perplexity": op8_perplexity,
     "op9_preferences": op9_preferences,
     "op10_decontamination": op10_decontamination,
+    "op11_mixing": op11_mixing,
 }
 
 ORACLE = {
@@ -159,4 +177,45 @@ ORACLE = {
         FROM placed JOIN prompts USING (pair_id)
         GROUP BY pair_id, prompt_turns
     """,
+    # The level is found at one go: sources stand by words per weight at which
+    # they are clamped, and those before the first that is not are.
+    "op11_mixing": f"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+                   CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+                        || coalesce(text, '')), 1, 15) AS BIGINT) AS hash
+            FROM documents
+        ), s AS (
+            SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+                   [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+            FROM d GROUP BY source
+        ), ordered AS (
+            SELECT *, row_number() OVER (ORDER BY source_size / weight, source) AS place FROM s
+        ), levels AS (
+            SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS up,
+                   sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS down
+            FROM ordered
+            WINDOW before AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), reached AS (
+            SELECT up // gcd(up, down) AS up, down // gcd(up, down) AS down
+            FROM levels WHERE up * weight < 3 * source_size * down ORDER BY place LIMIT 1
+        ), t AS (
+            SELECT source, source_size,
+                   CASE WHEN 3 * source_size * down <= weight * up THEN CAST(3 * source_size AS DOUBLE)
+                        ELSE CAST(weight * up AS DOUBLE) / CAST(down AS DOUBLE) END AS target,
+                   CASE WHEN 3 * source_size * down <= weight * up THEN 3 * source_size
+                        ELSE weight * up // down END AS words
+            FROM s, reached
+        ), laid AS (
+            SELECT d.*, t.source_size, t.target, coalesce(t.words // nullif(t.source_size, 0), 0) AS whole,
+                   coalesce(t.words % nullif(t.source_size, 0), 0) AS extra,
+                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY hash
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+               CAST(size * whole + greatest(0, least(size, extra - earlier)) AS BIGINT) AS taken,
+               source, CAST(whole AS BIGINT) AS whole
+        FROM laid
+    """,
 }

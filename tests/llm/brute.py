@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 
@@ -125,3 +126,99 @@ def edit_distance_within(item, text):
             new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (a != b)))
         row = new
     return min(row)
+
+
+def mixed(rows, weights, epochs, seed):
+    """(doc_id, source, size, source_size, target, taken) of (doc_id, text,
+    source) rows, sharing out in rounds."""
+    from fractions import Fraction
+
+    sizes = [len(words(text)) for _, text, _ in rows]
+    held = Counter()
+    for (_, _, source), size in zip(rows, sizes):
+        held[source] += size
+    order = sorted(held, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), Fraction(sum(sizes))
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] >= epochs * held[s]}
+        if not over:
+            target.update({s: level * weight[s] for s in free})
+            break
+        target.update({s: Fraction(epochs * held[s]) for s in over})
+        left -= sum(target[s] for s in over)
+        free -= over
+    place = [
+        int(hashlib.md5(f"{seed}:{'' if d is None else d}:{t or ''}".encode()).hexdigest()[:15], 16) for d, t, _ in rows
+    ]
+    out, given = [], Counter()
+    for i in sorted(range(len(rows)), key=place.__getitem__):
+        doc, _, source = rows[i]
+        whole, extra = divmod(int(target[source]), held[source]) if held[source] else (0, 0)
+        more = max(0, min(sizes[i], extra - given[source]))
+        given[source] += sizes[i]
+        out.append((doc, source, sizes[i], held[source], float(target[source]), sizes[i] * whole + more))
+    return out
+
+
+def bucket_counts(text, buckets=10000):
+    """(words, features, count per bucket) of the runs of one to three words."""
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in utf8(text))
+    w = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", data)
+    runs = [b" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+    return len(w), len(runs), Counter(zlib.crc32(run) % buckets for run in runs)
+
+
+def resampled(rows, targets, percent=5, least=20, buckets=10000):
+    """(doc_id, n_features, weight, score, rank) of (doc_id, text) rows."""
+    own = [bucket_counts(text, buckets) for _, text in rows]
+    s, t = Counter(), Counter()
+    for _, _, counts in own:
+        s.update(counts)
+    for text in targets:
+        t.update(bucket_counts(text, buckets)[2])
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (big_s + buckets) / ((s[b] + 1) * (big_t + buckets))))
+        for b in range(buckets)
+    ]
+    out = []
+    for (doc, _), (n, features, counts) in zip(rows, own):
+        weight = sum(gain[b] * c for b, c in counts.items())
+        h = int(hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc, features, weight, score, None, n])
+    fit = [r for r in out if r[5] >= least]
+    fit.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for place, r in enumerate(fit[: percent * len(fit) // 100], 1):
+        r[4] = place
+    return [tuple(r[:5]) for r in out]
+
+
+def lloyd(rows, k=8, rounds=10, width=64, scale=1024):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256)
+    of (vec_id, vector) rows, every vector against every centroid."""
+    kept = [
+        (i, [math.floor(scale * x) for x in v])
+        for i, v in rows
+        if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    key = lambda r: (hashlib.sha256(f"3:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1])
+    centroids = [v for _, v in sorted(kept, key=key)[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = defaultdict(list)
+        for _, v in kept:
+            groups[nearest(v)[1]].append(v)
+        for j, group in groups.items():
+            centroids[j] = [sum(column) // len(group) for column in zip(*group)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    per = Counter()
+    for _, distance, j in found:
+        per[j] += distance
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return [(i, j, d, per[j], sum(per.values()), digest[j]) for i, d, j in found]
