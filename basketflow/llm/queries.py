@@ -12,6 +12,7 @@ from basketflow.llm import (
     mixing,
     ngrams,
     packing,
+    resample,
     sharding,
     spans,
     suffixes,
@@ -98,6 +99,11 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "whole")
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -110,6 +116,7 @@ QUERIES = {
     "op9_preferences": op9_preferences,
     "op10_decontamination": op10_decontamination,
     "op11_mixing": op11_mixing,
+    "op12_resampling": op12_resampling,
 }
 
 ORACLE = {
