@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import (
+    centroids,
     chat,
     decontaminate,
     minhash,
@@ -104,6 +105,10 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
@@ -117,8 +122,54 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_mixing": op11_mixing,
     "op12_resampling": op12_resampling,
+    "op13_centroids": op13_centroids,
 }
 
+
+def centroid_sql(rounds: int = centroids.ROUNDS) -> str:
+    """Every round as two steps: all vectors against all centroids, then the
+    means, rounded down."""
+    steps = [
+        """v AS (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS (
+            SELECT row_number() OVER (ORDER BY hash, w) - 1 AS j, w
+            FROM (SELECT sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS hash, w FROM v ORDER BY hash, w LIMIT 8)
+        )"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT row, min(8 * CAST(list_sum(list_transform(range(1, 65),
+                       lambda i: (v.w[i] - c.w[i]) * (v.w[i] - c.w[i]))) AS HUGEINT) + j) AS d
+            FROM v, c{i} c GROUP BY row
+        )"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""m{i} AS (
+            SELECT d % 8 AS j, i, sum(w[i]) AS s, count(*) AS n
+            FROM a{i} JOIN v USING (row), range(1, 65) AS r(i) GROUP BY 1, 2
+        ), c{i + 1} AS MATERIALIZED (
+            SELECT c.j, coalesce(m.w, c.w) AS w
+            FROM c{i} c LEFT JOIN (
+                SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS w FROM m{i} GROUP BY j
+            ) m USING (j)
+        )"""
+            )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, CAST(d % 8 AS INTEGER) AS cluster, CAST(d // 8 AS BIGINT) AS distance,
+               CAST(sum(d // 8) OVER (PARTITION BY d % 8) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d // 8) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c.w, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN v USING (row) JOIN c{rounds} c ON c.j = d % 8
+    """
+
+
 ORACLE = {
     "op4_topk": """
         WITH v AS (
@@ -225,4 +276,5 @@ ORACLE = {
                source, CAST(whole AS BIGINT) AS whole
         FROM laid
     """,
+    "op13_centroids": centroid_sql(),
 }
