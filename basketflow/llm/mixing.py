@@ -8,10 +8,11 @@ fraction, so a round of sharing is one aggregate over the sources.
 
 A source then repeats all its documents as often as its target holds it whole.
 What remains goes to one more repetition of some of its documents: the first in
-the order of a seeded hash, the last of them cut. That border is found by sums:
-of ranges of the hash, of the hashes in the range it falls into, and of the
-rows that share the hash it falls on. So a source, an id or a group of copies
-with a large share of all rows is many tasks, and every target is met to a word.
+the order of a seeded hash, the last of them cut. That border is found digit by
+digit of the hash, from sums per digit, and at the end by sums over the rows
+that share the hash it falls on. So a source, an id or a group of copies with a
+large share of all rows is many tasks, no task sorts more than the digits of
+a source, and every target is met to a word.
 
 All of it is DataFrame expressions; texts are read once and never shuffled.
 """
@@ -29,9 +30,8 @@ from basketflow.session import stored
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SEED = 20240229
-# Hashes are whole numbers below 2 ** HASH_BITS; a range of them holds about
-# so many rows of all sources.
-HASH_BITS, PER_RANGE = 60, 250_000
+# Hashes are whole numbers below 2 ** HASH_BITS, with digits of DIGIT_BITS.
+HASH_BITS, DIGIT_BITS = 60, 10
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 _BREAKS = " \t\n\x0b\x0c\r"
@@ -107,13 +107,13 @@ def targets(sources: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     ).drop("_words")
 
 
-def _border(sums: DataFrame, by: str, left: str) -> DataFrame:
-    """Of each source's `sums` by `by`, the one where `left` words run out, as
-    `<by>_border`, and what is `_left` for it."""
-    before = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+def _border(sums: DataFrame) -> DataFrame:
+    """Of each source's `sums` by `prefix`, the one where its `_left` words run
+    out, and how many of them are left for it."""
+    before = Window.partitionBy("source").orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     run = sums.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    at = run.filter((F.col("_before") < F.col(left)) & (F.col(left) <= F.col("_before") + F.col("_size")))
-    return at.select("source", F.col(by).alias(f"{by}_border"), (F.col(left) - F.col("_before")).alias("_left"))
+    at = run.filter("_before < _left AND _left <= _before + _size")
+    return at.select("source", F.col("prefix").alias("border"), (F.col("_left") - F.col("_before")).alias("_left"))
 
 
 def _join(rows: DataFrame, per_source: DataFrame, how: str = "inner") -> DataFrame:
@@ -122,12 +122,31 @@ def _join(rows: DataFrame, per_source: DataFrame, how: str = "inner") -> DataFra
     return rows.join(other, rows["source"].eqNullSafe(other["_source"]), how).drop("_source")
 
 
+def find_borders(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source of `plan` with `extra` words, the hash of the rows on which
+    they run out, as `border`, and how many are left for these. The hash is
+    found by one digit after the other; after the first, only rows that begin
+    with what is known are read."""
+    border = plan.filter("extra > 0").selectExpr("source", "0L AS border", "extra AS _left")
+    inside = rows.select("source", "size", "hash")
+    for shift in range(HASH_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
+        prefix = F.shiftright("hash", shift)
+        found = _join(inside.withColumn("prefix", prefix), border).filter(
+            F.shiftright("prefix", DIGIT_BITS) == F.col("border")
+        )
+        sums = found.groupBy("source", "_left", "prefix").agg(F.sum("size").alias("_size"))
+        border = stored(_border(sums), "borders")
+        if shift == HASH_BITS - DIGIT_BITS:
+            begun = _join(inside, border).filter(prefix == F.col("border"))
+            inside = stored(begun.select("source", "size", "hash"), "rows-at-borders")
+    return border
+
+
 def mix(
     documents: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     epochs: int = EPOCHS,
     seed: int = SEED,
-    per_range: int = PER_RANGE,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, weight, target, whole, taken), one
     row per document. `size` counts words, `taken` those the mix takes of it,
@@ -148,19 +167,9 @@ def mix(
         ),
         "words-to-mix",
     )
-    ranges = max(1, -(-rows.count() // per_range))
-    width = -(-(1 << HASH_BITS) // ranges)
-    rows = rows.withColumn("range", F.expr(f"hash DIV {width}L"))
-
     held = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     plan = stored(targets(stored(weighted(held, weights), "weighted-sources"), epochs), "targets")
-
-    size = F.sum("size").alias("_size")
-    by_range = _join(rows.groupBy("source", "range").agg(size), plan.filter("extra > 0").select("source", "extra"))
-    range_border = stored(_border(by_range, "range", "extra"), "range-borders")
-    in_range = _join(rows, range_border).filter("range = range_border")
-    by_hash = in_range.groupBy("source", "_left", "hash").agg(size)
-    hash_border = stored(_border(by_hash, "hash", "_left"), "hash-borders")
+    hash_border = find_borders(rows, plan).withColumnRenamed("border", "hash_border")
 
     # Whole documents up to the border, and of those on it what is left, in
     # the order of the rows: by sums per stretch of rows, then within one.

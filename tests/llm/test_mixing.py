@@ -33,11 +33,12 @@ def found(frame):
 
 
 @pytest.mark.parametrize(
-    "weights, epochs, per_range", [((5, 2, 1), 3, mixing.PER_RANGE), ((1,), 1, 10), ((1, 50), 2, 10)]
+    "weights, epochs, digit", [((5, 2, 1), 3, mixing.DIGIT_BITS), ((1,), 1, 30), ((1, 50), 2, 20)]
 )
-def test_equals_rounds_of_sharing(spark, weights, epochs, per_range):
+def test_equals_rounds_of_sharing(spark, monkeypatch, weights, epochs, digit):
+    monkeypatch.setattr(mixing, "DIGIT_BITS", digit)
     rows = uneven()
-    out = mixing.mix(as_frame(spark, rows), weights, epochs, per_range=per_range)
+    out = mixing.mix(as_frame(spark, rows), weights, epochs)
     assert found(out) == sorted(brute.mixed(rows, weights, epochs, mixing.SEED), key=repr)
 
 
