@@ -36,7 +36,7 @@ def test_rejected_documents_go(spark, stages):
 
 def test_one_document_of_each_group_stays(stages):
     before, after = (list(by_id(frame).items()) for frame in stages["near_dedup"])
-    assert {d for d, *_, kept in brute.near_duplicates(before) if kept} == {d for d, _ in after}
+    assert {d for d, *_, kept in brute.near_duplicates(before, corpus_pipeline.NEAR_PERCENT) if kept} == {d for d, _ in after}
 
 
 def test_repeated_passages_go(stages):
