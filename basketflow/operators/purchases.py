@@ -59,9 +59,9 @@ def pair_totals(per_occasion: DataFrame) -> DataFrame:
     )
 
 
-def merge_totals(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Pair totals of two parts of history as those of the whole."""
-    return old.unionByName(new).groupBy(PAIR).agg(
+def merge_totals(parts: DataFrame) -> DataFrame:
+    """Pair totals of parts of history as those of the whole."""
+    return parts.groupBy(PAIR).agg(
         F.min("first_order").alias("first_order"),
         F.max("last_order").alias("last_order"),
         *(F.sum(name).alias(name) for name in ["later_lines", *SUMS]),
@@ -148,16 +148,35 @@ def purchase_sequence(per_occasion: DataFrame, slice_orders: int = SLICE) -> Dat
     return repeat_rows(ranked, "lines")
 
 
+def _placed(per_occasion: DataFrame) -> DataFrame:
+    """The occasions of each pair's two lowest order numbers, with their place.
+    The filter on row_number lets Spark drop the others before the shuffle, so
+    no task sees the whole history of a hot pair."""
+    by_order = Window.partitionBy(PAIR).orderBy("order_number")
+    return per_occasion.withColumn("place", F.row_number().over(by_order)).filter("place <= 2")
+
+
+def lowest_occasions(per_occasion: DataFrame) -> DataFrame:
+    """(user, product, order number, lines) of the two lowest order numbers of
+    each pair: all that early purchases follow from."""
+    return _placed(per_occasion).select(*PAIR, "order_number", "lines")
+
+
+def merge_lowest(parts: DataFrame) -> DataFrame:
+    """The lowest occasions of parts of history as those of the whole. A number
+    among the two lowest of all is so in each part that has it, and its lines
+    in several parts add up."""
+    return lowest_occasions(parts.groupBy(*PAIR, "order_number").agg(F.sum("lines").alias("lines")))
+
+
 def early_purchases(per_occasion: DataFrame) -> DataFrame:
     """Lines per product that were some user's first, and second, purchase.
 
-    Only the two lowest order numbers of a pair matter. The filter on
-    row_number lets Spark drop the others before the shuffle, so no task sees
-    the whole history of a hot pair. If the first order holds the product more
+    Only the two lowest order numbers of a pair matter, so `per_occasion` may
+    be the lowest occasions alone. If the first order holds the product more
     than once, those lines tie for first and nobody is second.
     """
-    by_order = Window.partitionBy(PAIR).orderBy("order_number")
-    lowest = per_occasion.withColumn("place", F.row_number().over(by_order)).filter("place <= 2")
+    lowest = _placed(per_occasion)
     per_pair = lowest.groupBy(PAIR).agg(
         F.sum(F.when(F.col("place") == 1, F.col("lines"))).alias("first"),
         F.sum(F.when(F.col("place") == 2, F.col("lines"))).alias("next"),

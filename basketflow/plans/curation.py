@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.operators import mlset, purchases
-from basketflow.session import scratch_scope, sized_shuffles, stored, tune
+from basketflow.session import sized_shuffles, tune
 from basketflow.sources import files, readers, writers
 from basketflow.sources.zones import Zones
 
@@ -32,9 +32,14 @@ def write_features(spark: SparkSession, zones: Zones) -> None:
     writers.write_curated(purchases.pair_totals(occasions), zones, TOTALS)
 
     pairs = readers.read_curated(spark, zones, TOTALS)
+    write_feature_tables(zones, pairs, occasions)
+
+
+def write_feature_tables(zones: Zones, pairs: DataFrame, per_occasion: DataFrame) -> None:
+    """From stored pair totals and occasions, of which the lowest are enough."""
     writers.write_curated(purchases.user_product_features(pairs), zones, "up_features")
     writers.write_curated(purchases.user_features(pairs), zones, "user_features", sort_by="user_id")
-    writers.write_curated(purchases.product_features(pairs, occasions), zones, "product_features")
+    writers.write_curated(purchases.product_features(pairs, per_occasion), zones, "product_features")
 
 
 def write_ml_dataset(spark: SparkSession, zones: Zones) -> None:
@@ -59,24 +64,10 @@ def write_ml_dataset(spark: SparkSession, zones: Zones) -> None:
 
 
 def curate_all(spark: SparkSession, zones: Zones) -> None:
+    """All curated tables from all clean rows. What `plans.history` knew of
+    loads is forgotten, as the tables no longer follow from it."""
     tune(spark)
+    files.delete(spark, zones.history_log())
     with sized_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products")):
         write_features(spark, zones)
         write_ml_dataset(spark, zones)
-
-
-def add_history(spark: SparkSession, zones: Zones, lines: DataFrame, orders: DataFrame) -> None:
-    """Merge one more load of history into the stored pair totals and write the
-    user and pair features anew. Lines and orders of a load belong together.
-
-    Only the load is joined and aggregated; the old totals are read once. They
-    are written aside first, since the table being read cannot be replaced."""
-    tune(spark)
-    new = purchases.pair_totals(purchases.occasions(purchases.prior_lines(lines, orders)))
-    known = files.exists(spark, zones.curated_table(TOTALS))
-    merged = purchases.merge_totals(readers.read_curated(spark, zones, TOTALS), new) if known else new
-    with scratch_scope(spark):
-        writers.write_curated(stored(merged, "merged-totals"), zones, TOTALS)
-    pairs = readers.read_curated(spark, zones, TOTALS)
-    writers.write_curated(purchases.user_product_features(pairs), zones, "up_features")
-    writers.write_curated(purchases.user_features(pairs), zones, "user_features", sort_by="user_id")

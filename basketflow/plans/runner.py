@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from basketflow import schemas, session
-from basketflow.plans import cleaning, curation, recommend
+from basketflow.plans import cleaning, curation, history, recommend
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications
 from basketflow.streaming.incremental import incremental_clean
@@ -22,7 +22,7 @@ def run_all(spark: SparkSession, zones: Zones, strict: bool = False) -> dict[str
 
 def parser() -> argparse.ArgumentParser:
     args = argparse.ArgumentParser(prog="basketflow")
-    args.add_argument("job", choices=["clean", "curate", "all", "train", "score", "stream", "arrivals"])
+    args.add_argument("job", choices=["clean", "curate", "curate-new", "all", "train", "score", "stream", "arrivals"])
     args.add_argument("--root", help="folder that holds all zones not given below")
     for zone in ("raw", "clean", "curated", "consumption", "quarantine"):
         args.add_argument(f"--{zone}", help=f"{zone} zone")
@@ -53,6 +53,7 @@ def needed_zones(job: str) -> tuple[str, ...]:
     return {
         "clean": ("raw", "clean", "quarantine"),
         "curate": ("clean", "curated"),
+        "curate-new": ("clean", "curated"),
         "all": ("raw", "clean", "quarantine", "curated"),
         "train": ("curated",),
         "score": ("curated", "consumption"),
@@ -80,6 +81,8 @@ def main(argv: list[str] | None = None) -> None:
             print(table, counts)
     if args.job in ("curate", "all"):
         curation.curate_all(spark, zones)
+    if args.job == "curate-new":
+        print(history.curate_new(spark, zones))
     if args.job == "train":
         recommend.train_job(spark, zones, args.model, args.trees)
     if args.job == "score":
@@ -88,4 +91,4 @@ def main(argv: list[str] | None = None) -> None:
         for table in args.tables:
             incremental_clean(spark, zones, table, f"{args.checkpoint}/{table}", strict=args.strict)
     if args.job == "arrivals":
-        on_notifications(spark, zones, args.inbox, args.checkpoint, then=curation.curate_all, strict=args.strict)
+        on_notifications(spark, zones, args.inbox, args.checkpoint, then=history.curate_new, strict=args.strict)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.sources import files
 
+T = TypeVar("T")
+
 # Runtime SQL settings. Joins are never hinted: Spark broadcasts a side only
 # when its size is under spark.sql.autoBroadcastJoinThreshold, and splits hot
 # keys of shuffled joins at run time. Forcing the split lets it happen even
@@ -60,6 +63,7 @@ def sized_shuffles(spark: SparkSession, *folders: str) -> Iterator[int]:
 
 
 _scratch: dict[str, list[str]] = {}
+_once: dict[tuple, tuple[object, set[str]]] = {}
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -80,11 +84,15 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession, since: int = 0) -> None:
     """Delete the scratch folders of this application, or those made after the
-    first `since`. Frames that read them end with that."""
+    first `since`. Frames that read them end with that, and what `once` made
+    of them is made again when asked for."""
     made = _scratch.get(spark.sparkContext.applicationId, [])
+    gone = set(made[since:])
     for path in made[since:]:
         files.delete(spark, path)
     del made[since:]
+    for key in [key for key, (_, paths) in _once.items() if gone & paths]:
+        del _once[key]
 
 
 @contextmanager
@@ -103,3 +111,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(spark: SparkSession, key: tuple, make: Callable[[], T]) -> T:
+    """What `make` returns, made once per application and `key`, for as long
+    as the scratch folders it made are there."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _once:
+        before = len(_scratch.get(spark.sparkContext.applicationId, []))
+        value = make()
+        _once[key] = value, set(_scratch.get(spark.sparkContext.applicationId, [])[before:])
+    return _once[key][0]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow import schemas
+from basketflow.sources import files
 from basketflow.sources.readers import read_clean, read_curated
 from basketflow.sources.zones import Zones
 
@@ -32,6 +33,7 @@ def register_database(spark: SparkSession, zones: Zones, database: str) -> list[
         name = f"`{database}`.`{table}`"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{zones.curated_table(table)}'")
-        if table == "ml_dataset":
+        parts = files.names(spark, zones.curated_table(table))
+        if any("=" in part for part in parts):
             spark.sql(f"MSCK REPAIR TABLE {name}")
     return CURATED

@@ -30,14 +30,16 @@ def stream_raw(spark: SparkSession, zones: Zones, table: str, **options: str) ->
     )
 
 
-def read_clean(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
-    """The clean table with its declared columns, over all its loads."""
+def read_clean(spark: SparkSession, zones: Zones, table: str, loads: list[int] | None = None) -> DataFrame:
+    """The clean table with its declared columns, over all its loads or these."""
     schema = T.StructType(schemas.typed_schema(table).fields + [T.StructField("load", T.LongType())])
-    return spark.read.schema(schema).parquet(zones.clean_table(table)).drop("load")
+    rows = spark.read.schema(schema).parquet(zones.clean_table(table))
+    return (rows if loads is None else rows.filter(F.col("load").isin(loads))).drop("load")
 
 
 def read_curated(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
-    return spark.read.parquet(zones.curated_table(table))
+    """A curated table; history that came in loads has a folder for each."""
+    return spark.read.parquet(zones.curated_table(table)).drop("part")
 
 
 def read_ml_split(spark: SparkSession, zones: Zones, eval_set: str) -> DataFrame:

@@ -32,6 +32,10 @@ class Zones:
     def curated_table(self, table: str) -> str:
         return f"{self.curated}/{table}"
 
+    def history_log(self) -> str:
+        """What is known of the loads of history, and their sums."""
+        return f"{self.curated}/_history"
+
     def ml_dataset(self) -> str:
         return f"{self.curated}/ml_dataset"
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow import schemas
-from basketflow.session import stored
+from basketflow.session import once, stored
 
 # So many parts are one product, products one aisle, and products one
 # department: all three grow with the data, and parts come back often enough.
@@ -98,24 +98,22 @@ def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Dat
     )
 
 
-_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
-
-
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The basket tables as Parquet, which is how the operators find them in a
     clean zone. They are written once per application and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
+
+    def write() -> dict[str, DataFrame]:
         numbered = stored(orders(spark, sf_dir), "orders")
         named = stored(products(spark, sf_dir), "products")
-        _stored[key] = {
+        return {
             "aisles": stored(aisles(named), "aisles"),
             "departments": stored(departments(named), "departments"),
             "products": named,
             "orders": numbered,
             "order_products": stored(order_products(spark, sf_dir, numbered), "order_products"),
         }
-    return _stored[key]
+
+    return once(spark, ("tables", sf_dir), write)
 
 
 def dirty(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -296,6 +296,11 @@ ORACLE: dict[str, str] = {
     "notified_prefix": _with("SELECT * FROM cl_order_products"),
     "notified_training_data": _with("SELECT * FROM final WHERE eval_set = 'train'", cleaned=True),
     "incremental_features": _with("SELECT * FROM ups"),
+    "incremental_history": _with("SELECT * FROM prior", cleaned=True),
+    "incremental_users": _with("SELECT * FROM users", cleaned=True),
+    "incremental_pairs": _with("SELECT * FROM ups", cleaned=True),
+    "incremental_products": _with("SELECT * FROM prods", cleaned=True),
+    "incremental_curated": _with("SELECT * FROM final WHERE eval_set = 'train'", cleaned=True),
     "catalog_tables": _with(
         """SELECT eval_set, count(*) AS rows, count(DISTINCT user_id) AS users,
           CAST(sum(p.prod_orders) AS BIGINT) AS product_lines

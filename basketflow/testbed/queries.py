@@ -27,11 +27,11 @@ from basketflow.operators import (
     serve,
     validate,
 )
-from basketflow.plans import recommend
+from basketflow.plans import history, recommend
 from basketflow.plans.cleaning import load_table
-from basketflow.plans.curation import add_history, curate_all
+from basketflow.plans.curation import curate_all
 from basketflow.plans.runner import run_all
-from basketflow.session import scratch, stored, tune
+from basketflow.session import once, scratch, stored, tune
 from basketflow.sources import catalog, readers
 from basketflow.sources.readers import CSV
 from basketflow.sources.zones import Zones
@@ -228,15 +228,43 @@ LOADS = 3
 
 
 def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pair features after history came in loads, each merged into the totals."""
+    """Pair features after history came in loads, one of them twice."""
     basket = Basket(tune(spark), sf_dir)
     zones = Zones.under(scratch(spark, "loads"))
-    for load in range(LOADS):
+    for load in [*range(LOADS), 1]:
         mine = (F.col("order_id") % LOADS) == load
-        add_history(spark, zones, basket.order_products.filter(mine), basket.orders.filter(mine))
+        lines, orders = basket.order_products.filter(mine), basket.orders.filter(mine)
+        history.add_load(spark, zones, purchases.prior_lines(lines, orders), load)
+    history.write_features(spark, zones)
     return readers.read_curated(spark, zones, "up_features")
 
 
+def grown_zones(spark: SparkSession, sf_dir: str) -> Zones:
+    """Zones whose raw tables came in loads, each cleaned and then curated. The
+    lines of an order come with it, a load before, or a load after."""
+
+    def grow() -> Zones:
+        zones = Zones.under(scratch(tune(spark), "grown"))
+        for load in range(LOADS):
+            for table, raw in dirty_tables(spark, sf_dir).items():
+                if table == "orders":
+                    raw = raw.filter(F.pmod(F.col("order_id").try_cast("bigint"), F.lit(LOADS)) == load)
+                elif table == "order_products":
+                    raw = raw.filter(F.pmod(F.hash("order_id"), F.lit(LOADS)) == load)
+                elif load:
+                    continue
+                load_table(raw, zones, table, load=load, replace=not load)
+            history.curate_new(spark, zones)
+        return zones
+
+    return once(spark, ("grown", sf_dir), grow)
+
+
+def grown_table(table: str) -> Query:
+    """A curated table that grew by loads."""
+    return lambda spark, sf_dir: readers.read_curated(spark, grown_zones(spark, sf_dir), table)
+
+
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over the curated tables as the job wrote them, by database."""
     zones = Zones.under(scratch(tune(spark), "catalog"))
@@ -390,6 +418,11 @@ QUERIES: dict[str, Query] = {
     "notified_prefix": notified_prefix,
     "notified_training_data": notified_training_data,
     "incremental_features": incremental_features,
+    "incremental_history": grown_table("order_products_prior"),
+    "incremental_users": grown_table("user_features"),
+    "incremental_pairs": grown_table("up_features"),
+    "incremental_products": grown_table("product_features"),
+    "incremental_curated": lambda spark, sf_dir: readers.read_ml_split(spark, grown_zones(spark, sf_dir), "train"),
     "catalog_tables": catalog_tables,
     "catalog_sql": catalog_sql,
 }

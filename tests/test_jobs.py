@@ -325,17 +325,6 @@ def test_a_created_message_without_a_raw_file_leaves_the_table_alone(spark, tmp_
     assert readers.read_clean(spark, zones, "orders").count() == 5
 
 
-def test_loads_merge_into_the_features_of_all_history(spark, tmp_path, lake):
-    done, _ = lake
-    zones = Zones.under(str(tmp_path))
-    lines, orders = (readers.read_clean(spark, done, t) for t in ("order_products", "orders"))
-    for part in ("order_id < 2", "order_id = 2", "order_id > 2"):
-        curation.add_history(spark, zones, lines.filter(part), orders.filter(part))
-    for table in ("up_features", "user_features"):
-        merged, whole = (sorted(readers.read_curated(spark, z, table).collect()) for z in (zones, done))
-        assert merged == whole
-
-
 def test_raw_files_are_parsed_once(spark, zones):
     """Each line of a table with rejects is read from its file one time."""
     from basketflow.plans.cleaning import load_table
