@@ -42,14 +42,19 @@ def rule_counts(table: str) -> list[Column]:
 
 
 def tag(
-    table: str, raw: DataFrame, strict: bool = False, observation: Observation | str | None = None
+    table: str,
+    raw: DataFrame,
+    strict: bool = False,
+    observation: Observation | str | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """`raw` text rows with defaults filled, their typed values, and `rule`.
+    """`raw` text rows with defaults filled, their typed values, and `rule`,
+    beside the columns of `carry`.
 
     The rules are counted as rows pass by. That also keeps a later filter on
     `rule` above this projection, so each cell is parsed once per row.
     """
-    text = raw.select([F.col(name).cast("string") for name in schemas.columns(table)])
+    text = raw.select(*(F.col(name).cast("string") for name in schemas.columns(table)), *carry)
     filled = fill_defaults(table, text)
     typed = filled.withColumns(
         {_typed(name): as_declared(F.col(name), kind, strict) for name, kind in schemas.declared(table)}
@@ -58,17 +63,17 @@ def tag(
     return tagged.observe(observation or f"clean_{table}", *rule_counts(table))
 
 
-def kept(table: str, tagged: DataFrame) -> DataFrame:
+def kept(table: str, tagged: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows that broke no rule, as their declared types."""
     return tagged.filter(F.col(RULE).isNull()).select(
-        *(F.col(_typed(name)).alias(name) for name in schemas.columns(table))
+        *(F.col(_typed(name)).alias(name) for name in schemas.columns(table)), *carry
     )
 
 
-def rejects(table: str, tagged: DataFrame) -> DataFrame:
+def rejects(table: str, tagged: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows that broke a rule, as they were read."""
     return tagged.filter(F.col(RULE).isNotNull()).select(
-        F.lit(table).alias("table"), RULE, *schemas.columns(table)
+        F.lit(table).alias("table"), RULE, *schemas.columns(table), *carry
     )
 
 
@@ -78,20 +83,20 @@ def tagged_keys(table: str, tagged: DataFrame) -> DataFrame:
     return tagged.select(RULE, *(F.col(_typed(name)).alias(name) for name in keys))
 
 
-def staged(table: str, tagged: DataFrame) -> DataFrame:
+def staged(table: str, tagged: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Tagged rows for writing once: typed columns if kept, and else the text."""
     bad = F.col(RULE).isNotNull()
     typed = [F.when(~bad, F.col(_typed(name))).alias(_typed(name)) for name in schemas.columns(table)]
     text = [F.when(bad, F.col(name)).alias(name) for name in schemas.columns(table)]
-    return tagged.select(*typed, *text, RULE, bad.alias("rejected"))
+    return tagged.select(*typed, *text, RULE, *carry, bad.alias("rejected"))
 
 
-def staged_kept(table: str, rows: DataFrame) -> DataFrame:
-    return kept(table, rows.filter(~F.col("rejected")))
+def staged_kept(table: str, rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    return kept(table, rows.filter(~F.col("rejected")), carry)
 
 
-def staged_rejects(table: str, rows: DataFrame) -> DataFrame:
-    return rejects(table, rows.filter("rejected"))
+def staged_rejects(table: str, rows: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    return rejects(table, rows.filter("rejected"), carry)
 
 
 def clean(table: str, raw: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from basketflow import schemas
 from basketflow.operators import orphans, validate
 from basketflow.session import scratch, scratch_scope, sized_shuffles, tune
-from basketflow.sources import readers, writers
+from basketflow.sources import files, readers, writers
 from basketflow.sources.zones import Zones
 
 
@@ -37,6 +37,29 @@ def load_table(
     return counts
 
 
+def load_files(
+    spark: SparkSession, zones: Zones, table: str, loads: dict[str, int], anew: bool = False, strict: bool = False
+) -> None:
+    """Clean raw files, each into the load given for it, in the place of what
+    that load held. Other loads are left as they lie, or dropped if `anew`.
+
+    All files are read in one job. A row finds its load by the file it is from,
+    and is staged as in `load_table`.
+    """
+    carry = ("load",)
+    found = [(files.uri(spark, path), load) for path, load in loads.items()]
+    by_file = spark.createDataFrame(found, "_file string, load bigint")
+    with scratch_scope(spark):
+        raw = readers.read_files(spark, table, list(loads)).join(by_file, "_file")
+        staged = validate.staged(table, validate.tag(table, raw, strict, carry=carry), carry)
+        path = scratch(spark, f"tagged-{table}")
+        staged.write.partitionBy("rejected").parquet(path)
+        rows = spark.read.schema(staged.schema).parquet(path)
+        good, bad = (make(table, rows, carry) for make in (validate.staged_kept, validate.staged_rejects))
+        writers.replace_loads(good, zones.clean_table(table), loads.values(), anew)
+        writers.replace_loads(bad.drop("table"), zones.rejects(table), loads.values(), anew, ["rule"])
+
+
 def empty_table(spark: SparkSession, zones: Zones, table: str) -> None:
     """A clean table, and its rejects, without rows."""
     raw = spark.createDataFrame([], schemas.text_schema(table))

@@ -26,6 +26,11 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(where)] if system.exists(where) else []
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """A path as Spark names the file that a row is from."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def listing(spark: SparkSession, path: str) -> Iterator[tuple[str, int]]:
     """(path, modification time in ms) of a file, or of the files below a
     folder. Hidden files and folders, as Spark's readers see them, are left out."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,13 @@ def read_raw(spark: SparkSession, zones: Zones, table: str, **options: str) -> D
     return frame.select(schemas.columns(table))
 
 
+def read_files(spark: SparkSession, table: str, paths: list[str]) -> DataFrame:
+    """Some raw files of a table, each row with its file's URI as `_file`."""
+    plain = [re.sub(r"([\\*?{}\[\]])", r"\\\1", path) for path in paths]
+    frame = spark.read.options(**CHECKED).csv(plain)
+    return frame.select(*schemas.columns(table), F.col("_metadata.file_path").alias("_file"))
+
+
 def stream_raw(spark: SparkSession, zones: Zones, table: str, **options: str) -> DataFrame:
     """The raw table as a file stream, columns in declared order."""
     return (

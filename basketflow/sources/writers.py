@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.copies import repeat_rows
 from basketflow.session import scratch_scope, stored
+from basketflow.sources import files
 from basketflow.sources.zones import Zones
 
 
@@ -31,6 +34,27 @@ def _write_load(df: DataFrame, root: str, load: int, replace: bool, partitions:
         writer.mode("overwrite").parquet(f"{root}/load={load}")
 
 
+def replace_loads(
+    rows: DataFrame, root: str, loads: Collection[int], anew: bool = False, partitions: Sequence[str] = ()
+) -> None:
+    """Rows, which should be stored, by their `load`, in the place of what these
+    loads held; `anew` drops all others. Other folders are not touched; of the
+    loads given, one without rows, or without rows of some partition, keeps none."""
+    spark, columns = rows.sparkSession, ["load", *partitions]
+    there = rows.select(columns).distinct().collect()
+    ordered = rows.hint("rebalance", *columns) if partitions else rows
+    write = ordered.write.mode("overwrite").partitionBy(*columns)
+    write.option("partitionOverwriteMode", "static" if anew else "dynamic").parquet(root)
+    if anew:
+        return
+    full = {"/".join(f"{name}={row[name]}" for name in columns) for row in there}
+    for load in loads:
+        for part in files.names(spark, f"{root}/load={load}") if partitions else [""]:
+            folder = f"load={load}/{part}".rstrip("/")
+            if folder not in full:
+                files.delete(spark, f"{root}/{folder}")
+
+
 def write_curated(df: DataFrame, zones: Zones, table: str, sort_by: str | None = None) -> None:
     """A curated table. `sort_by` range-partitions, so that file after file is
     in global order without one task writing everything. The rows are stored

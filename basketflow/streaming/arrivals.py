@@ -1,121 +1,102 @@
 """Re-clean the tables that object-change notifications name.
 
 A notification only says that a table changed. What changed is found by
-comparing the table's raw files with a bookmark of those already cleaned: new
-files are cleaned as one more load, while a file that was replaced or removed
-means the table is cleaned anew. A table is only emptied if a message says
-that objects were removed: raw files that are missing without one are an error.
+comparing the table's raw files with a bookmark of those already cleaned. The
+bookmark knows for each file the load of the clean table that holds its rows,
+so a file that is new, replaced or removed costs its own rows only, and the
+loads of all others are left as they lie. A table is only emptied if a message
+says that objects were removed: raw files that are missing without one are an
+error.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketflow import schemas
 from basketflow.operators.notifications import touched_tables, validate_notifications
-from basketflow.plans.cleaning import empty_table, load_table
+from basketflow.plans.cleaning import empty_table, load_files
 from basketflow.session import tune
 from basketflow.sources import files
-from basketflow.sources.readers import read_raw
 from basketflow.sources.zones import Zones
 
-FILES = "path string, modified bigint"
-# Bookmarks are numbered from 0; the listing being acted on stands before them.
-PENDING = -1
-
-
-def _read_bookmark(spark: SparkSession, zones: Zones, table: str, version: int) -> DataFrame:
-    return spark.read.schema(FILES).parquet(f"{zones.bookmark(table)}/version={version}")
-
-
-def _write_bookmark(listed: DataFrame, zones: Zones, table: str, version: int) -> None:
-    listed.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={version}")
-
-
-def _list_files(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
-    """The raw files of a table, written down so that the listing stands still
-    while it is acted on. Only the file system is asked, no file is opened. A
-    nameless entry at time 0 marks a listing as made even if there are no files."""
-    raw = zones.raw_table(table)
-    found = list(files.listing(spark, raw)) if files.exists(spark, raw) else []
-    listed = spark.createDataFrame([("", 0), *found], FILES)
-    _write_bookmark(listed, zones, table, PENDING)
-    return _read_bookmark(spark, zones, table, PENDING)
+# The files done, as the driver lists them, each with the load of its rows.
+BOOKMARK = "path string, modified bigint, load bigint"
+Files = dict[str, tuple[int, int]]
 
 
 def _versions(spark: SparkSession, zones: Zones, table: str) -> list[int]:
     names = files.names(spark, zones.bookmark(table))
-    return sorted(int(name.removeprefix("version=")) for name in names if name.startswith("version="))
-
-
-def _last_version(spark: SparkSession, zones: Zones, table: str) -> int:
-    """Number of the newest bookmark, PENDING if the table was never cleaned."""
-    return max(_versions(spark, zones, table), default=PENDING)
+    done = (name for name in names if name.startswith("version="))
+    return sorted(int(name.removeprefix("version=")) for name in done)
 
 
-def _drop_versions(spark: SparkSession, zones: Zones, table: str, before: int) -> None:
-    for version in _versions(spark, zones, table):
-        if PENDING < version < before:
-            files.delete(spark, f"{zones.bookmark(table)}/version={version}")
+def _read_bookmark(spark: SparkSession, zones: Zones, table: str) -> Files | None:
+    """The newest bookmark; none if the table was never cleaned, or if it says
+    nothing of loads."""
+    versions = _versions(spark, zones, table)
+    if not versions:
+        return None
+    rows = spark.read.schema(BOOKMARK).parquet(f"{zones.bookmark(table)}/version={versions[-1]}")
+    if not rows.filter("path <> '' AND load IS NULL").isEmpty():
+        return None
+    return {row["path"]: (row["modified"], row["load"]) for row in rows.filter("path <> ''").toLocalIterator()}
 
 
-def _compare(now: DataFrame, then: DataFrame) -> Row:
-    both = now.join(then.withColumnRenamed("modified", "was"), "path", "full")
-    new = F.col("was").isNull() & (F.col("path") != "")
-    return both.agg(
-        F.count_if(new).alias("added"),
-        F.count_if(F.col("modified").isNull() | (F.col("modified") != F.col("was"))).alias("lost"),
-        F.min(F.when(new, F.col("modified"))).alias("oldest_added"),
-        F.max("was").alias("since"),
-        F.max("modified").alias("until"),
-    ).first()
-
-
-def _time(millis: int) -> str:
-    moment = datetime.fromtimestamp(millis / 1000, timezone.utc)
-    return moment.replace(tzinfo=None).isoformat(timespec="milliseconds")
+def _write_bookmark(spark: SparkSession, zones: Zones, table: str, done: Files) -> None:
+    """The next version, then those before it go. A nameless entry marks it as
+    written even if there are no files."""
+    versions = _versions(spark, zones, table)
+    rows = [("", 0, None), *((path, modified, load) for path, (modified, load) in done.items())]
+    number = max(versions, default=-1) + 1
+    spark.createDataFrame(rows, BOOKMARK).write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={number}")
+    for version in versions:
+        files.delete(spark, f"{zones.bookmark(table)}/version={version}")
 
 
 def refresh_table(
     spark: SparkSession, zones: Zones, table: str, strict: bool = False, removed: bool = False
 ) -> str:
     """Bring a clean table up to date with its raw files; returns what it did:
-    "none", "append" or "rebuild".
+    "none", "append" (files came), "rewrite" (some were replaced or removed) or
+    "rebuild" (nothing was known of the table).
 
     Without any raw file it empties the clean table if `removed` says that
     they were taken away, and else raises FileNotFoundError.
 
-    Retrying after a failure repeats the same load, since the bookmark moves
-    last. The clean table must not be written by other jobs in between.
+    Retrying after a failure repeats the same loads, since the bookmark moves
+    last. The clean table must not be written by other jobs in between. Only
+    the file system is asked what changed, and only changed files are opened.
     """
-    now = _list_files(spark, zones, table)
-    if not removed and now.filter("path <> ''").isEmpty():
-        raise FileNotFoundError(f"no raw file at {zones.raw_table(table)}, and none was said to be removed")
-    version = _last_version(spark, zones, table)
-    known = version > PENDING
-    then = _read_bookmark(spark, zones, table, version) if known else now.limit(0)
-    change = _compare(now, then)
-    if known and not change.added and not change.lost:
+    raw = zones.raw_table(table)
+    now = dict(files.listing(spark, raw)) if files.exists(spark, raw) else {}
+    if not removed and not now:
+        raise FileNotFoundError(f"no raw file at {raw}, and none was said to be removed")
+    then = _read_bookmark(spark, zones, table)
+    done = then or {}
+    gone = [path for path in done if path not in now]
+    replaced = [path for path in done if path in now and now[path] != done[path][0]]
+    new = sorted(path for path in now if path not in done)
+    if then is not None and not (gone or replaced or new):
         return "none"
-    # New files can be told from cleaned ones by time only if all are newer.
-    append = known and not change.lost and change.oldest_added > change.since
-    load = version + 1
-    if change.until == 0:
+    free = max((load for _, load in done.values()), default=-1) + 1
+    loads = {path: done[path][1] for path in replaced} | {path: free + i for i, path in enumerate(new)}
+    if not now:
         empty_table(spark, zones, table)
     else:
-        span = {"timeZone": "UTC", "modifiedBefore": _time(change.until + 1)}
-        if append:
-            span["modifiedAfter"] = _time(change.since)
-        raw = read_raw(spark, zones, table, **span)
-        load_table(raw, zones, table, load=load, replace=not append, strict=strict)
-    _write_bookmark(now, zones, table, load)
-    _drop_versions(spark, zones, table, load)
-    return "append" if append else "rebuild"
+        if loads:
+            # With no file done, what the table holds is not of these files.
+            load_files(spark, zones, table, loads, anew=not done, strict=strict)
+        for path in gone:
+            for root in (zones.clean_table(table), zones.rejects(table)):
+                files.delete(spark, f"{root}/load={done[path][1]}")
+    kept = {path: (modified, done[path][1] if path in done else loads[path]) for path, modified in now.items()}
+    _write_bookmark(spark, zones, table, kept)
+    return "rebuild" if then is None else "rewrite" if gone or replaced else "append"
 
 
 def on_notifications(

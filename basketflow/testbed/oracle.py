@@ -294,6 +294,7 @@ ORACLE: dict[str, str] = {
         GROUP BY order_id, product_id HAVING count(*) > 1"""
     ),
     "notified_prefix": _with("SELECT * FROM cl_order_products"),
+    "notified_replaced_file": _with("SELECT * FROM cl_order_products"),
     "notified_training_data": _with("SELECT * FROM final WHERE eval_set = 'train'", cleaned=True),
     "incremental_features": _with("SELECT * FROM ups"),
     "incremental_history": _with("SELECT * FROM prior", cleaned=True),

@@ -32,7 +32,7 @@ from basketflow.plans.cleaning import load_table
 from basketflow.plans.curation import curate_all
 from basketflow.plans.runner import run_all
 from basketflow.session import once, scratch, stored, tune
-from basketflow.sources import catalog, readers
+from basketflow.sources import catalog, files, readers
 from basketflow.sources.readers import CSV
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications
@@ -219,6 +219,36 @@ def notified_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_clean(spark, notified(spark, sf_dir, "incoming/day/"), "order_products")
 
 
+def notified_replaced_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean order lines after a notification that raw files changed: of
+    four files by order, one was replaced, one removed, and one is new. They
+    then hold all lines once, as at first one held too many and one too few."""
+    root = scratch(tune(spark), "replaced")
+    zones = Zones.under(root)
+    raw = mapping.dirty(spark, sf_dir, "order_products")
+    part = F.pmod(F.hash("order_id"), F.lit(4))
+
+    def put(name: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").options(**CSV).csv(f"{zones.raw_table('order_products')}/{name}")
+
+    def notify(name: str, at: int) -> None:
+        record = f"""{{"eventSource": "aws:s3", "eventName": "{name}",
+            "s3": {{"bucket": {{"name": "raw"}}, "object": {{"key": "data/order_products.csv/x"}}}}}}"""
+        message = f'{{"Records": [{" ".join(record.split())}]}}'
+        spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(f"{root}/inbox-{at}")
+        on_notifications(spark, zones, f"{root}/inbox-{at}", f"{root}/checkpoint-{at}")
+
+    put("kept", raw.filter(part == 0))
+    put("replaced", raw.filter(part != 2))
+    put("removed", raw.filter(part == 1))
+    notify("ObjectCreated:Put", 0)
+    put("replaced", raw.filter(part == 1))
+    files.delete(spark, f"{zones.raw_table('order_products')}/removed")
+    put("new", raw.filter(part > 1))
+    notify("ObjectRemoved:Delete", 1)
+    return readers.read_clean(spark, zones, "order_products")
+
+
 def notified_training_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From notifications to the training split: cleaning, then curation."""
     return readers.read_ml_split(spark, notified(spark, sf_dir, then=curate_all), "train")
@@ -416,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "incremental_clean": incremental_orders,
     "notified_clean": notified_order_products,
     "notified_prefix": notified_prefix,
+    "notified_replaced_file": notified_replaced_file,
     "notified_training_data": notified_training_data,
     "incremental_features": incremental_features,
     "incremental_history": grown_table("order_products_prior"),

@@ -200,41 +200,58 @@ def later(path: Path, seconds: int) -> None:
     os.utime(path, (moment, moment))
 
 
-def test_refresh_appends_rebuilds_and_empties(spark, tmp_path):
+def folders(zones, table):
+    """The loads of a clean table and when each was last written."""
+    return {path.name: path.stat().st_mtime_ns for path in Path(zones.clean_table(table)).glob("load=*")}
+
+
+def test_a_changed_file_costs_its_own_rows(spark, tmp_path):
     zones = Zones.under(str(tmp_path))
 
     def refresh(removed=False):
         action = refresh_table(spark, zones, "orders", removed=removed)
         return action, ids(readers.read_clean(spark, zones, "orders"), "order_id")
 
-    first = put(tmp_path, "orders", RAW["orders"][:2], "a.csv")
+    first = put(tmp_path, "orders", RAW["orders"][:2], "a {1} é.csv")
     later(first, -500)
     assert refresh() == ("rebuild", [1, 2])
     assert refresh() == ("none", [1, 2])
 
+    # New files, one of them older than what is done.
     added = put(tmp_path, "orders", RAW["orders"][2:4], "b.csv")
-    later(added, -400)
-    assert refresh() == ("append", [1, 2, 3, 4])
-
-    # A new file that is no newer than those already cleaned.
-    old = put(tmp_path, "orders", RAW["orders"][4:5], "c.csv")
-    later(old, -450)
-    assert refresh() == ("rebuild", [1, 2, 3, 4, 5])
+    old = put(tmp_path, "orders", RAW["orders"][4:6], "sub/c.csv")
+    later(old, -900)
+    before = folders(zones, "orders")
+    assert refresh() == ("append", [1, 2, 3, 4, 5])
+    assert ids(readers.read_rejects(spark, zones, "orders"), "order_id") == ["6"]
+    assert {name: folders(zones, "orders")[name] for name in before} == before
 
-    put(tmp_path, "orders", RAW["orders"][1:2], "a.csv")
+    before = folders(zones, "orders")
+    put(tmp_path, "orders", RAW["orders"][1:2], "a {1} é.csv")
     later(first, -300)
-    assert refresh() == ("rebuild", [2, 3, 4, 5])
+    assert refresh() == ("rewrite", [2, 3, 4, 5])
+    after = folders(zones, "orders")
+    assert [name for name in after if after[name] != before[name]] == ["load=0"] and len(after) == 3
+
+    # A file that has no good row any more, and one whose bad row is mended.
+    put(tmp_path, "orders", ["9,1,prior,1,9,8,"], "b.csv")
+    put(tmp_path, "orders", RAW["orders"][4:5], "sub/c.csv")
+    later(added, 100), later(old, 100)
+    assert refresh() == ("rewrite", [2, 5])
+    assert ids(readers.read_rejects(spark, zones, "orders"), "order_id") == ["9"]
 
-    added.unlink()
-    assert refresh() == ("rebuild", [2, 5])
-    first.unlink()
     old.unlink()
+    assert refresh() == ("rewrite", [2])
+    first.unlink()
+    added.unlink()
     with pytest.raises(FileNotFoundError):
         refresh()
-    assert ids(readers.read_clean(spark, zones, "orders"), "order_id") == [2, 5]
-    assert refresh(removed=True) == ("rebuild", [])
+    assert ids(readers.read_clean(spark, zones, "orders"), "order_id") == [2]
+    assert refresh(removed=True) == ("rewrite", [])
     assert refresh(removed=True) == ("none", [])
-    assert len(list(Path(zones.bookmark("orders")).glob("version=*"))) == 2  # the last, and the one at work
+    put(tmp_path, "orders", RAW["orders"][:1], "d.csv")
+    assert refresh() == ("append", [1])
+    assert len(list(Path(zones.bookmark("orders")).glob("version=*"))) == 1
 
 
 def test_a_failed_refresh_is_repeated(spark, tmp_path, monkeypatch):
@@ -243,19 +260,11 @@ def test_a_failed_refresh_is_repeated(spark, tmp_path, monkeypatch):
     zones = Zones.under(str(tmp_path))
     later(put(tmp_path, "orders", RAW["orders"][:2], "a.csv"), -500)
     refresh_table(spark, zones, "orders")
-    later(put(tmp_path, "orders", RAW["orders"][2:4], "b.csv"), -400)
-
-    write = arrivals._write_bookmark
-
-    def crash(files, zones, table, version):
-        if version != arrivals.PENDING:
-            raise RuntimeError("lost")
-        write(files, zones, table, version)
-
-    monkeypatch.setattr(arrivals, "_write_bookmark", crash)
-    with pytest.raises(RuntimeError):
-        refresh_table(spark, zones, "orders")
-    monkeypatch.undo()
+    put(tmp_path, "orders", RAW["orders"][2:4], "b.csv")
+    with monkeypatch.context() as broken:
+        broken.setattr(arrivals, "_write_bookmark", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_table(spark, zones, "orders")
     assert refresh_table(spark, zones, "orders") == "append"
     assert ids(readers.read_clean(spark, zones, "orders"), "order_id") == [1, 2, 3, 4]
 
