@@ -118,7 +118,8 @@ def labels_with_features(label_rows: DataFrame, compact: DataFrame) -> DataFrame
     """All labels, with the ML set's features of their (user, product) if it has
     any, in compact form. Features depend on the pair alone, so the ML set is
     first reduced to one row per pair."""
-    per_pair = compact.groupBy(*PAIR, *FEATURES).agg(F.sum("copies").alias("_matches"))
+    features = (F.any_value(name).alias(name) for name in FEATURES)
+    per_pair = compact.groupBy(PAIR).agg(*features, F.sum("copies").alias("_matches"))
     per_label = label_rows.groupBy(*PAIR, "eval_set", "reordered").agg(F.count("*").alias("copies"))
     joined = per_label.join(per_pair, PAIR, "left")
     repeats = F.col("copies") * F.coalesce("_matches", F.lit(1))

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.session import once, stored
 
-# So many parts are one product, products one aisle, and products one
-# department: all three grow with the data, and parts come back often enough.
-PARTS, AISLE, DEPARTMENT = 20, 2, 5
+# So many parts are one product, so that products come back often enough. Of N
+# products there are about sqrt(N) aisles, and so many aisles are a department.
+PARTS, DEPARTMENT = 20, 3
+# One user in SECOND_TARGET has two target orders, and an order lists one
+# product in LISTED_TWICE twice.
+SECOND_TARGET, LISTED_TWICE = 9, 29
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,11 +51,12 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = rows.withColumn("place", place).join(days, ["user_id", "day"])
     number = F.col("before") + F.col("place")
     gap = F.when(F.col("place") > 1, 0).otherwise(F.date_diff("day", "previous_day"))
-    last = F.when(F.col("user_id") % 2 == 0, "train").otherwise("test")
+    split = F.when(F.col("user_id") % 2 == 0, "train").otherwise("test")
+    targets = F.when(F.col("user_id") % SECOND_TARGET == 3, 2).otherwise(1)
     return numbered.select(
         "order_id",
         "user_id",
-        F.when(number == F.col("all"), last).otherwise("prior").alias("eval_set"),
+        F.when(number > F.col("all") - targets, split).otherwise("prior").alias("eval_set"),
         number.alias("order_number"),
         (F.dayofweek("day") - 1).cast("bigint").alias("order_dow"),
         (F.col("order_id") % 24).alias("order_hour_of_day"),
@@ -66,9 +70,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.expr(f"p_partkey DIV {PARTS}").alias("product_id"))
         .agg(F.min("p_name").alias("product_name"))
     )
-    return named.withColumns(
-        {"aisle_id": F.expr(f"product_id DIV {AISLE}"), "department_id": F.expr(f"product_id DIV {DEPARTMENT}")}
-    )
+    with_aisle = named.withColumn("aisle_id", F.floor(F.sqrt("product_id")).cast("bigint"))
+    return with_aisle.withColumn("department_id", F.expr(f"aisle_id DIV {DEPARTMENT}"))
 
 
 def aisles(named: DataFrame) -> DataFrame:
@@ -93,9 +96,11 @@ def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Dat
     pair = ["user_id", "product_id"]
     first = stored(lines.groupBy(pair).agg(F.min("order_number").alias("first_order")), "first-orders")
     again = (F.col("first_order") < F.col("order_number")).cast("bigint")
+    twice = (F.col("order_id") + F.col("product_id")) % LISTED_TWICE == 0
+    copy = F.explode(F.sequence(F.lit(0), F.when(twice, 1).otherwise(0)))
     return lines.join(first, pair).select(
-        "order_id", "product_id", "add_to_cart_order", again.alias("reordered")
-    )
+        "order_id", "product_id", "add_to_cart_order", again.alias("reordered"), copy.alias("copy")
+    ).drop("copy")
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -160,7 +165,7 @@ def predictions(test_labels: DataFrame) -> DataFrame:
         F.col("user_id").cast("string"),
         F.col("product_id").cast("string"),
         F.when(F.col("product_id") % 13 != 0, score).alias("predicted_probability"),
-    )
+    ).distinct()
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,8 @@ def r2(top: str, bottom: str) -> str:
 FIXTURE = """
 fx_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS user_id,
-    CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) > 1 THEN 'prior'
+    CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)
+              > CASE WHEN o_custkey % 9 = 3 THEN 2 ELSE 1 END THEN 'prior'
          WHEN o_custkey % 2 = 0 THEN 'train' ELSE 'test' END AS eval_set,
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS order_number,
     dayofweek(o_orderdate) AS order_dow,
@@ -25,7 +26,8 @@ fx_orders AS (
          o_orderdate) AS DOUBLE) AS days_since_prior_order
   FROM orders),
 fx_products AS (
-  SELECT product_id, product_name, product_id // 2 AS aisle_id, product_id // 5 AS department_id
+  SELECT product_id, product_name, CAST(floor(sqrt(product_id)) AS BIGINT) AS aisle_id,
+    CAST(floor(sqrt(product_id)) AS BIGINT) // 3 AS department_id
   FROM (SELECT p_partkey // 20 AS product_id, min(p_name) AS product_name FROM part GROUP BY 1)),
 fx_aisles AS (SELECT DISTINCT aisle_id, 'aisle ' || aisle_id AS aisle FROM fx_products),
 fx_departments AS (SELECT DISTINCT department_id, 'department ' || department_id AS department FROM fx_products),
@@ -37,7 +39,8 @@ fx_order_products AS (
   SELECT order_id, product_id, add_to_cart_order,
     CASE WHEN min(order_number) OVER (PARTITION BY user_id, product_id) < order_number
          THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END AS reordered
-  FROM fx_lines JOIN fx_orders USING (order_id))
+  FROM fx_lines JOIN fx_orders USING (order_id)
+  JOIN (VALUES (0), (1)) AS copies(copy) ON copy = 0 OR (order_id + product_id) % 29 = 0)
 """
 
 DIRTY = """
@@ -175,7 +178,7 @@ final AS (
   SELECT {", ".join(schemas.ML_COLUMNS)} FROM crossed
   JOIN with_product USING (product_id, order_id) JOIN b_products USING (product_id)),
 predictions AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
+  SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, CAST(product_id AS VARCHAR) AS product_id,
     CASE WHEN product_id % 13 <> 0 THEN CAST((user_id * 31 + product_id * 17) % 100 AS DOUBLE) / 100 END
       AS predicted_probability
   FROM labels_ WHERE eval_set = 'test'),
@@ -235,6 +238,10 @@ ORACLE: dict[str, str] = {
     "orphans_order": _with("SELECT * FROM orphan_order"),
     "order_products_prior": _with("SELECT * FROM prior"),
     "user_features": _with("SELECT * FROM users"),
+    "user_features_in_order": _with(
+        "SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS position FROM users"
+    ),
+    "jobs_by_arguments": _with("SELECT * FROM final WHERE eval_set = 'test'", cleaned=True),
     "user_product_features": _with("SELECT * FROM ups"),
     "purchase_sequence": _with("SELECT user_id, product_id, order_number, product_seq_time FROM sequence"),
     "product_features": _with("SELECT * FROM prods"),

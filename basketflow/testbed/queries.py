@@ -12,7 +12,7 @@ from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow import schemas
@@ -30,9 +30,9 @@ from basketflow.operators import (
 from basketflow.plans import history, recommend
 from basketflow.plans.cleaning import load_table
 from basketflow.plans.curation import curate_all
-from basketflow.plans.runner import run_all
+from basketflow.plans.runner import main, run_all
 from basketflow.session import once, scratch, stored, tune
-from basketflow.sources import catalog, files, readers
+from basketflow.sources import catalog, files, readers, writers
 from basketflow.sources.readers import CSV
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications
@@ -190,6 +190,31 @@ def jobs_training_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_ml_split(spark, zones, "train")
 
 
+def jobs_by_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs by their command line, each zone given by itself; the test
+    split as written."""
+    root = scratch(tune(spark), "arguments")
+    zones = Zones(*(f"{root}/{name}-zone" for name in ("raw", "clean", "curated", "consumption", "quarantine")), "in/")
+    write_raw(spark, sf_dir, zones, list(schemas.DECLARED))
+    between = ["--clean", zones.clean]
+    main(["clean", "--raw", zones.raw, *between, "--quarantine", zones.quarantine, "--prefix", zones.prefix])
+    main(["curate", *between, "--curated", zones.curated])
+    return readers.read_ml_split(spark, zones, "test")
+
+
+def user_features_in_order(basket: Basket) -> DataFrame:
+    """The place of each user in the written table, file after file."""
+    zones = Zones.under(scratch(basket.orders.sparkSession, "in-order"))
+    writers.write_curated(basket.user_features, zones, "user_features", sort_by="user_id")
+    rows = readers.read_curated(basket.orders.sparkSession, zones, "user_features").select(
+        "user_id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    sizes = rows.groupBy("file").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    return rows.join(starts, "file").select("user_id", (F.col("start") + F.col("row")).alias("position"))
+
+
 def incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean orders after a file stream took the raw ones a file at a time."""
     root = scratch(tune(spark), "incremental")
@@ -413,6 +438,8 @@ QUERIES: dict[str, Query] = {
     "orphans_order": orphaned("order"),
     "order_products_prior": over_basket(lambda b: b.prior),
     "user_features": over_basket(lambda b: b.user_features),
+    "user_features_in_order": over_basket(user_features_in_order),
+    "jobs_by_arguments": jobs_by_arguments,
     "user_product_features": over_basket(lambda b: b.up_features),
     "purchase_sequence": over_pairs(lambda b: purchases.purchase_sequence(b.occasions)),
     "product_features": over_pairs(lambda b: b.product_features),
