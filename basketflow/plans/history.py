@@ -19,7 +19,6 @@ orders. If a clean load was rewritten or is gone, history is built anew.
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketflow.operators import purchases
 from basketflow.plans.curation import HISTORY, write_feature_tables, write_ml_dataset
 from basketflow.session import scratch_scope, sized_shuffles, stored, tune
-from basketflow.sources import files, readers
+from basketflow.sources import files, readers, versions
 from basketflow.sources.zones import Zones
 
 # So many loads are read side by side before their sums are folded.
@@ -55,29 +54,15 @@ class Log:
         return [*self.sums.values(), *([self.base] if self.base else [])]
 
 
-def _version_file(zones: Zones, version: int) -> str:
-    return f"{zones.history_log()}/log/{version:09d}.json"
-
-
-def _number(name: str) -> int:
-    return int(name.removesuffix(".json"))
-
-
 def read_log(spark: SparkSession, zones: Zones) -> Log:
-    versions = [name for name in files.names(spark, f"{zones.history_log()}/log") if name.endswith(".json")]
-    if not versions:
-        return Log()
-    return Log(**json.loads(files.read_text(spark, _version_file(zones, max(map(_number, versions))))))
+    number, record = versions.newest(spark, f"{zones.history_log()}/log")
+    return replace(Log(**record), version=number) if record else Log()
 
 
 def _commit(spark: SparkSession, zones: Zones, log: Log) -> None:
     """Make `log` the newest version, then delete what it no longer names."""
     new = replace(log, version=log.version + 1)
-    if not files.put_text(spark, _version_file(zones, new.version), json.dumps(asdict(new))):
-        raise RuntimeError(f"another run has written version {new.version} of {zones.history_log()}")
-    for name in files.names(spark, f"{zones.history_log()}/log"):
-        if name.endswith(".json") and _number(name) < new.version:
-            files.delete(spark, f"{zones.history_log()}/log/{name}")
+    versions.commit(spark, f"{zones.history_log()}/log", new.version, asdict(new))
     named = {f"part={folder}" for folder in new.lines.values()}
     for name in files.names(spark, zones.curated_table(HISTORY)):
         if name not in named:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from basketflow import schemas
 from basketflow.operators import artifacts, serve
 from basketflow.session import scratch, tune
-from basketflow.sources import readers, writers
+from basketflow.sources import predictions, readers
 from basketflow.sources.zones import Zones
 
 LABEL = "reordered"
@@ -91,16 +91,10 @@ def train_job(spark: SparkSession, zones: Zones, model_path: str, trees: bool =
     train(readers.read_ml_split(spark, zones, "train"), trees, model_path)
 
 
-def score_job(
-    spark: SparkSession, zones: Zones, model_path: str | None, version: int, models: str | None = None
-) -> None:
-    """Score the test split into a new version of the prediction table, carried
-    on from the version before it if that exists. The model is the one at
-    `model_path`, or else the newest below the folder `models`."""
+def score_job(spark: SparkSession, zones: Zones, model_path: str | None, models: str | None = None) -> list[int]:
+    """Score the test split into the prediction table; returns the buckets
+    written. The model is the one at `model_path`, or else the newest below the
+    folder `models`."""
     tune(spark)
     model = PipelineModel.load(model_path or newest_model(spark, models))
-    fresh = score(model, readers.read_ml_split(spark, zones, "test"))
-    carried = None
-    if version > 0:
-        carried = serve.untouched(spark.read.parquet(zones.predictions(version - 1)), fresh)
-    writers.write_predictions(serve.newest(fresh), zones, version, carried)
+    return predictions.upsert(spark, zones, score(model, readers.read_ml_split(spark, zones, "test")))

@@ -27,7 +27,6 @@ def parser() -> argparse.ArgumentParser:
     for zone in ("raw", "clean", "curated", "consumption", "quarantine"):
         args.add_argument(f"--{zone}", help=f"{zone} zone")
     args.add_argument("--model", help="where the model is kept (train, score)")
-    args.add_argument("--version", type=int, default=0, help="prediction table version (score)")
     args.add_argument("--trees", action="store_true", help="train boosted trees")
     args.add_argument("--strict", action="store_true", help="reject decimal text in whole-number columns")
     args.add_argument("--models", help="folder of models, of which the newest scores (score)")
@@ -86,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "train":
         recommend.train_job(spark, zones, args.model, args.trees)
     if args.job == "score":
-        recommend.score_job(spark, zones, args.model, args.version, args.models)
+        recommend.score_job(spark, zones, args.model, args.models)
     if args.job == "stream":
         for table in args.tables:
             incremental_clean(spark, zones, table, f"{args.checkpoint}/{table}", strict=args.strict)

@@ -76,20 +76,3 @@ def write_ml_split(compact: DataFrame, zones: Zones) -> None:
 
 def write_orphans(df: DataFrame, zones: Zones, reference: str) -> None:
     df.write.mode("overwrite").parquet(zones.orphans(reference))
-
-
-def write_predictions(df: DataFrame, zones: Zones, version: int, carried: DataFrame | None = None) -> None:
-    """A version of the prediction table, ranged by user so that a lookup of
-    one user skips all row groups but those that can hold it. Rows carried on
-    from the version before are in that order already and are copied as they
-    lie; only the new ones are ranged."""
-    if carried is not None:
-        carried.write.mode("overwrite").parquet(zones.predictions(version))
-    with scratch_scope(df.sparkSession):
-        (
-            stored(df, "to-range")
-            .repartitionByRange("user_id", "product_id")
-            .sortWithinPartitions("user_id", "product_id")
-            .write.mode("overwrite" if carried is None else "append")
-            .parquet(zones.predictions(version))
-        )

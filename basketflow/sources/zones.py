@@ -50,5 +50,5 @@ class Zones:
         raw = hashlib.sha256(self.raw_table(table).encode()).hexdigest()[:16]
         return f"{self.clean}/_bookmarks/{table}/{raw}"
 
-    def predictions(self, version: int) -> str:
-        return f"{self.consumption}/predictions/version={version}"
+    def predictions(self) -> str:
+        return f"{self.consumption}/predictions"

@@ -32,7 +32,7 @@ from basketflow.plans.cleaning import load_table
 from basketflow.plans.curation import curate_all
 from basketflow.plans.runner import main, run_all
 from basketflow.session import once, scratch, stored, tune
-from basketflow.sources import catalog, files, readers, writers
+from basketflow.sources import catalog, files, predictions, readers, writers
 from basketflow.sources.readers import CSV
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications
@@ -347,10 +347,21 @@ def latest_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions_upsert(basket: Basket) -> DataFrame:
-    old = basket.predictions
+    """The prediction table after a second batch."""
+    spark, old = basket.orders.sparkSession, basket.predictions
+    zones = Zones.under(scratch(spark, "predictions"))
     even = (F.col("product_id").cast("bigint") % 2) == 0
-    new = old.filter(even).withColumn(serve.SCORE, F.col(serve.SCORE) + 0.001)
-    return serve.upsert_predictions(old, new)
+    predictions.upsert(spark, zones, old)
+    predictions.upsert(spark, zones, old.filter(even).withColumn(serve.SCORE, F.col(serve.SCORE) + 0.001))
+    return predictions.read(spark, zones)
+
+
+def top3_one_user(basket: Basket) -> DataFrame:
+    """From the written table, of which one bucket is read."""
+    spark = basket.orders.sparkSession
+    zones = Zones.under(scratch(spark, "predictions"))
+    predictions.upsert(spark, zones, basket.predictions)
+    return serve.lookup(predictions.read(spark, zones, ONE_USER), ONE_USER)
 
 
 def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,7 +477,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows": quarantine_rows,
     "repeated_lines": over_basket(lambda b: mlset.repeated_lines(b.order_products)),
     "top3_all_users": over_basket(lambda b: serve.top_k(b.predictions)),
-    "top3_one_user": over_basket(lambda b: serve.lookup(b.predictions, ONE_USER)),
+    "top3_one_user": over_basket(top3_one_user),
     "predictions_upsert": over_basket(predictions_upsert),
     "latest_artifact": latest_artifact,
     "notifications_valid": notifications_valid,

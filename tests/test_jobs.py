@@ -10,7 +10,7 @@ import pytest
 
 from basketflow import schemas
 from basketflow.plans import cleaning, curation, recommend, runner
-from basketflow.sources import catalog, readers
+from basketflow.sources import catalog, predictions, readers
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications, refresh_table
 from basketflow.streaming.incremental import incremental_clean
@@ -101,9 +101,9 @@ def test_train_and_score_jobs(spark, lake, tmp_path):
     zones, _ = lake
     model = str(tmp_path / "model")
     recommend.train_job(spark, zones, model)
-    for version in (0, 1):
-        recommend.score_job(spark, zones, model, version)
-    assert [(r.user_id, r.product_id) for r in spark.read.parquet(zones.predictions(1)).collect()] == [("2", "11")]
+    for _ in range(2):
+        recommend.score_job(spark, zones, model)
+    assert [(r.user_id, r.product_id) for r in predictions.read(spark, zones).collect()] == [("2", "11")]
 
 
 def test_rerun_replaces(spark, zones):
@@ -364,23 +364,38 @@ def test_newest_model_scores(spark, lake, tmp_path):
             later(path, n * 100 - 500)
     assert recommend.newest_model(spark, str(tmp_path / "models")).endswith("/models/a")
     zones = replace(zones, consumption=str(tmp_path / "consumption"))
-    recommend.score_job(spark, zones, None, 0, models=str(tmp_path / "models"))
-    assert spark.read.parquet(zones.predictions(0)).count() == 1
-
+    recommend.score_job(spark, zones, None, models=str(tmp_path / "models"))
+    assert predictions.read(spark, zones).count() == 1
 
-def test_new_predictions_leave_old_rows_as_they_lie(spark, tmp_path):
-    from basketflow.operators import serve
-    from basketflow.sources import writers
 
+def test_new_predictions_rewrite_the_buckets_of_their_users(spark, tmp_path):
     zones = Zones.under(str(tmp_path))
     schema = "user_id string, product_id string, predicted_probability double"
-    old = spark.createDataFrame([(str(i), "1", 0.5) for i in range(20)], schema)
-    new = spark.createDataFrame([("3", "1", 0.75), ("99", "1", 0.25)], schema)
-    writers.write_predictions(old, zones, 0)
-    stored_old = spark.read.parquet(zones.predictions(0))
-    writers.write_predictions(serve.newest(new), zones, 1, serve.untouched(stored_old, new))
-    got = {r.user_id: r.predicted_probability for r in spark.read.parquet(zones.predictions(1)).collect()}
-    assert got == {**{str(i): 0.5 for i in range(20)}, "3": 0.75, "99": 0.25}
+    old = spark.createDataFrame([(str(i), p, 0.5) for i in range(60) for p in "12"], schema)
+    new = spark.createDataFrame([("3", "1", 0.75), ("99", "1", 0.25), ("3", "1", 0.125)], schema)
+    assert predictions.upsert(spark, zones, old) == list(range(predictions.LEAST))
+
+    def written():
+        return {p: p.stat().st_mtime_ns for p in Path(zones.predictions()).glob("[!_]*/bucket=*/*.parquet")}
+
+    def rows(frame):
+        return {(r.user_id, r.product_id): r.predicted_probability for r in frame.collect()}
+
+    before, expected = written(), {**rows(old), ("3", "1"): 0.75, ("99", "1"): 0.25}
+    for _ in range(2):
+        touched = predictions.upsert(spark, zones, new)
+        assert 1 <= len(touched) <= 2
+        assert rows(predictions.read(spark, zones)) == expected
+    folders = {f"bucket={n}" for n in touched}
+    same = {p for p in before if p in written() and before[p] == written()[p]}
+    assert same == {p for p in before if p.parent.name not in folders}
+    assert predictions.upsert(spark, zones, new.limit(0)) == []
+
+    predictions.deal_anew(spark, zones, 3)
+    assert rows(predictions.read(spark, zones)) == expected
+    one = predictions.read(spark, zones, "3")
+    assert rows(one) == {("3", "1"): 0.75, ("3", "2"): 0.5}
+    assert "PartitionFilters: [isnotnull(bucket" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_command_line_has_the_stream_jobs(spark, tmp_path):
