@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from basketflow import schemas
 from basketflow.operators import orphans, validate
 from basketflow.session import scratch, scratch_scope, sized_shuffles, tune
-from basketflow.sources import files, readers, writers
+from basketflow.sources import buckets, files, readers, writers
 from basketflow.sources.zones import Zones
 
 
@@ -56,6 +56,7 @@ def load_files(
         staged.write.partitionBy("rejected").parquet(path)
         rows = spark.read.schema(staged.schema).parquet(path)
         good, bad = (make(table, rows, carry) for make in (validate.staged_kept, validate.staged_rejects))
+        buckets.forget(spark, zones, table)
         writers.replace_loads(good, zones.clean_table(table), loads.values(), anew)
         writers.replace_loads(bad.drop("table"), zones.rejects(table), loads.values(), anew, ["rule"])
 

@@ -63,11 +63,26 @@ def write_ml_dataset(spark: SparkSession, zones: Zones) -> None:
     writers.write_ml_split(compact, zones)
 
 
-def curate_all(spark: SparkSession, zones: Zones) -> None:
-    """All curated tables from all clean rows. What `plans.history` knew of
+def _sized(spark: SparkSession, zones: Zones):
+    return sized_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products"))
+
+
+def curate_features(spark: SparkSession, zones: Zones) -> None:
+    """History and features from all clean rows. What `plans.history` knew of
     loads is forgotten, as the tables no longer follow from it."""
     tune(spark)
     files.delete(spark, zones.history_log())
-    with sized_shuffles(spark, zones.clean_table("orders"), zones.clean_table("order_products")):
+    with _sized(spark, zones):
         write_features(spark, zones)
+
+
+def curate_ml_dataset(spark: SparkSession, zones: Zones) -> None:
+    tune(spark)
+    with _sized(spark, zones):
         write_ml_dataset(spark, zones)
+
+
+def curate_all(spark: SparkSession, zones: Zones) -> None:
+    """All curated tables from all clean rows."""
+    curate_features(spark, zones)
+    curate_ml_dataset(spark, zones)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow import schemas
@@ -37,3 +39,31 @@ def register_database(spark: SparkSession, zones: Zones, database: str) -> list[
         if any("=" in part for part in parts):
             spark.sql(f"MSCK REPAIR TABLE {name}")
     return CURATED
+
+
+def analyze(spark: SparkSession, database: str) -> None:
+    """Statistics of all columns, by which Spark then orders joins."""
+    spark.conf.set("spark.sql.cbo.enabled", "true")
+    spark.conf.set("spark.sql.cbo.joinReorder.enabled", "true")
+    for table in spark.catalog.listTables(database):
+        spark.sql(f"ANALYZE TABLE `{database}`.`{table.name}` COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def write_result(spark: SparkSession, zones: Zones, query: str, folder: str) -> None:
+    """Run a query over the curated tables, by their names, and write what it
+    returns to a folder, in the place of what is there."""
+    database = f"curated_{uuid.uuid4().hex}"
+    before, reset = spark.catalog.currentDatabase(), {
+        key: spark.conf.get(key) for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
+    }
+    register_database(spark, zones, database)
+    try:
+        analyze(spark, database)
+        spark.catalog.setCurrentDatabase(database)
+        target = folder.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"INSERT OVERWRITE DIRECTORY '{target}' USING parquet {query}")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
+        for key, value in reset.items():
+            spark.conf.set(key, value)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow import schemas
+from basketflow.sources import buckets
 from basketflow.sources.zones import Zones
 
 # Quotes inside a quoted cell are doubled. Lines are records, so files split.
@@ -42,7 +43,11 @@ def stream_raw(spark: SparkSession, zones: Zones, table: str, **options: str) ->
 def read_clean(spark: SparkSession, zones: Zones, table: str, loads: list[int] | None = None) -> DataFrame:
     """The clean table with its declared columns, over all its loads or these."""
     schema = T.StructType(schemas.typed_schema(table).fields + [T.StructField("load", T.LongType())])
-    rows = spark.read.schema(schema).parquet(zones.clean_table(table))
+    number = buckets.count(spark, zones, table) if table in buckets.TABLES else None
+    if number:
+        rows = buckets.read(spark, zones, table, number)
+    else:
+        rows = spark.read.schema(schema).parquet(zones.clean_table(table))
     return (rows if loads is None else rows.filter(F.col("load").isin(loads))).drop("load")
 
 

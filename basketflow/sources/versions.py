@@ -27,7 +27,10 @@ def newest(spark: SparkSession, folder: str) -> tuple[int, dict | None]:
 def commit(spark: SparkSession, folder: str, number: int, record: dict) -> None:
     """Write version `number`, the one after what was read, and drop those
     before it. Of several writers of one number, all but one fail."""
-    if not files.put_text(spark, f"{folder}/{number:09d}{SUFFIX}", json.dumps(record)):
+    alone = not any(n >= number for n in _numbers(spark, folder))
+    alone = alone and files.put_text(spark, f"{folder}/{number:09d}{SUFFIX}", json.dumps(record))
+    # Others may have gone on, and dropped this number, while it was written.
+    if not alone or max(_numbers(spark, folder)) > number:
         raise RuntimeError(f"another run has written version {number} of {folder}")
     for old in _numbers(spark, folder):
         if old < number:

@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.copies import repeat_rows
 from basketflow.session import scratch_scope, stored
-from basketflow.sources import files
+from basketflow.sources import buckets, files
 from basketflow.sources.zones import Zones
 
 
 def write_clean(df: DataFrame, zones: Zones, table: str, load: int = 0, replace: bool = True) -> None:
-    """One load of a clean table; `replace` drops all earlier loads."""
+    """One load of a clean table; `replace` drops all earlier loads. The rows
+    should be stored. Tables joined by order are bucketed by it, if the rows of
+    the first load spread evenly."""
+    spark = df.sparkSession
+    if table in buckets.TABLES:
+        number = buckets.plan(df) if replace else buckets.count(spark, zones, table)
+        if number:
+            buckets.write(df, zones, table, load, replace, number)
+            return
+        buckets.forget(spark, zones, table)
     _write_load(df, zones.clean_table(table), load, replace, [])
 
 

@@ -315,6 +315,12 @@ ORACLE: dict[str, str] = {
         FROM final JOIN prods p USING (product_id) GROUP BY eval_set""",
         cleaned=True,
     ),
+    "sql_job": _with(
+        """SELECT u.user_orders, count(DISTINCT u.user_id) AS users, CAST(sum(f.up_orders) AS BIGINT) AS lines,
+          max(p.prod_orders) AS most_sold
+        FROM users u JOIN ups f USING (user_id) JOIN prods p USING (product_id) GROUP BY u.user_orders""",
+        cleaned=True,
+    ),
     "incremental_clean": _with("SELECT * FROM cl_orders"),
     "notified_clean": _with("SELECT * FROM cl_order_products"),
     "catalog_sql": _with(

@@ -280,6 +280,11 @@ def notified_training_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LOADS = 3
+SQL_JOB = """
+    SELECT u.user_orders, count(DISTINCT u.user_id) AS users, sum(f.up_orders) AS lines, max(p.prod_orders) AS most_sold
+    FROM user_features u JOIN up_features f USING (user_id) JOIN product_features p USING (product_id)
+    GROUP BY u.user_orders
+"""
 
 
 def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +342,14 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sql_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the SQL job wrote of curated tables that grew by loads."""
+    zones = grown_zones(spark, sf_dir)
+    folder = scratch(spark, "sql-result")
+    main(["sql", "--curated", zones.curated, "--output", folder, "--query", SQL_JOB])
+    return spark.read.parquet(folder)
+
+
 def notifications_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = mapping.notifications(tune(spark), sf_dir)
     return notifications.validate_notifications(messages).select("event_id", "valid", "reason")
@@ -388,8 +401,8 @@ NEAR = 0.1
 
 
 def train_and_score(basket: Basket) -> DataFrame:
-    """How a model trained on one split does on both."""
-    ml_set = stored(repeat_rows(basket.ml_set()), "ml-set")
+    """How a model trained on one split does on both, as a compact set."""
+    ml_set = stored(basket.ml_set(), "ml-set")
     model = recommend.train(mlset.split(ml_set, "train"))
     both = [
         recommend.evaluate(model, mlset.split(ml_set, name)).select(
@@ -494,4 +507,5 @@ QUERIES: dict[str, Query] = {
     "incremental_curated": lambda spark, sf_dir: readers.read_ml_split(spark, grown_zones(spark, sf_dir), "train"),
     "catalog_tables": catalog_tables,
     "catalog_sql": catalog_sql,
+    "sql_job": sql_job,
 }

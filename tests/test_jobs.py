@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 
 from basketflow import schemas
-from basketflow.plans import cleaning, curation, recommend, runner
+from basketflow.plans import cleaning, curation, recommend, runner, runs
 from basketflow.sources import catalog, predictions, readers
 from basketflow.sources.zones import Zones
 from basketflow.streaming.arrivals import on_notifications, refresh_table
@@ -132,6 +132,33 @@ def test_an_error_in_cleaning_stops_curation(spark, zones, tmp_path, monkeypatch
     assert not (tmp_path / "curated").exists()
 
 
+def test_a_run_is_resumed_after_its_last_finished_stage(spark, zones, monkeypatch):
+    monkeypatch.setattr(curation, "write_features", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runner.run_all(spark, zones)
+    monkeypatch.undo()
+    monkeypatch.setattr(cleaning, "clean_all", lambda *_: pytest.fail("cleaned again"))
+    assert runner.run_all(spark, zones, resume=True)["orders"] == {"kept": 5, "order_dow": 1}
+    assert readers.read_ml_split(spark, zones, "train").count() == 1
+
+
+def test_one_run_at_a_time(spark, tmp_path):
+    zones, order = Zones.under(str(tmp_path)), []
+
+    def second():
+        with pytest.raises(RuntimeError, match="not ended"):
+            runs.run(spark, zones, [("a", lambda: order.append("refused"))])
+
+    def taken_over():
+        runs.run(spark, zones, [("a", lambda: order.append("again")), ("b", lambda: order.append("b"))], resume=True)
+
+    assert runs.run(spark, zones, [("a", lambda: 1), ("b", second)]) == {"a": 1, "b": None}
+    with pytest.raises(RuntimeError, match="another run"):
+        runs.run(spark, zones, [("a", lambda: 1), ("c", taken_over)])
+    assert order == ["b"]
+    assert runs.run(spark, zones, [("a", lambda: 2)], resume=True) == {"a": 2}
+
+
 def test_fixed_rows_leave_no_stale_rejects(spark, zones, tmp_path):
     cleaning.clean_all(spark, zones)
     put(tmp_path, "orders", RAW["orders"][:5])

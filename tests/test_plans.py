@@ -177,3 +177,58 @@ def test_mapping_numbers_orders_like_one_window_per_user(spark):
     )
     got = mapping.orders(spark, SMALL).select("order_id", F.col("order_number").alias("n"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_joins_by_order_move_neither_side_of_the_clean_tables(spark, conf, tmp_path):
+    """Orphans, history and labels, over two loads of each table."""
+    from basketflow import schemas
+    from basketflow.sources import buckets, readers, writers
+    from basketflow.sources.zones import Zones
+
+    zones, tables = Zones.under(str(tmp_path)), mapping.tables(spark, SMALL)
+    for load in (0, 1):
+        for table in buckets.TABLES:
+            part = tables[table].filter(f"order_id % 2 = {load}")
+            writers.write_clean(part, zones, table, load, replace=not load)
+    conf(NO_BROADCAST)
+    orders, lines = (readers.read_clean(spark, zones, table) for table in buckets.TABLES)
+    reference = next(r for r in schemas.REFERENCES if r.name == "order")
+    plain = {table: tables[table] for table in buckets.TABLES}
+    for make in (
+        lambda t: orphans.orphans(t, reference),
+        lambda t: purchases.prior_lines(t["order_products"], t["orders"]),
+        lambda t: mlset.labels(mlset.target_orders(t["orders"]), t["order_products"]),
+    ):
+        joined = make({"orders": orders, "order_products": lines})
+        plan = final_plan(joined)
+        assert "Join" in plan and "Exchange" not in plan
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, make(plain).collect()))
+    assert "Exchange" in final_plan(purchases.prior_lines(tables["order_products"], tables["orders"]))
+
+
+def test_a_table_with_a_hot_order_is_not_bucketed(spark, tmp_path, monkeypatch):
+    from basketflow.sources import buckets, readers, writers
+    from basketflow.sources.zones import Zones
+
+    monkeypatch.setattr(buckets, "FEW", 10)
+    monkeypatch.setattr(buckets, "UNEVEN", 1.2)
+    zones = Zones.under(str(tmp_path))
+    _, lines = skewed(spark)
+    writers.write_clean(lines, zones, "order_products")
+    assert buckets.count(spark, zones, "order_products") is None
+    assert readers.read_clean(spark, zones, "order_products").count() == lines.count()
+
+
+def test_target_orders_filter_the_lines_before_the_shuffle(spark, conf):
+    """The targets are too large to broadcast, and send a filter instead."""
+    lines = stored(mapping.tables(spark, SMALL)["order_products"], "lines")
+    orders = stored(mapping.tables(spark, SMALL)["orders"], "orders")
+
+    def train():
+        return mlset.labels(mlset.target_orders(mlset.split(orders, "train")), lines)
+
+    expected = sorted(map(tuple, train().collect()))
+    conf({**NO_BROADCAST, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"})
+    frame = train()
+    assert "might_contain" in final_plan(frame)
+    assert sorted(map(tuple, frame.collect())) == expected

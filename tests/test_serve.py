@@ -99,3 +99,25 @@ def test_model_learns_that_bought_means_bought_again(spark, trees):
         ("product_id", "string"),
         ("predicted_probability", "double"),
     ]
+
+
+def test_weights_teach_what_repeated_rows_do(spark):
+    """Coefficients, and the evaluation, of a compact set and of its rows. The
+    spread by which Spark scales a feature is estimated a little differently
+    from weights, which the penalty then shows."""
+    from basketflow.functions.copies import repeat_rows
+
+    columns = {name: (F.hash("id", F.lit(name)) % 7).cast("double") for name in recommend.NUMERIC}
+    compact = spark.range(80).select(
+        F.col("id").alias("user_id"),
+        (F.col("id") % 9).alias("product_id"),
+        (F.hash("id", F.lit("label")) % 2 == 0).cast("int").alias("reordered"),
+        *(column.alias(name) for name, column in columns.items()),
+        (1 + F.col("id") % 4).alias("copies"),
+    )
+    rows = repeat_rows(compact)
+    by_weight, by_rows = recommend.train(compact), recommend.train(rows)
+    for a, b in zip(by_weight.stages[-1].coefficients, by_rows.stages[-1].coefficients):
+        assert a == pytest.approx(b, abs=2e-3)
+    first, second = (recommend.evaluate(by_rows, frame).first() for frame in (compact, rows))
+    assert first.asDict() == pytest.approx(second.asDict()) and first["rows"] == rows.count()
