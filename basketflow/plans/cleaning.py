@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from basketflow import schemas
 from basketflow.operators import orphans, validate
-from basketflow.session import scratch, scratch_scope, sized_shuffles, tune
+from basketflow.session import scratch, scratch_scope, sized_shuffles, stored, tune
 from basketflow.sources import buckets, files, readers, writers
 from basketflow.sources.zones import Zones
 
@@ -44,12 +44,13 @@ def load_files(
     that load held. Other loads are left as they lie, or dropped if `anew`.
 
     All files are read in one job. A row finds its load by the file it is from,
-    and is staged as in `load_table`.
+    and is staged as in `load_table`. The list of files is stored, so that Spark
+    knows how small it is and leaves the rows where they are.
     """
     carry = ("load",)
     found = [(files.uri(spark, path), load) for path, load in loads.items()]
-    by_file = spark.createDataFrame(found, "_file string, load bigint")
     with scratch_scope(spark):
+        by_file = stored(spark.createDataFrame(found, "_file string, load bigint").coalesce(1), "files")
         raw = readers.read_files(spark, table, list(loads)).join(by_file, "_file")
         staged = validate.staged(table, validate.tag(table, raw, strict, carry=carry), carry)
         path = scratch(spark, f"tagged-{table}")

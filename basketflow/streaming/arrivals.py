@@ -53,7 +53,8 @@ def _write_bookmark(spark: SparkSession, zones: Zones, table: str, done: Files)
     versions = _versions(spark, zones, table)
     rows = [("", 0, None), *((path, modified, load) for path, (modified, load) in done.items())]
     number = max(versions, default=-1) + 1
-    spark.createDataFrame(rows, BOOKMARK).write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={number}")
+    listed = spark.createDataFrame(rows, BOOKMARK).coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{zones.bookmark(table)}/version={number}")
     for version in versions:
         files.delete(spark, f"{zones.bookmark(table)}/version={version}")
 
