@@ -350,3 +350,17 @@ def test_near_duplicates_in_many_small_blocks(documents, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_BYTES", 500)
     found = rows(minhash.near_duplicates(documents), "doc_id", "n_shingles", "component_id", "kept")
     assert found == sorted(brute.near_duplicates(corpus()), key=repr)
+
+
+@pytest.mark.parametrize("hot", [50_000, 30])
+def test_shards_do_not_depend_on_files(spark, hot):
+    """Small parts, with copies under one id, and under none."""
+    rows_ = [(i, passage(i, 5)) for i in range(150)] + [(7, "same")] * 60 + [(None, "none")] * 45 + [(None, None)] * 3
+    frame = spark.createDataFrame(rows_, "doc_id long, text string")
+    found = [
+        rows(sharding.shards(frame.repartition(n), 5, per_part=40, hot=hot), "doc_id", "size", "text_crc32", "shard", "slot")
+        for n in (1, 6)
+    ]
+    assert found[0] == found[1]
+    places = sorted((shard, slot) for *_, shard, slot in found[0])
+    assert places == sorted((p % 5, p // 5) for p in range(len(rows_)))
