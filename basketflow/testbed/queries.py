@@ -10,7 +10,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -439,15 +438,9 @@ def score_fixed_model(basket: Basket) -> DataFrame:
 
 
 def product_onehot(basket: Basket) -> DataFrame:
-    encoded = encode.product_onehot(basket.products, basket.product_features)
-    vectors = {
-        name: vector_to_array(f"{name}_encoded").alias(f"{name}_encoded") for name in encode.ENCODED
-    }
-    return encoded.select(
-        "product_id",
-        *(f"{name}_index" for name in encode.ENCODED),
-        *(F.array_join(vectors[name].cast("array<int>"), "").alias(f"{name}_encoded") for name in encode.ENCODED),
-    )
+    """The one-hot vectors as index and size."""
+    encoded = encode.product_onehot(basket.products, stored(basket.product_features, "product-features"))
+    return encoded.select("product_id", *(f"{name}_{part}" for name in encode.ENCODED for part in ("index", "size")))
 
 
 QUERIES: dict[str, Query] = {

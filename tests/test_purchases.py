@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from basketflow.functions.copies import CHUNK, repeat_rows
-from basketflow.operators import purchases
+from basketflow.operators import encode, purchases
 
 PRIOR = "user_id bigint, product_id bigint, order_number bigint, add_to_cart_order bigint, reordered bigint, days_since_prior_order double, is_weekend int"
 
@@ -127,3 +127,21 @@ def test_repeat_rows_beyond_one_chunk(spark):
     assert {r.id: r["count"] for r in got.groupBy("id").count().collect()} == {
         key: n for key, n in counts.items() if n
     }
+
+
+def test_one_hot_vectors_hold_their_index(spark, conf):
+    """Labels by lines sold, over several ranges; the last has no place."""
+    conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    fields = "product_id long, product_name string, aisle_id long, department_id long"
+    products = spark.createDataFrame([(i, "p", i % 7, i % 3) for i in range(40)], fields)
+    features = spark.createDataFrame([(i, i) for i in range(1, 40)] + [(99, 5)], "product_id long, prod_orders long")
+    sold = {}
+    for i in range(1, 40):
+        sold[i % 7] = sold.get(i % 7, 0) + i
+    place = {label: n for n, label in enumerate(sorted(sold, key=lambda label: (-sold[label], str(label))))}
+    rows = {r.product_id: r for r in encode.product_onehot(products, features).collect()}
+    assert len(rows) == 40 and rows[99].aisle_id_index is None
+    for i in range(1, 40):
+        at, vector = place[i % 7], rows[i].aisle_id_encoded
+        assert (rows[i].aisle_id_index, rows[i].aisle_id_size, vector.size) == (at, 6, 6)
+        assert list(vector.indices) == ([at] if at < 6 else [])
