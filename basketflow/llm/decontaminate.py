@@ -123,14 +123,14 @@ def matches(texts: Texts, items: Items) -> list[dict[int, int]]:
                 merged.append([a, b])
         least = min(distance(item.words, words.hashes[a:b], item.errors)[0] for a, b in merged)
         if least <= item.errors:
-            found[d][item.item_id] = least
+            found[d][item.item_id] = min(least, found[d].get(item.item_id, least))
     return found
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size, fetched one partition at a time."""
     block, size = [], 0
-    for row in benchmark.filter("item_id IS NOT NULL").select("item_id", "text").toLocalIterator():
+    for row in benchmark.select("item_id", "text").toLocalIterator():
         block.append((row["item_id"], row["text"]))
         size += len(row["text"] or "")
         if size >= BLOCK_BYTES:
@@ -159,7 +159,7 @@ def found_items(documents: DataFrame, benchmark: DataFrame, keep: list[str]) ->
             for part, texts in slices(batches):
                 before = part.column("found").to_pylist()
                 now = [
-                    [*old, *({"item_id": i, "distance": n} for i, n in sorted(new.items()))]
+                    [*old, *({"item_id": i, "distance": n} for i, n in new.items())]
                     for old, new in zip(before, matches(texts, items))
                 ]
                 arrays = [pa.array(now, fields) if c == "found" else part.column(c) for c in columns]
@@ -172,7 +172,8 @@ def found_items(documents: DataFrame, benchmark: DataFrame, keep: list[str]) ->
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, item_ids, distances) of every document. Null and
     empty texts hold no item, and items without a word are in no document;
-    rows that repeat are judged each; items of equal id count as one."""
+    rows that repeat are judged each. Items of equal id count as one in a block
+    of items; those without id as one more, first in `item_ids` as a null."""
     found = found_items(documents, benchmark, ["doc_id"])
     items = F.transform("found", lambda x: x["item_id"])
     return found.select(

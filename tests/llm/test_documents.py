@@ -259,7 +259,7 @@ def test_contamination(spark):
     expected = []
     for doc, text in data:
         near = []
-        for item, words in ((i, plain(t)) for i, t in items if i is not None):
+        for item, words in ((i, plain(t)) for i, t in items):
             if words and (d := brute.edit_distance_within(words, plain(text))) <= len(words) // 8:
                 near.append((item, d))
         expected.append((doc, [i for i, _ in near], [d for _, d in near]))
@@ -267,6 +267,18 @@ def test_contamination(spark):
     assert any(0 in d for _, _, d in found) and any(3 in d for _, _, d in found)
 
 
+def test_an_item_without_id_is_found(spark):
+    items = [(None, passage(600, 20)), (1, passage(601, 20)), (None, passage(602, 20))]
+    data = [(1, f"{passage(9, 30)} {items[0][1]}"), (2, f"{items[2][1]} {items[1][1]}"), (3, passage(8, 50))]
+    found = decontaminate.contamination(
+        spark.createDataFrame(data, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert rows(found, "doc_id", "contaminated", "item_ids") == [
+        (1, True, [None]), (2, True, [None, 1]), (3, False, [])
+    ]
+
+
 def test_items_go_out_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
     items = [(i, passage(500 + i, 20)) for i in range(5)]
