@@ -10,7 +10,11 @@ stage before it kept.
 5. packing        the rest, as pieces of training windows
 
 Stages 1 to 4 return the columns of `documents`; the last returns the pieces.
-A document without id, or with one that repeats, is judged like any other.
+Documents with an id that repeats are judged row by row. Those without id are
+kept like any other, but in stage 3 they count as one document, the first: a
+passage that only they share stays, and a null text comes out empty. Where an
+id is null or repeats, the document of a group that stays in stage 2 is the
+first by where it lies rather than by id.
 """
 
 from __future__ import annotations
