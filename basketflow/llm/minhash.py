@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm.components import components
+from basketflow.llm.ranks import ids_are_keys, numbered
 from basketflow.llm.texts import MISSING_ID, Texts, as_texts, mix, slices
 from basketflow.session import stored
 
@@ -132,8 +133,9 @@ def _class_rows(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.Re
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) if f else None for s, f in zip(sets, full)], pa.binary()),
                 pa.array([row.tobytes() if f else None for row, f in zip(keys, full)], pa.binary()),
+                part.column("h"),
             ],
-            names=["doc_id", "n_shingles", "c", "keys"],
+            names=["doc_id", "n_shingles", "c", "keys", "h"],
         )
 
 
@@ -159,8 +161,9 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def _texts_of(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """(c, text): a text of each class, by the class's smallest id. Where rows
-    share an id, those of another set are left out."""
+    """(c, text): one text of each class, found by the class's smallest id and
+    the hash of a text it has there. So rows that share an id, or have none,
+    meet only the class they are of, and a class met by several keeps one."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches):
@@ -168,8 +171,9 @@ def _texts_of(documents: DataFrame, classes: DataFrame) -> DataFrame:
             right = [k == c for k, c in zip(keys, part.column("c").to_pylist())]
             yield part.select(["c", "text"]).filter(pa.array(right, pa.bool_()))
 
-    keyed = documents.select(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id"), "text")
-    return keyed.join(classes, "id").select("c", "text").mapInArrow(check, "c binary, text string")
+    keyed = documents.select(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id"), F.xxhash64("text").alias("h"), "text")
+    found = keyed.join(classes, ["id", "h"]).select("c", "text").mapInArrow(check, "c binary, text string")
+    return found.groupBy("c").agg(F.min("text").alias("text"))
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -183,23 +187,18 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = documents.select(F.col("doc_id").cast("bigint"), "text")
     bands = bands_for(percent)
     rows = stored(
-        named.mapInArrow(
-            lambda batches: _class_rows(batches, bands), "doc_id bigint, n_shingles bigint, c binary, keys binary"
+        named.withColumn("h", F.xxhash64("text")).mapInArrow(
+            lambda batches: _class_rows(batches, bands),
+            "doc_id bigint, n_shingles bigint, c binary, keys binary, h bigint",
         ),
         "classes",
     )
-    classes = (
-        rows.filter("c IS NOT NULL")
-        .groupBy("c")
-        .agg(
-            F.min(F.coalesce("doc_id", F.lit(MISSING_ID))).alias("id"),
-            F.min("keys").alias("keys"),
-        )
-    )
+    classes = rows.filter("c IS NOT NULL").groupBy("c").agg(F.min("keys").alias("keys"))
     bands = stored(classes.select("c", "keys").mapInArrow(_band_rows, "key bigint, c binary"), "bands")
     shared = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     members = stored(bands.join(shared, "key"), "members")
-    ids = rows.groupBy("c").agg(F.min(F.coalesce("doc_id", F.lit(MISSING_ID))).alias("id"))
+    at = F.struct(F.coalesce("doc_id", F.lit(MISSING_ID)).alias("id"), "h")
+    ids = rows.groupBy("c").agg(F.min(at).alias("at")).select("c", "at.id", "at.h")
     wanted = members.groupBy("c").agg(F.sum("n").alias("weight"))
     wanted = stored(wanted, "candidates")
     texts = stored(_texts_of(named, ids.join(wanted.select("c"), "c")), "candidate-texts")
@@ -225,14 +224,13 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_first(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, all columns, less those of a group but one: the one of
-    smallest id. If ids are missing or repeat, rows are numbered first, as
-    repeated rows are near copies of each other, and the one of smallest
-    number stays."""
-    again = documents.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
-    if again.isEmpty():
+    smallest id. If ids are missing or repeat, rows are judged by numbers that
+    ascend with the id: the smallest id still stays, one without id only where
+    no other has one, and of equal ids the text of smallest hash."""
+    if ids_are_keys(documents):
         gone = near_duplicates(documents, percent).filter(~F.col("kept")).select("doc_id")
         return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
-    rows = stored(documents.withColumn("row_number", F.monotonically_increasing_id()), "numbered")
+    rows = numbered(stored(documents, "documents"), "row_number")
     named = rows.select(F.col("row_number").alias("doc_id"), "text")
     gone = near_duplicates(named, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("row_number"))
     return rows.join(gone, "row_number", "left_anti").select(*documents.columns)

@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from basketflow.session import stored
 
 
+def ids_are_keys(rows: DataFrame, column: str = "doc_id") -> bool:
+    """Whether no row lacks its id and no two share one."""
+    times = rows.groupBy(F.col(column).alias("id")).agg(F.count("*").alias("times"))
+    return times.filter("times > 1 OR id IS NULL").isEmpty()
+
+
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """`rows`, which must be stored, with a number of their own that ascends
+    with doc_id, rows without id last, and then with a hash of the text. The
+    numbers have gaps. Only rows equal in both are told apart by where they
+    lie, so that a great many of them still fall into several ranges."""
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col("_tie")]
+    sorted_rows = rows.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order)
+    return stored(sorted_rows.drop("_tie").withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def ranked(rows: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """`rows`, which must be stored, with their 1-based place by `order`.
 
