@@ -22,10 +22,22 @@ from basketflow.llm.texts import Texts, mix, slices
 BITS = 20
 # The bound of the training sample: rows with the smallest hash of their id.
 TRAIN_ROWS = 12_000
-EPOCHS = 5
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 8.0, 0.5
-# Toxic texts are the rarer ones: their gradients count so many times.
-TOXIC_WEIGHT = 3.0
+# The order of a pass over them.
+SEED = 11
+
+
+@dataclass(frozen=True)
+class Rates:
+    """How the learner goes: passes over the sample, the rate of a coordinate,
+    alpha / (beta + root of its squared gradients), and its shrinkage. Toxic
+    texts are the rarer ones, so their gradients count `toxic_weight` times."""
+
+    epochs: int = 5
+    alpha: float = 0.5
+    beta: float = 1.0
+    l1: float = 8.0
+    l2: float = 0.5
+    toxic_weight: float = 3.0
 
 
 @dataclass(frozen=True)
@@ -65,32 +77,34 @@ def sigmoid(x: float) -> float:
 class Learner:
     """FTRL-proximal state; the last coordinate is the bias, never shrunk by L1."""
 
-    def __init__(self):
+    def __init__(self, rates: Rates):
+        self.rates = rates
         self.z = np.zeros((1 << BITS) + 1)
         self.n = np.zeros((1 << BITS) + 1)
 
     def weights(self, at: np.ndarray) -> np.ndarray:
-        z, l1 = self.z[at], np.where(at == 1 << BITS, 0.0, L1)
-        rate = (BETA + np.sqrt(self.n[at])) / ALPHA + L2
+        rates = self.rates
+        z, l1 = self.z[at], np.where(at == 1 << BITS, 0.0, rates.l1)
+        rate = (rates.beta + np.sqrt(self.n[at])) / rates.alpha + rates.l2
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / rate)
 
     def learn(self, numbers: np.ndarray, label: int) -> None:
         at = np.append(numbers, 1 << BITS)
         w = self.weights(at)
-        g = (sigmoid(w.sum()) - label) * (TOXIC_WEIGHT if label else 1.0)
-        step = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / ALPHA
+        g = (sigmoid(w.sum()) - label) * (self.rates.toxic_weight if label else 1.0)
+        step = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.rates.alpha
         self.z[at] += g - step * w
         self.n[at] += g * g
 
 
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fit(batches: Iterator[pa.RecordBatch], rates: Rates) -> Iterator[pa.RecordBatch]:
     rows: list[tuple[np.ndarray, int]] = []
     for part, texts in slices(batches):
         rows += zip(features(texts), part.column("toxic").to_pylist())
     if not rows:
         return
-    learner, order = Learner(), np.random.default_rng(11)
-    for _ in range(EPOCHS):
+    learner, order = Learner(rates), np.random.default_rng(SEED)
+    for _ in range(rates.epochs):
         for i in order.permutation(len(rows)):
             learner.learn(*rows[i])
     weights = learner.weights(np.arange((1 << BITS) + 1))
@@ -100,29 +114,35 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, text, toxic): labelled texts outside the held-out fold.
+    """(doc_id, text, toxic): labelled texts outside the held-out fold, one of
+    each id (that of smallest hash, where an id repeats).
 
-    If more than `rows` labels qualify, those with the smallest hash of their
-    id are taken. That bound makes the label side small enough to broadcast.
+    If more than `rows` labels of ids that `documents` has qualify, those with
+    the smallest hash of their id are taken. That bound holds for the texts as
+    well, and makes the label side small enough to broadcast.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
         .filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
+        .join(documents.select("doc_id"), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    texts = documents.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    least = texts.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    return least.select("doc_id", "least.text", "toxic")
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, rates: Rates = Rates()) -> Model:
     """Fit on at most `rows` labelled texts. Without any, every score is the
     prior: nothing is known, and the model says 'not toxic'."""
     chosen = training_rows(documents, labels, rows)
     # The sample is bounded and the learner goes through it in order: one task.
     ordered = chosen.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text")
-    table = ordered.mapInArrow(_fit, "feature bigint, weight double").toPandas().sort_values("feature")
+    fitted = ordered.mapInArrow(lambda batches: _fit(batches, rates), "feature bigint, weight double")
+    table = fitted.toPandas().sort_values("feature")
     if table.empty:
         return Model(-5.0, np.zeros(0, np.int64), np.zeros(0, np.float32))
     index, weight = table["feature"].to_numpy(np.int64), table["weight"].to_numpy()
@@ -152,12 +172,14 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(
+    documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, rates: Rates = Rates()
+) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document, scored by the
     model fitted to `labels` outside the held-out fold. Rows that repeat are
     scored each; a null doc_id is in no fold; labels that are neither 0 nor 1,
     or of unknown documents, teach nothing."""
-    model = train(documents, labels)
+    model = train(documents, labels, rows, rates)
     scored = score(documents, model, ["doc_id"])
     return scored.select(
         "doc_id",
