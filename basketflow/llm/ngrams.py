@@ -1,8 +1,8 @@
 """Perplexity under an interpolated modified Kneser-Ney model of word pairs.
 
 Counting is two exchanges of packed numbers: words by hash, then pairs of word
-numbers. Each bucket writes its sorted array of keys, and the counts, to the
-shared folder; the counts that smoothing needs (how many different words
+numbers. Each bucket writes its sorted array of keys, and the counts (in as many
+bytes as the largest needs), to the shared folder; the counts that smoothing needs (how many different words
 follow a word how often, how many precede it) are exchanged by word number and
 written into arrays of one slot per word. Workers map these files into memory
 and search them, so a worker reads only the pages its texts touch.
@@ -27,10 +27,11 @@ from basketflow.llm.packed import (
     ARROW,
     COLUMNS,
     SCHEMA,
-    bucket_bits,
-    bucket_of,
+    Ranges,
     gather,
+    grouped,
     pieces,
+    refined,
     text_bytes,
 )
 from basketflow.llm.texts import Texts, mix, slices
@@ -41,6 +42,8 @@ END = np.uint64(0x0E0FD0CE57EAD001)
 COUNT_SLICE = 4 << 20
 BYTES_PER_WORD = 6
 RANGE_BITS = 18
+# Up to so many words, a pair is one number of 64 bits; beyond, 16 bytes.
+NARROW = 1 << 32
 # Shares of text bytes that reach an exchange as distinct entries of a slice.
 WORD_SHARE, PAIR_SHARE = 0.25, 0.75
 
@@ -62,7 +65,12 @@ def save(path: str, values: np.ndarray) -> None:
     os.replace(own, path)
 
 
-def load(path: str, kind: type) -> np.ndarray:
+def narrowest(counts: np.ndarray) -> np.ndarray:
+    """The counts in the least width that holds them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max()))) if len(counts) else counts
+
+
+def load(path: str, kind: type | str) -> np.ndarray:
     size = os.path.getsize(path) // np.dtype(kind).itemsize if os.path.exists(path) else 0
     return np.memmap(path, kind, "r", shape=(size,)) if size else np.zeros(0, kind)
 
@@ -89,8 +97,9 @@ class Model:
     the worker; only this small record travels."""
 
     folder: str
-    word_bits: int
-    pair_bits: int = 3
+    words: Ranges
+    pairs: Ranges
+    narrow: int = NARROW
     first: np.ndarray | None = None  # number of the first word of each bucket
     vocabulary: int = 0
     total: int = 0
@@ -109,18 +118,32 @@ class Model:
             self._open[name] = load(f"{self.folder}/{name}", kind)
         return self._open[name]
 
-    def _search(self, kind: str, bits: int, keys: np.ndarray, bucket: np.ndarray) -> Iterator[tuple]:
-        """(bucket, positions of keys, their places in it) for each bucket."""
+    def counts(self, name: str, length: int) -> np.ndarray:
+        """A `narrowest` array of so many counts; none if there is no file."""
+        if name not in self._open:
+            path = f"{self.folder}/{name}"
+            width = os.path.getsize(path) // length if os.path.exists(path) else 1
+            self._open[name] = load(path, f"u{width}")
+        return self._open[name]
+
+    @property
+    def wide(self) -> bool:
+        return self.vocabulary >= self.narrow
+
+    def _search(self, kind: str, keys: np.ndarray, bucket: np.ndarray) -> Iterator[tuple]:
+        """(bucket, positions of keys, their places in its array, the array's
+        length) for each bucket."""
         order = np.lexsort((keys, bucket))
-        cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-        for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
-            at = order[cuts[b] : cuts[b + 1]]
-            yield b, at, find(keys[at], self.array(f"{kind}/{b}.keys", np.uint64))
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        for a, z in zip(cuts, np.append(cuts[1:], len(order))):
+            b, at = bucket[order[a]], order[a:z]
+            held = self.array(f"{kind}/{b}.keys", keys.dtype.str)
+            yield b, at, find(keys[at], held), len(held)
 
     def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number, count) of words, -1 and 0 if unknown."""
         number, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        for b, at, place in self._search("words", self.word_bits, hashes, bucket_of(hashes, self.word_bits)):
+        for b, at, place, _ in self._search("words", hashes, self.words.fine(hashes)):
             known = place >= 0
             number[at[known]] = self.first[b] + place[known]
             count[at[known]] = self.array(f"words/{b}.counts", np.int64)[place[known]]
@@ -128,9 +151,10 @@ class Model:
 
     def pair_counts(self, pairs: np.ndarray) -> np.ndarray:
         count = np.zeros(len(pairs), np.int64)
-        for b, at, place in self._search("pairs", self.pair_bits, pairs, bucket_of(mix(pairs), self.pair_bits)):
+        for b, at, place, length in self._search("pairs", pairs, self.pairs.fine(_hashed(pairs))):
             known = place >= 0
-            count[at[known]] = self.array(f"pairs/{b}.counts", np.uint32)[place[known]]
+            if known.any():
+                count[at[known]] = self.counts(f"pairs/{b}.counts", length)[place[known]]
         return count
 
 
@@ -142,15 +166,19 @@ def _grouped(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def count_words(documents: DataFrame, model: Model) -> Model:
-    bits = model.word_bits
+    ranges, kinds = model.words, [np.uint64, np.int64]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches, limit=COUNT_SLICE):
             keys, counts = np.unique(tokens(texts)[0], return_counts=True)
-            yield from pieces(bucket_of(keys, bits), [keys, counts.astype(np.int64)])
+            yield from pieces(ranges.first(keys), [keys, counts.astype(np.int64)])
+
+    def again(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, counts = _grouped(keys, counts)
+        yield from pieces(ranges.fine(keys), [keys, counts])
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _grouped(*gather(rows, [np.uint64, np.int64]))
+        keys, counts = _grouped(*gather(rows, kinds))
         b = int(rows["bucket"].iloc[0])
         save(f"{model.folder}/words/{b}.keys", keys)
         save(f"{model.folder}/words/{b}.counts", counts)
@@ -158,10 +186,12 @@ def count_words(documents: DataFrame, model: Model) -> Model:
         ends = int(counts[at]) if at >= 0 else 0
         return pd.DataFrame({"b": [b], "distinct": [len(keys)], "total": [int(counts.sum())], "ends": [ends]})
 
-    exchanged = documents.select("text").mapInArrow(local, SCHEMA).groupBy("bucket")
-    done = exchanged.applyInPandas(merge, "b bigint, distinct bigint, total bigint, ends bigint")
+    exchanged = documents.select("text").mapInArrow(local, SCHEMA)
+    if ranges.deep:
+        exchanged = refined(exchanged, ranges, kinds, again)
+    done = grouped(exchanged, ranges).applyInPandas(merge, "b bigint, distinct bigint, total bigint, ends bigint")
     sizes = done.toPandas()  # one row per bucket of some 400,000 entries
-    distinct = np.zeros(1 << bits, np.int64)
+    distinct = np.zeros(1 << ranges.bits, np.int64)
     distinct[sizes["b"].to_numpy(np.int64)] = sizes["distinct"].to_numpy(np.int64)
     model.first = np.concatenate([[0], np.cumsum(distinct)[:-1]])
     model.vocabulary, model.total = int(distinct.sum()), int(sizes["total"].sum())
@@ -181,8 +211,26 @@ def _pairs(model: Model, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return before, after, count, documents
 
 
-def _joined(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    return (before.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
+def _joined(before: np.ndarray, after: np.ndarray, wide: bool) -> np.ndarray:
+    """Pairs of word numbers as one array, in the order of both."""
+    if not wide:
+        return (before.astype(np.uint64) << np.uint64(32)) | after.astype(np.uint64)
+    return np.stack([before, after], axis=1).astype(">u8").view("S16").reshape(-1)
+
+
+def _parts(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after) of pairs."""
+    if pairs.dtype == np.uint64:
+        return (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    both = np.ascontiguousarray(pairs).view(">u8").reshape(-1, 2).astype(np.int64)
+    return both[:, 0], both[:, 1]
+
+
+def _hashed(pairs: np.ndarray) -> np.ndarray:
+    if pairs.dtype == np.uint64:
+        return mix(pairs)
+    before, after = (x.astype(np.uint64) for x in _parts(pairs))
+    return mix(mix(before) ^ after)
 
 
 def _times(counts: np.ndarray) -> list[int]:
@@ -202,28 +250,34 @@ def discounts(times: list[int]) -> tuple[float, float, float]:
 
 def count_pairs(documents: DataFrame, model: Model) -> Model:
     """Write the pairs, and per word how it is followed and preceded."""
-    if model.vocabulary >= 1 << 32:
-        raise ValueError("word numbers take 32 bits")
-    bits = model.pair_bits
+    ranges, wide = model.pairs, model.wide
+    kinds = [np.int64, np.int64, np.int64] if wide else [np.uint64, np.int64]
+
+    def sent(deal, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = deal(_hashed(keys))
+        order = np.lexsort((keys, bucket))
+        columns = [c[order] for c in (*(_parts(keys) if wide else [keys]), counts)]
+        yield from pieces(bucket[order], columns)
+
+    def received(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return _grouped(_joined(*columns[:2], wide) if wide else columns[0], columns[-1])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches, limit=COUNT_SLICE):
             before, after, _, _ = _pairs(model, texts)
-            keys, counts = np.unique(_joined(before, after), return_counts=True)
-            bucket = bucket_of(mix(keys), bits)
-            order = np.lexsort((keys, bucket))
-            yield from pieces(bucket[order], [keys[order], counts[order].astype(np.uint32)])
+            keys, counts = np.unique(_joined(before, after, wide), return_counts=True)
+            yield from sent(ranges.first, keys, counts.astype(np.int64))
 
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _grouped(*gather(rows, [np.uint64, np.uint32]))
+        keys, counts = received(gather(rows, kinds))
         b = int(rows["bucket"].iloc[0])
         save(f"{model.folder}/pairs/{b}.keys", keys)
-        save(f"{model.folder}/pairs/{b}.counts", counts.astype(np.uint32))
-        before, after = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        save(f"{model.folder}/pairs/{b}.counts", narrowest(counts))
+        before, after = _parts(keys)
         ways = np.minimum(counts, 3).astype(np.int64) - 1
         code, followed = np.unique(before * 4 + ways, return_counts=True)
         last, preceded = np.unique(after * 4 + 3, return_counts=True)
-        codes, values = np.concatenate([code, last]), np.concatenate([followed, preceded]).astype(np.uint32)
+        codes, values = np.concatenate([code, last]), np.concatenate([followed, preceded]).astype(np.int64)
         order = np.argsort(codes)
         codes, values = codes[order], values[order]
         out = [x.to_pandas() for x in pieces(codes >> (RANGE_BITS + 2), [codes, values])]
@@ -237,16 +291,19 @@ def count_pairs(documents: DataFrame, model: Model) -> Model:
         if b < 0:  # the totals of a bucket of pairs
             totals = [np.frombuffer(blob, np.int64) for blob in rows["c0"]]
             return pd.DataFrame([[0, *np.sum(totals, axis=0).tolist(), 0]], columns=columns)
-        codes, values = gather(rows, [np.int64, np.uint32])
+        codes, values = gather(rows, [np.int64, np.int64])
         table = np.zeros(4 << RANGE_BITS, np.int64)
         np.add.at(table, codes - (b << (RANGE_BITS + 2)), values)
-        save(f"{model.folder}/ways/{b}", table.astype(np.uint32))
+        save(f"{model.folder}/ways/{b}", narrowest(table))
         preceded = table[3::4]
         words = int((preceded > 0).sum())
         return pd.DataFrame([[1, *_times(preceded), int(preceded.sum()), words]], columns=columns)
 
     columns = ["level", "n1", "n2", "n3", "n4", "total", "words"]
-    merged = documents.select("text").mapInArrow(local, SCHEMA).groupBy("bucket").applyInPandas(merge, SCHEMA)
+    exchanged = documents.select("text").mapInArrow(local, SCHEMA)
+    if ranges.deep:
+        exchanged = refined(exchanged, ranges, kinds, lambda *c: sent(ranges.fine, *received(list(c))))
+    merged = grouped(exchanged, ranges).applyInPandas(merge, SCHEMA)
     done = merged.groupBy("bucket").applyInPandas(spread, ", ".join(f"{c} bigint" for c in columns))
     table = done.groupBy("level").agg(*(F.sum(c).alias(c) for c in columns[1:])).toPandas().set_index("level")
     if 0 in table.index:
@@ -259,12 +316,14 @@ def count_pairs(documents: DataFrame, model: Model) -> Model:
     return model
 
 
-def fit(documents: DataFrame) -> Model:
-    """Count the words and pairs of all `documents`."""
+def fit(documents: DataFrame, ranges: tuple[Ranges, Ranges] | None = None, narrow: int = NARROW) -> Model:
+    """Count the words and pairs of all `documents`. The `ranges` of both follow
+    from the bytes of text unless given."""
     folder = mounted(scratch(documents.sparkSession, "ngrams"))
-    words = text_bytes(documents) // BYTES_PER_WORD
-    bits = [bucket_bits(int(words * share)) for share in (WORD_SHARE, PAIR_SHARE)]
-    return count_pairs(documents, count_words(documents, Model(folder, *bits)))
+    if not ranges:
+        words = text_bytes(documents) // BYTES_PER_WORD
+        ranges = Ranges(int(words * WORD_SHARE)), Ranges(int(words * PAIR_SHARE))
+    return count_pairs(documents, count_words(documents, Model(folder, *ranges, narrow)))
 
 
 def _ways(model: Model, numbers: np.ndarray) -> np.ndarray:
@@ -274,7 +333,7 @@ def _ways(model: Model, numbers: np.ndarray) -> np.ndarray:
     block = numbers >> RANGE_BITS
     for b in np.unique(block[numbers >= 0]):
         at = np.flatnonzero(block == b)
-        table = model.array(f"ways/{b}", np.uint32)
+        table = model.counts(f"ways/{b}", 4 << RANGE_BITS)
         if len(table):
             out[at] = table.reshape(-1, 4)[numbers[at] - (b << RANGE_BITS)]
     return out
@@ -295,7 +354,7 @@ def probabilities(model: Model, before: np.ndarray, after: np.ndarray, before_co
     seen = np.zeros(len(known))
     both = np.flatnonzero(after[known] >= 0)
     at = known[both]
-    seen[both] = model.pair_counts(_joined(before[at], after[at]))
+    seen[both] = model.pair_counts(_joined(before[at], after[at], model.wide))
     d = np.array([0.0, *model.discounts])
     p[known] = np.maximum(seen - d[np.minimum(seen, 3).astype(int)], 0) / before_count[known] + weight * p[known]
     return p
@@ -316,7 +375,8 @@ def score(documents: DataFrame, model: Model, held_out: Column) -> DataFrame:
             before_count = np.concatenate([[0], count[:-1]])
             before_count[before == model.vocabulary] = model.documents
             # Each pair of words once; its context count goes with its first word.
-            _, first, back = np.unique(_joined(before + 1, after + 1), return_index=True, return_inverse=True)
+            both = _joined(before + 1, after + 1, model.wide)
+            _, first, back = np.unique(both, return_index=True, return_inverse=True)
             p = probabilities(model, before[first], after[first], before_count[first])
             p = np.log10(p)[back]
             base = np.log10((count + 1) / (model.total + model.vocabulary + 1))
@@ -344,7 +404,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 == 2, F.lit(False))
 
 
-def perplexities(documents: DataFrame) -> DataFrame:
-    """Learn from the documents outside the fold, score all of them."""
-    model = fit(documents.filter(~held_out()))
+def perplexities(
+    documents: DataFrame, ranges: tuple[Ranges, Ranges] | None = None, narrow: int = NARROW
+) -> DataFrame:
+    """Learn from the documents outside the fold, score all of them. A task
+    holds some tens of bytes for each byte of the longest text."""
+    model = fit(documents.filter(~held_out()), ranges, narrow)
     return score(documents, model, held_out())

@@ -5,19 +5,31 @@ of equal key ranges ("buckets") and sends each piece as one row of compressed
 arrays. Keys are hashes, so buckets are even; a caller first folds the repeats
 of a key within its task, so that a key which holds a large part of all rows
 reaches its bucket once per piece of input and not once per row.
+
+A task deals into 4,096 ranges at most. Where the data need more buckets, a
+second exchange deals each of these ranges into its buckets, from batches of
+some million keys in which a key is folded again. So a piece is never a handful
+of keys, and a hot key reaches its bucket once per batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 BUCKET_KEYS = 400_000
+# Ranges that a task deals into, in bits, and the keys that a task of the
+# second exchange takes at once: over 1,000 for each of the next 8,192 ranges.
+LEVEL_BITS = 12
+LEVEL_KEYS = 8 << 20
+# Keys of one task of an exchange, some 50 MB of pieces.
+TASK_KEYS = 5_000_000
 
 
 def pack(values: np.ndarray, ordered: bool = False) -> bytes:
@@ -45,6 +57,33 @@ def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """How about `keys` keys are dealt into buckets, in one step or two."""
+
+    keys: int
+    per_bucket: int = BUCKET_KEYS
+    level: int = LEVEL_BITS
+    at_once: int = LEVEL_KEYS
+
+    @property
+    def bits(self) -> int:
+        return bucket_bits(self.keys, self.per_bucket)
+
+    @property
+    def deep(self) -> bool:
+        return self.bits > self.level
+
+    def fine(self, keys: np.ndarray) -> np.ndarray:
+        """The bucket of each key."""
+        return bucket_of(keys, self.bits)
+
+    def first(self, keys: np.ndarray) -> np.ndarray:
+        """The range a task deals each key into, named by its first bucket."""
+        top = min(self.bits, self.level)
+        return bucket_of(keys, top) << (self.bits - top)
+
+
 COLUMNS = 5
 SCHEMA = "bucket bigint, kind int, " + ", ".join(f"c{i} binary" for i in range(COLUMNS))
 ARROW = pa.schema(
@@ -85,6 +124,47 @@ def gather(rows, kinds: Sequence[type], kind: int = 0, ordered: bool = True) ->
     return out
 
 
+def grouped(rows: DataFrame, ranges: Ranges) -> GroupedData:
+    """Pieces by bucket, in tasks enough for their keys."""
+    tasks = -(-ranges.keys // TASK_KEYS)
+    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(tasks, "bucket")
+    return rows.groupBy("bucket")
+
+
+def refined(
+    rows: DataFrame,
+    ranges: Ranges,
+    kinds: Sequence[type],
+    send: Callable[..., Iterator[pa.RecordBatch]],
+    kind: int = 0,
+) -> DataFrame:
+    """Pieces of one kind, of the ranges of a first step, dealt anew: `send` gets
+    the columns of some `at_once` keys, nearly all of one range, and yields
+    pieces of buckets. A range that takes several tasks is split by a hash of
+    its pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            blobs = [batch.column(f"c{i}") for i in range(len(kinds))]
+            for row in range(batch.num_rows):
+                held.append([unpack(b[row].as_py(), t, i == 0) for i, (b, t) in enumerate(zip(blobs, kinds))])
+                if sum(len(columns[0]) for columns in held) >= ranges.at_once:
+                    yield from send(*(np.concatenate(c) for c in zip(*held)))
+                    held = []
+        if held:
+            yield from send(*(np.concatenate(c) for c in zip(*held)))
+
+    shares = -(-ranges.keys // (ranges.at_once << ranges.level))
+    dealt = rows.filter(F.col("kind") == kind).repartition(
+        shares << ranges.level,
+        F.shiftright("bucket", ranges.bits - ranges.level),
+        F.pmod(F.xxhash64("c0"), F.lit(shares)),
+    )
+    return dealt.sortWithinPartitions("bucket").mapInArrow(run, SCHEMA)
+
+
 def text_bytes(documents: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of all texts, by which buckets are numbered."""
     return documents.agg(F.sum(F.octet_length(column))).first()[0] or 0

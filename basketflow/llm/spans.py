@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 
 from basketflow.llm.packed import (
     SCHEMA,
-    bucket_bits,
-    bucket_of,
+    Ranges,
     gather,
+    grouped,
     pack,
     pieces,
+    refined,
     text_bytes,
     unpack,
 )
@@ -47,19 +48,39 @@ SPAN = [("start", np.int32), ("edges", np.int32), ("source", np.int64), ("source
 SPANS = "doc_id bigint, spans int, start binary, edges binary, source binary, source_start binary"
 
 
-def _by_document(doc: np.ndarray, bits: int) -> np.ndarray:
-    return bucket_of(mix(doc.view(np.uint64)), bits)
+EDGE = [np.uint64, np.int64, np.int32]
+PLACE = [np.int64, np.int32, np.int64, np.int32]
+Deal = Callable[[np.ndarray], np.ndarray]
 
 
-def _places(bits: int, doc, pos, source, source_pos) -> Iterator[pa.RecordBatch]:
+def _places(deal: Deal, doc, pos, source, source_pos) -> Iterator[pa.RecordBatch]:
     """Repeated places with their sources, dealt by document."""
-    bucket = _by_document(doc, bits)
+    bucket = deal(mix(doc.view(np.uint64)))
     order = np.lexsort((pos, doc, bucket))
     columns = [x[order] for x in (doc, pos.astype(np.int32), source, source_pos.astype(np.int32))]
     yield from pieces(bucket[order], columns, kind=1)
 
 
-def edges(documents: DataFrame, bits: int, size: int) -> DataFrame:
+def _later(keys, doc, pos) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """Edges in the order of hash and place; where the first of each hash is;
+    and, for the places in larger documents than the first, (it, first)."""
+    order = np.lexsort((pos, doc, keys))
+    keys, doc, pos = keys[order], doc[order], pos[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+    heads = np.flatnonzero(first)
+    head = heads[np.cumsum(first) - 1]
+    later = np.flatnonzero(doc > doc[head])
+    return (keys, doc, pos), heads, np.stack([later, head[later]])
+
+
+def _folded(deal: Deal, ranges: Ranges, keys, doc, pos) -> Iterator[pa.RecordBatch]:
+    """Each edge once, dealt by hash, and its places in larger documents."""
+    (keys, doc, pos), heads, (later, source) = _later(keys, doc, pos)
+    yield from _places(ranges.first, doc[later], pos[later], doc[source], pos[source])
+    yield from pieces(deal(keys[heads]), [keys[heads], doc[heads], pos[heads]])
+
+
+def edges(documents: DataFrame, ranges: Ranges, size: int) -> DataFrame:
     """Rows of kind 0: distinct edges of a slice, by hash. Kind 1: places
     that repeat an edge of a smaller document of the same slice."""
 
@@ -70,44 +91,39 @@ def edges(documents: DataFrame, bits: int, size: int) -> DataFrame:
             if not len(at):
                 continue
             rows = words.documents()[at]
-            doc, pos = ids(part.column("doc_id"))[rows], at - words.bounds[rows]
-            order = np.lexsort((pos, doc, keys))
-            keys, doc, pos = keys[order], doc[order], pos[order]
-            first = np.concatenate([[True], keys[1:] != keys[:-1]])
-            head = np.flatnonzero(first)[np.cumsum(first) - 1]
-            later = np.flatnonzero(doc > doc[head])
-            yield from _places(bits, doc[later], pos[later], doc[head[later]], pos[head[later]])
-            at = np.flatnonzero(first)
-            yield from pieces(bucket_of(keys[at], bits), [keys[at], doc[at], pos[at].astype(np.int32)])
+            doc, pos = ids(part.column("doc_id"))[rows], (at - words.bounds[rows]).astype(np.int32)
+            yield from _folded(ranges.first, ranges, keys, doc, pos)
 
     return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def repeated_places(edge_rows: DataFrame, bits: int) -> DataFrame:
+def repeated_places(edge_rows: DataFrame, ranges: Ranges) -> DataFrame:
     """Kind 1 rows by document: those found in the slices, and the places of
-    edges whose source, over all slices, is in a smaller document."""
+    edges whose source, over all slices, is in a smaller document.
+
+    Edges that need a second step are written between the steps, as their
+    places go past the buckets of edges to those of documents."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, doc, pos = gather(rows, [np.uint64, np.int64, np.int32])
-        order = np.lexsort((pos, doc, keys))
-        keys, doc, pos = keys[order], doc[order], pos[order]
-        out = [rows[rows["kind"] == 1]]
-        if len(keys):
-            first = np.concatenate([[True], keys[1:] != keys[:-1]])
-            head = np.flatnonzero(first)[np.cumsum(first) - 1]
-            later = np.flatnonzero(doc > doc[head])
-            found = _places(bits, doc[later], pos[later], doc[head[later]], pos[head[later]])
-            out += [batch.to_pandas() for batch in found]
-        return pd.concat(out)
-
-    return edge_rows.groupBy("bucket").applyInPandas(run, SCHEMA)
-
-
-def compacted(place_rows: DataFrame) -> DataFrame:
+        (_, doc, pos), _, (later, source) = _later(*gather(rows, EDGE))
+        found = _places(ranges.first, doc[later], pos[later], doc[source], pos[source])
+        return pd.concat([rows[rows["kind"] == 1], *(batch.to_pandas() for batch in found)])
+
+    if not ranges.deep:
+        return grouped(edge_rows, ranges).applyInPandas(run, SCHEMA)
+    edge_rows = stored(edge_rows, "edges")
+    finer = refined(edge_rows, ranges, EDGE, lambda *columns: _folded(ranges.fine, ranges, *columns))
+    finer = stored(finer, "finer-edges")
+    found = grouped(finer.filter("kind = 0"), ranges).applyInPandas(run, SCHEMA)
+    places = edge_rows.unionByName(finer).filter("kind = 1").unionByName(found)
+    return refined(places, ranges, PLACE, lambda *columns: _places(ranges.fine, *columns), kind=1)
+
+
+def compacted(place_rows: DataFrame, ranges: Ranges) -> DataFrame:
     """One row per document with repeats: its spans, as packed arrays."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        doc, pos, source, source_pos = gather(rows, [np.int64, np.int32, np.int64, np.int32], kind=1)
+        doc, pos, source, source_pos = gather(rows, PLACE, kind=1)
         # A place may be named by its slice and by its bucket: the smaller source holds.
         order = np.lexsort((source_pos, source, pos, doc))
         doc, pos, source, source_pos = (x[order] for x in (doc, pos, source, source_pos))
@@ -129,7 +145,7 @@ def compacted(place_rows: DataFrame) -> DataFrame:
             frame[name] = [pack(values[a:b]) for a, b in zip(cuts, ends)]
         return pd.DataFrame(frame)
 
-    return place_rows.groupBy("bucket").applyInPandas(run, SPANS)
+    return grouped(place_rows, ranges).applyInPandas(run, SPANS)
 
 
 def _digest(words: list[bytes]) -> dict[str, int]:
@@ -175,6 +191,7 @@ def _judge(
     for part, texts in slices(batches):
         needed = ["id", "refused", "asked", *(name for name, _ in SPAN)]
         columns = {name: part.column(name).to_pylist() for name in needed}
+        missing = part.column("text").is_null().to_pylist()
         out: dict[str, list] = {name: [] for name in ("n", "removed", "text", "sha", "own", "given")}
         for i, own_id in enumerate(columns["id"]):
             words = texts.text(i).split()  # bytes.split() cuts at just these six bytes
@@ -210,7 +227,8 @@ def _judge(
             left = b" ".join(w for w, g in zip(words, gone) if not g) if gone.any() else b" ".join(words)
             out["n"].append(len(words))
             out["removed"].append(int(gone.sum()))
-            out["text"].append((left if gone.any() else texts.text(i)) if keep_text else None)
+            whole = None if missing[i] else texts.text(i)
+            out["text"].append((left if gone.any() else whole) if keep_text else None)
             out["sha"].append(hashlib.sha256(left).hexdigest())
             out["own"].append(own)
             out["given"].append(given)
@@ -257,22 +275,28 @@ def _refused(judged: DataFrame, doubtful: DataFrame) -> DataFrame:
 
 
 def remove_repeats(
-    documents: DataFrame, size: int = WINDOW, keep_text: bool = False, carry: list[str] | None = None
+    documents: DataFrame,
+    size: int = WINDOW,
+    keep_text: bool = False,
+    carry: list[str] | None = None,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text, kept_sha256) of every document,
-    and its columns named in `carry`: each word goes that a window of `size` words covers which also starts in a
-    document of smaller id. kept_text is null unless asked for, and is the
-    text as it was if nothing went, else the words left, joined by one space.
+    and its columns named in `carry`: each word goes that a window of `size`
+    words covers which also starts in a document of smaller id. kept_text is
+    null unless asked for, and is the text as it was (null, too) if nothing
+    went, else the words left, joined by one space. `ranges` follow from the
+    bytes of text unless given. A task holds some tens of bytes for each byte
+    of the longest text.
 
     Null and empty texts have no words and keep none. A null id is smaller
     than all others. Rows of one id do not repeat each other; if their texts
     differ, a span holds for the rows whose words agree with it.
     """
     named = documents.select(F.col("doc_id").cast("bigint"), "text")
-    bits = bucket_bits(text_bytes(named) // BYTES_PER_EDGE)
-    targets = stored(
-        compacted(repeated_places(edges(named, bits, size), bits)), "spans"
-    ).withColumnRenamed("doc_id", "id")
+    ranges = ranges or Ranges(text_bytes(named) // BYTES_PER_EDGE)
+    places = repeated_places(edges(named, ranges, size), ranges)
+    targets = stored(compacted(places, ranges), "spans").withColumnRenamed("doc_id", "id")
     asked = _requests(targets, size)
     carry = carry or []
     keyed = documents.select(
