@@ -56,9 +56,11 @@ GRAM = 32
 RANGE_ENTRIES = 20_000
 # There are fewer than (anchors / HOT) such grams, of 8 bytes each.
 HOT = 100_000
-# Text of a slice, small enough for its arrays to stay in a processor's cache;
-# places in it fit the low bits of a hash.
+# Text of a slice, small enough for its arrays to stay in a processor's cache.
 ANCHOR_SLICE = 512 << 10
+# A slice that is longer, for a long text, is searched piece by piece, so that
+# places in a piece fit the low bits of a hash.
+PIECE = 1 << 27
 _PLACE = np.uint64((1 << 28) - 1)
 _GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -67,7 +69,7 @@ class Anchors:
     """Anchors of some texts: `at` (byte position), `row` (text), and the
     windows they stand for: those that start `low` to `high` bytes before."""
 
-    def __init__(self, texts: Texts, size: int, gram: int = GRAM):
+    def __init__(self, texts: Texts, size: int, gram: int = GRAM, piece: int = PIECE):
         n = len(texts.data)
         span = size - gram + 1  # grams in a window
         last = np.repeat(texts.offsets[1:], np.diff(texts.offsets))
@@ -75,10 +77,18 @@ class Anchors:
         self.row = self.at = self.low = self.high = self.key = np.zeros(0, np.int64)
         if not len(starts):
             return
-        hashes = _gram_hashes(texts.data, gram)
-        # The leftmost smallest hash of each window: its place is in the low bits.
-        best = _sliding_min((hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64), span)
-        best = (best[starts] & _PLACE).astype(np.int64)
+        found, keys = [], []
+        for begin in range(0, n, piece):
+            here = starts[np.searchsorted(starts, begin) : np.searchsorted(starts, begin + piece)] - begin
+            if not len(here):
+                continue
+            hashes = _gram_hashes(texts.data[begin : begin + piece + size - 1], gram)
+            # The leftmost smallest hash of each window: its place is in the low bits.
+            best = _sliding_min((hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64), span)
+            best = (best[here] & _PLACE).astype(np.int64)
+            found.append(best + begin)
+            keys.append(hashes[best])
+        best = np.concatenate(found)
         first = np.concatenate([[True], best[1:] != best[:-1]])
         head = np.flatnonzero(first)
         tail = np.append(head[1:], len(best)) - 1
@@ -86,7 +96,7 @@ class Anchors:
         self.high, self.low = self.at - starts[head], self.at - starts[tail]
         self.row = np.searchsorted(texts.offsets, self.at, side="right") - 1
         # Anchors are small hashes by choice: spread them out again.
-        self.key = mix(hashes[self.at])
+        self.key = mix(np.concatenate(keys)[head])
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
