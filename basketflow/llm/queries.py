@@ -20,11 +20,7 @@ from basketflow.llm import (
     topk,
     toxicity,
 )
-from basketflow.llm.texts import prepare
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+from basketflow.llm.texts import table
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

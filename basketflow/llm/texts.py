@@ -13,7 +13,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.session import tune
 
@@ -44,6 +44,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Files of a table for each partition of the shuffles that follow.
+FILES_PER_TASK = 16 << 20
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of `sf_dir`, in a session whose shuffles begin with partitions
+    enough for its files; Spark merges those that turn out small. Their number
+    is only raised, as a result may run after another table is read."""
+    frame = prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    size = int(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = -(-size // FILES_PER_TASK)
+    if wanted > int(spark.conf.get(PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(PARTITIONS, str(wanted))
+    return frame
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread each 64-bit value over all bits (one to one)."""
     x = x ^ (x >> np.uint64(33))
