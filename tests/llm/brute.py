@@ -222,3 +222,30 @@ def lloyd(rows, k=8, rounds=10, width=64, scale=1024):
         per[j] += distance
     digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
     return [(i, j, d, per[j], sum(per.values()), digest[j]) for i, d, j in found]
+
+
+def skip_grams(text):
+    """Words, pairs of neighbours, and pairs with one word between, each once."""
+    w = words(text, lower=True)
+    return {(x,) for x in w} | {(1, *p) for p in zip(w, w[1:])} | {(2, *p) for p in zip(w, w[2:])}
+
+
+def ftrl(samples, rates):
+    """Weights by feature, the bias under None, after FTRL-proximal steps over
+    `samples` of (features, label), one at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        l1 = 0.0 if f is None else rates.l1
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((rates.beta + math.sqrt(n[f])) / rates.alpha + rates.l2)
+
+    for features, label in samples:
+        w = {f: weight(f) for f in [*features, None]}
+        p = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values())))))
+        g = (p - label) * (rates.toxic_weight if label else 1.0)
+        for f in w:
+            z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / rates.alpha * w[f]
+            n[f] += g * g
+    return {f: weight(f) for f in list(z) if f is None or weight(f)}
