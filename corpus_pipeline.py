@@ -6,15 +6,14 @@ stage before it kept.
                   five-word shingles, linked from a similarity of 0.8 up)
 3. substrings     words of passages that stand in an earlier document go, and
                   documents left without a word
-4. decontaminate  documents that hold a benchmark item go
+4. decontaminate  documents that hold a benchmark item of eight words or more go
 5. packing        the rest, as pieces of training windows
 
 Stages 1 to 4 return the columns of `documents`; the last returns the pieces.
-Documents with an id that repeats are judged row by row. Those without id are
-kept like any other, but in stage 3 they count as one document, the first: a
-passage that only they share stays, and a null text comes out empty. Where an
-id is null or repeats, the document of a group that stays in stage 2 is the
-first by where it lies rather than by id.
+A document without id, or with one that repeats, is judged like any other, row
+by row. In stages 2 and 3 those without id come after all others, and equal
+ids go by a hash of the text: of a group of near copies the one of smallest id
+stays, and a passage stays where it stands first. A null text stays null.
 """
 
 from __future__ import annotations
@@ -25,21 +24,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import decontaminate, minhash, packing, spans, toxicity
-from basketflow.llm.texts import prepare
+from basketflow.llm.ranks import ids_are_keys, numbered
+from basketflow.llm.texts import prepare, table
 from basketflow.session import stored
 
 # Shingle sets that share so much of their union are near copies.
 NEAR_PERCENT = 80
+# A benchmark item of fewer words does not cost a document its place.
+LEAST_ITEM = 8
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that score below one half."""
-    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select(*COLUMNS), model, COLUMNS).filter("score < 0.5").select(*COLUMNS)
 
 
@@ -54,10 +52,17 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     that loses words is joined anew by single spaces; one that loses all goes.
     Texts that had no word to begin with stay as they are."""
     prepare(spark)
-    kept = spans.remove_repeats(docs.select(*COLUMNS), keep_text=True, carry=COLUMNS[2:4])
+    docs, own_id = docs.select(*COLUMNS), "doc_id"
+    carry = COLUMNS[2:4]
+    if not ids_are_keys(docs):
+        own_id = "own_id"
+        carry = [*carry, own_id]
+        docs = numbered(docs.withColumn(own_id, F.col("doc_id")), "row_number")
+        docs = docs.withColumn("doc_id", F.col("row_number"))
+    kept = spans.remove_repeats(docs, keep_text=True, carry=carry)
     left = kept.filter("n_removed = 0 OR n_removed < n_words")
     return left.select(
-        "doc_id",
+        F.col(own_id).alias("doc_id"),
         F.col("kept_text").alias("text"),
         "lang",
         "source",
@@ -66,8 +71,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents in which no benchmark item is found."""
-    benchmark = _table(spark, sf_dir, "benchmark")
+    """Keep the documents in which no benchmark item of LEAST_ITEM words and
+    more is found: a shorter one is a phrase that any text may hold."""
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    benchmark = table(spark, sf_dir, "benchmark").filter(words >= LEAST_ITEM)
     found = decontaminate.found_items(docs.select(*COLUMNS), benchmark, COLUMNS)
     return found.filter(F.size("found") == 0).select(*COLUMNS)
 
@@ -93,7 +100,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on `documents`; each stage's result is written and reread."""
-    docs = _table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
