@@ -20,9 +20,17 @@ the texts agree around their anchors, far enough to the left and to the right.
    them. So for each offset, windows are equal if they are in the same class
    on both sides, and classes are runs of the two orders.
 
-A gram with more than HOT anchors (a passage in very many documents) would
-bring too many surroundings into one range. Its windows are told apart by the
-hash of all their bytes instead, in an exchange like that of step 1.
+Entries of one task that have several owners are repeats already: the places
+they cover go straight to their documents, and the range gets the entry with
+its count alone. So a passage in very many documents reaches its range once for
+each slice of input.
+
+A gram with more than HOT anchors may bring too many different surroundings
+into one range. Its range goes by more bytes: the windows of an anchor are cut
+into blocks of BLOCK offsets, and a block goes by the hash of the bytes that
+all windows of the block hold, nearly `size` of them. Equal windows have equal
+offsets, so they meet in one range, where they are sorted and compared like all
+others.
 """
 
 from __future__ import annotations
@@ -54,8 +62,12 @@ SIZE = 400
 GRAM = 32
 # Entries of one range that are merged by one task.
 RANGE_ENTRIES = 20_000
-# There are fewer than (anchors / HOT) such grams, of 8 bytes each.
+# Anchors of a hot gram, at least. Where HOT_GRAMS grams could have as many, it
+# takes more, so that about 8 MB at most name all hot grams.
 HOT = 100_000
+HOT_GRAMS = 1 << 20
+# Offsets of a block of a hot gram's windows.
+BLOCK = 16
 # Text of a slice, small enough for its arrays to stay in a processor's cache.
 ANCHOR_SLICE = 512 << 10
 # A slice that is longer, for a long text, is searched piece by piece, so that
@@ -163,8 +175,9 @@ def _settle(doc_bits: int, hot: int):
             total = np.add.reduceat(count.astype(np.int64), head)
             found = np.flatnonzero((total[np.cumsum(first) - 1] > 1) & (count == 1))
             out += [b.to_pandas() for b in _by_document(doc_bits, doc[found], at[found], window[found])]
-            many = keys[head[total > hot]]
-            out += [b.to_pandas() for b in pieces(np.zeros(len(many), np.int64), [many], kind=2)]
+            many = total > hot
+            columns = [keys[head[many]], total[many]]
+            out += [b.to_pandas() for b in pieces(np.zeros(many.sum(), np.int64), columns, kind=2)]
         return pd.concat(out)
 
     return run
@@ -290,74 +303,100 @@ def decoded(prefixes: np.ndarray, lengths: np.ndarray, rests: bytes) -> list[byt
     return out
 
 
-_RUN_NAMES = ["bucket", "prefixes", "lengths", "rests", "lefts", "meta", "owners", "places"]
-RUNS = "bucket bigint, " + ", ".join(f"{name} binary" for name in _RUN_NAMES[1:])
-
-
-def _run_rows(batches: Iterator[pa.RecordBatch], size: int, bits: int, hot: np.ndarray, doc_bits: int):
-    """Sorted runs of the entries of a slice; windows of hot grams separately."""
+_RUN_NAMES = ["bucket", "kind", "prefixes", "lengths", "rests", "lefts", "meta", "owners", "places"]
+RUNS = "bucket bigint, kind int, " + ", ".join(f"{name} binary" for name in _RUN_NAMES[2:])
+
+
+def _blocks(text: bytes, at: int, low: int, high: int, size: int) -> Iterator[tuple[bytes, int, int]]:
+    """(key, low, high): the windows of an anchor that start `low` to `high`
+    bytes before it, by blocks of BLOCK offsets. The key is a hash of the bytes
+    that every window of the block holds, wherever the anchor's own windows end."""
+    for begin in range(low - low % BLOCK, high + 1, BLOCK):
+        core = text[at - begin : at + size - (begin + BLOCK - 1)]
+        key = hashlib.blake2b(core, digest_size=8).digest()
+        yield key, max(low, begin), min(high, begin + BLOCK - 1)
+
+
+Entries = dict[tuple[bytes, bytes, int], list[tuple[int, int]]]
+
+
+def _entries_of(part: pa.RecordBatch, texts: Texts, size: int, hot: np.ndarray) -> Entries:
+    """(key and suffix, bytes before it from the last on, low and high offset)
+    of the anchors of some texts, with the places (id, at) of each."""
+    entries: Entries = {}
+    for i, (own, at, window) in enumerate(zip(*(part.column(c).to_pylist() for c in ("id", "at", "window")))):
+        text = texts.text(i)
+        at, window = unpack(at, np.int32), unpack(window, np.uint32)
+        inside = at.astype(np.int64) + size - (window & 0xFFFF) <= len(text)
+        at, window = at[inside], window[inside]
+        if not len(at):
+            continue
+        keys = mix(_gram_hashes(np.frombuffer(text, np.uint8), GRAM)[at])
+        for a, w, key, heated in zip(at.tolist(), window.tolist(), keys.tolist(), np.isin(keys, hot).tolist()):
+            low, high = w & 0xFFFF, w >> 16
+            whole = ((key.to_bytes(8, "big"), low, high),)
+            for head, first, last in _blocks(text, a, low, high, size) if heated else whole:
+                entry = (head + text[a : a + size - first], text[a - last : a][::-1], first | last << 16)
+                entries.setdefault(entry, []).append((own, a))
+    return entries
+
+
+def _run_rows(
+    batches: Iterator[pa.RecordBatch], size: int, bits: int, hot: np.ndarray, doc_bits: int
+) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of the entries of a slice (kind 0), and what entries with
+    several owners cover, by document (kind 1, in the first columns)."""
     for part, texts in slices(batches):
-        entries: dict[tuple, list[tuple[int, int]]] = {}
-        hot_rows: list[tuple] = []
-        for i, (own, at, window) in enumerate(
-            zip(*(part.column(c).to_pylist() for c in ("id", "at", "window")))
-        ):
-            text = texts.text(i)
-            at, window = unpack(at, np.int32), unpack(window, np.uint32)
-            inside = at.astype(np.int64) + size - (window & 0xFFFF) <= len(text)
-            at, window = at[inside], window[inside]
-            if not len(at):
-                continue
-            keys = mix(_gram_hashes(np.frombuffer(text, np.uint8), GRAM)[at])
-            heated = np.isin(keys, hot)
-            if heated.any():
-                rolling = Texts(np.frombuffer(text, np.uint8), np.array([0, len(text)])).bytes_rolling()
-                for a, w in zip(at[heated].tolist(), window[heated].tolist()):
-                    starts = np.arange(a - (w >> 16), a - (w & 0xFFFF) + 1)
-                    hot_rows.append((rolling.hash(starts, starts + size), np.full(len(starts), own), starts))
-            for a, w, key in zip(at[~heated].tolist(), window[~heated].tolist(), keys[~heated].tolist()):
-                low, high = w & 0xFFFF, w >> 16
-                suffix = key.to_bytes(8, "big") + text[a : a + size - low]
-                entries.setdefault((suffix, text[a - high : a][::-1], w), []).append((own, a))
-        if hot_rows:
-            keys, doc, at = (np.concatenate(c) for c in zip(*hot_rows))
-            window = np.zeros(len(at), np.uint32)
-            for batch in _repeats(bits, doc_bits, keys, doc.astype(np.int64), at.astype(np.int32), window):
-                yield "hot", batch
+        entries = _entries_of(part, texts, size, hot)
         order = sorted(entries)
+        again = [
+            (own, a - (w >> 16), a - (w & 0xFFFF) + size)
+            for (_, _, w), places in entries.items()
+            if len(places) > 1
+            for own, a in places
+        ]
+        if again:
+            doc, begin, end = (np.array(c, np.int64) for c in zip(*again))
+            for batch in _by_document(doc_bits, doc, begin.astype(np.int32), end.astype(np.uint32)):
+                none = pa.nulls(batch.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, none, none], names=_RUN_NAMES)
+        if not order:
+            continue
         buckets = np.array([int.from_bytes(e[0][:8], "big") >> (64 - bits) for e in order], np.int64)
-        cuts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]])) if len(order) else []
+        cuts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
         rows: list[list] = []
-        for a, b in zip(cuts, np.append(cuts[1:], len(order)) if len(order) else []):
+        for a, b in zip(cuts, np.append(cuts[1:], len(order))):
             some = order[a:b]
             prefixes, lengths, rests = front_coded([e[0] for e in some])
             owners = [entries[e] for e in some]
-            places = np.array([p for o in owners for p in o], np.int64)
+            single = np.array([o[0] for o in owners if len(o) == 1], np.int64)
             rows.append(
                 [
                     int(buckets[a]),
+                    0,
                     pack(prefixes),
                     pack(lengths),
                     pack(np.frombuffer(rests, np.uint8)),
                     pack(np.frombuffer(b"".join(e[1] for e in some), np.uint8)),
                     pack(np.array([e[2] for e in some], np.uint32)),
                     pack(np.array([len(o) for o in owners], np.int32)),
-                    pack(places.ravel()),
+                    pack(single.ravel()),
                 ]
             )
-        if rows:
-            columns = [pa.array(c, pa.int64() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))]
-            yield "run", pa.RecordBatch.from_arrays(columns, names=_RUN_NAMES)
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * (len(_RUN_NAMES) - 2)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=_RUN_NAMES)
 
 
 def _merge_range(size: int, doc_bits: int):
-    """Merge the runs of a range; kind 1 rows of (document, from, to) covered."""
+    """Merge the runs of a range; kind 1 rows of (document, from, to) covered,
+    with those that tasks knew already."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        known = rows.loc[rows["kind"] == 1, _RUN_NAMES[: len(ARROW.names)]].set_axis(ARROW.names, axis=1)
         runs: list[Run] = []
         lefts: list[list[bytes]] = []
         metas, counts, places = [], [], []
-        for row in rows.itertuples(index=False):
+        for row in rows[rows["kind"] == 0].itertuples(index=False):
             prefixes, lengths = unpack(row.prefixes, np.uint16), unpack(row.lengths, np.uint16)
             strings = decoded(prefixes, lengths, unpack(row.rests, np.uint8).tobytes())
             runs.append((strings, prefixes.tolist()))
@@ -366,9 +405,11 @@ def _merge_range(size: int, doc_bits: int):
             left = unpack(row.lefts, np.uint8).tobytes()
             lefts.append([left[a:b] for a, b in zip([0, *ends], ends)])
             metas.append(meta)
-            owners, pairs = unpack(row.owners, np.int32), unpack(row.places, np.int64).reshape(-1, 2)
+            owners = unpack(row.owners, np.int32)
             counts.append(owners)
-            places.append(np.split(pairs, np.cumsum(owners)[:-1]))
+            place = np.zeros((len(owners), 2), np.int64)
+            place[owners == 1] = unpack(row.places, np.int64).reshape(-1, 2)
+            places.append(place)
         order = list(merged(runs))
         n = len(order)
         right = np.array([max(0, p - 8) for _, _, p in order], np.int64)
@@ -396,17 +437,18 @@ def _merge_range(size: int, doc_bits: int):
             _, back = np.unique(both, return_inverse=True)
             total = np.bincount(back, weights=count[here])
             flags[here[total[back] > 1], offset] = True
+        flags[count > 1] = False  # their task has told what they cover
         out: list[tuple[int, int, int]] = []
         edge = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         for i, begin in zip(*np.nonzero(edge == 1)):
             covered[i].append((int(begin), int(begin + np.flatnonzero(edge[i, begin:] == -1)[0])))
         for (r, place, _), spans in zip(order, covered):
+            doc, at = places[r][place].tolist()
             for first, end in spans:  # offsets first .. end - 1 are repeated
-                for doc, at in places[r][place].tolist():
-                    out.append((doc, at - end + 1, at - first + size))
+                out.append((doc, at - end + 1, at - first + size))
         doc, a, b = (np.array(c, np.int64) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
-        found = list(_by_document(doc_bits, doc, a.astype(np.int32), b.astype(np.uint32)))
-        return pd.concat([x.to_pandas() for x in found]) if found else pd.DataFrame({c: [] for c in ARROW.names})
+        found = _by_document(doc_bits, doc, a.astype(np.int32), b.astype(np.uint32))
+        return pd.concat([known, *(x.to_pandas() for x in found)])
 
     return run
 
@@ -464,36 +506,21 @@ def remove_repeated_bytes(
     anchors = text_bytes(named) * 2 // (size - GRAM + 1)
     bits, doc_bits = bucket_bits(anchors), bucket_bits(anchors)
     found = _anchor_rows(keyed.select("id", "text"), size, bits, doc_bits)
-    settled = found.groupBy("bucket").applyInPandas(_settle(doc_bits, hot), SCHEMA)
-    repeated = stored(settled, "repeated-anchors")
-    many = [unpack(r["c0"], np.uint64, ordered=True) for r in repeated.filter("kind = 2").select("c0").collect()]
-    many = np.concatenate(many) if many else np.zeros(0, np.uint64)
+    settle = _settle(doc_bits, max(hot, anchors // HOT_GRAMS))
+    repeated = stored(found.groupBy("bucket").applyInPandas(settle, SCHEMA), "repeated-anchors")
+    many, heated = np.zeros(0, np.uint64), 0
+    for row in repeated.filter("kind = 2").select("c0", "c1").collect():
+        many = np.append(many, unpack(row["c0"], np.uint64, ordered=True))
+        heated += int(unpack(row["c1"], np.int64).sum())
     texts = keyed.join(_documents_of(repeated, ["at", "window"], PLACE), "id")
-    range_bits = bucket_bits(anchors // 3, RANGE_ENTRIES)
+    # An anchor of a hot gram has half of all blocks, more or less.
+    entries = anchors // 3 + heated * -(-(size - GRAM + 1) // (2 * BLOCK))
+    range_bits = bucket_bits(entries, RANGE_ENTRIES)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return (b for kind, b in _run_rows(batches, size, range_bits, many, doc_bits) if kind == "run")
-
-    def hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return (b for kind, b in _run_rows(batches, size, range_bits, many, doc_bits) if kind == "hot")
+        return _run_rows(batches, size, range_bits, many, doc_bits)
 
     spans = texts.mapInArrow(runs, RUNS).groupBy("bucket").applyInPandas(_merge_range(size, doc_bits), SCHEMA)
-    if len(many):
-        windows = texts.mapInArrow(hot_windows, SCHEMA).groupBy("bucket")
-        same = _documents_of(windows.applyInPandas(_settle(doc_bits, 1 << 62), SCHEMA), ["at", "window"], PLACE)
-        spans = spans.unionByName(same.mapInArrow(lambda b: _as_spans(b, size, doc_bits), SCHEMA))
     covered = _documents_of(spans, ["begin", "end"], PLACE)
     joined = keyed.join(stored(covered, "covered"), "id", "left")
     return joined.mapInArrow(lambda batches: _cut(batches, keep_text), OUT)
-
-
-def _as_spans(batches: Iterator[pa.RecordBatch], size: int, doc_bits: int) -> Iterator[pa.RecordBatch]:
-    """Window starts as stretches of bytes."""
-    for batch in batches:
-        for own, at in zip(batch.column("id").to_pylist(), batch.column("at").to_pylist()):
-            at = np.unique(unpack(at, np.int32))
-            cuts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
-            last = at[np.append(cuts[1:], len(at)) - 1]
-            yield from _by_document(
-                doc_bits, np.full(len(cuts), own, np.int64), at[cuts], (last + size).astype(np.uint32)
-            )

@@ -110,9 +110,6 @@ class Texts:
     def text(self, i: int) -> bytes:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
-    def bytes_rolling(self) -> Rolling:
-        return Rolling(self.data, _BYTE_BASE)
-
     def words(self, lower: bool = False) -> "Words":
         return Words(self, lower)
 

@@ -91,6 +91,23 @@ def test_repeated_bytes_of_rows_that_share_an_id(spark, hot):
     assert found == sorted(brute.repeated_bytes(data, suffixes.SIZE), key=repr)
 
 
+@pytest.mark.parametrize("hot", [suffixes.HOT, 2])
+def test_hot_grams_in_many_surroundings(spark, hot):
+    """A phrase within ever other text, a passage that varies at one end, one
+    that tasks share, and texts of one letter or two."""
+    phrase, whole = passage(1, 14), passage(2, 95)
+    texts = [f"{passage(10 + i, 50)} {phrase} {passage(60 + i, 45 + i)}" for i in range(12)]
+    texts += [f"{passage(10 + i % 4, 50 + i)} {phrase} {passage(60 + i % 3, 60)}" for i in range(12)]
+    texts += [f"{passage(30 + i, 5 * i)} {whole[i:]}" for i in range(10)] + [whole] * 5
+    texts += ["a" * 399, "a" * 900, "ab" * 450, f"b{'a' * 700}", "é" * 300]
+    data = list(enumerate(texts))
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(6)
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = rows(suffixes.remove_repeated_bytes(frame, hot=hot), *names)
+    assert found == sorted(brute.repeated_bytes(data, suffixes.SIZE), key=repr)
+    assert sum(r[2] > 0 for r in found) > 20
+
+
 def test_repeated_words(documents):
     found = rows(spans.remove_repeats(documents), "doc_id", "n_words", "n_removed", "kept_sha256")
     expected = sorted(brute.repeated_words(corpus(), spans.WINDOW), key=repr)
