@@ -79,3 +79,27 @@ def test_few_candidates_give_few_rows(spark):
     assert [tuple(r) for r in topk.top_k(vectors.filter("vec_id = 0"), vectors).collect()] == [(0, 1, 1, 2048 * 1024)]
     assert topk.top_k(vectors.limit(0), vectors).count() == 0
     assert topk.top_k(vectors.filter("vec_id = 0"), vectors.filter("vec_id = 0")).count() == 0
+
+
+def test_only_the_own_row_of_a_query_is_left_out(spark, monkeypatch):
+    """Rows that share the query's id are candidates, and each row is a query."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 2)
+    data = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [3.0, -1 / 1024]), (0, [3.0, -2 / 1024]), (1, [2.0, 0.0]), (2, [2.0, 0.0])]
+    vectors = topk.quantised(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    found = topk.top_k(vectors.filter("vec_id = 0"), vectors, 3).collect()
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in data]
+    expected = []
+    for n, (q, a) in enumerate(whole):
+        if q == 0:
+            others = [row for m, row in enumerate(whole) if m != n]
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in others)[:3]
+            expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
+def test_large_components_do_not_wrap(spark):
+    """-2**57 is the highest score; the products with row 2 and 3 are below any long."""
+    data = [(0, [2.0**45, 0.25]), (1, [-4 / 1024, 0.0]), (2, [-(2.0**40), 0.0]), (3, [-(2.0**60), 1.0])]
+    vectors = topk.quantised(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    found = topk.top_k(vectors.filter("vec_id = 0"), vectors, 1).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 1, -(2**57))]
