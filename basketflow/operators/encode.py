@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,5 +56,9 @@ def product_onehot(products: DataFrame, product_features: DataFrame) -> DataFram
     encoder = OneHotEncoder(
         inputCols=[f"{name}_index" for name in ENCODED], outputCols=[f"{name}_encoded" for name in ENCODED]
     )
-    encoded = encoder.fit(indexed).transform(indexed) if not indexed.isEmpty() else indexed
+    if indexed.isEmpty():
+        none = array_to_vector(F.lit([]).cast("array<double>"))
+        encoded = indexed.withColumns({name: none for name in encoder.getOutputCols()})
+    else:
+        encoded = encoder.fit(indexed).transform(indexed)
     return product_features.join(encoded, "product_id", "left")

@@ -203,9 +203,18 @@ def _index(name: str) -> str:
   FROM (SELECT {name}, count(*) AS n FROM prior JOIN b_products USING (product_id) GROUP BY {name}))"""
 
 
+def _bits(name: str) -> str:
+    """A one-hot vector as text; the last index is all zeros."""
+    return (
+        f"CASE WHEN {name}.i < {name}.c - 1 THEN repeat('0', CAST({name}.i AS INTEGER)) || '1' || "
+        f"repeat('0', CAST({name}.c - 2 - {name}.i AS INTEGER)) ELSE repeat('0', CAST({name}.c - 1 AS INTEGER)) END"
+    )
+
+
 ONE_HOT = f"""WITH {FIXTURE}, {DIRTY}, {PLAIN_INPUT}, {FEATURES},
 {_index("aisle_id")}, {_index("department_id")}
 SELECT f.product_id, CAST(a.i AS DOUBLE) AS aisle_id_index, CAST(d.i AS DOUBLE) AS department_id_index,
+  {_bits("a")} AS aisle_id_encoded, {_bits("d")} AS department_id_encoded,
   a.c - 1 AS aisle_id_size, d.c - 1 AS department_id_size
 FROM prods f JOIN b_products p USING (product_id)
 JOIN idx_aisle_id a ON p.aisle_id = a.aisle_id JOIN idx_department_id d ON p.department_id = d.department_id"""

@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -438,9 +439,18 @@ def score_fixed_model(basket: Basket) -> DataFrame:
 
 
 def product_onehot(basket: Basket) -> DataFrame:
-    """The one-hot vectors as index and size."""
+    """The one-hot vectors, whole as text, beside their index and size."""
     encoded = encode.product_onehot(basket.products, stored(basket.product_features, "product-features"))
-    return encoded.select("product_id", *(f"{name}_{part}" for name in encode.ENCODED for part in ("index", "size")))
+
+    def vector(name: str) -> F.Column:
+        return F.array_join(vector_to_array(f"{name}_encoded").cast("array<int>"), "")
+
+    return encoded.select(
+        "product_id",
+        *(f"{name}_index" for name in encode.ENCODED),
+        *(vector(name).alias(f"{name}_encoded") for name in encode.ENCODED),
+        *(f"{name}_size" for name in encode.ENCODED),
+    )
 
 
 QUERIES: dict[str, Query] = {

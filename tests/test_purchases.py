@@ -2,12 +2,14 @@
 
 import random
 from collections import defaultdict
+from types import SimpleNamespace
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from basketflow.functions.copies import CHUNK, repeat_rows
 from basketflow.operators import encode, purchases
+from basketflow.testbed import queries
 
 PRIOR = "user_id bigint, product_id bigint, order_number bigint, add_to_cart_order bigint, reordered bigint, days_since_prior_order double, is_weekend int"
 
@@ -145,3 +147,16 @@ def test_one_hot_vectors_hold_their_index(spark, conf):
         at, vector = place[i % 7], rows[i].aisle_id_encoded
         assert (rows[i].aisle_id_index, rows[i].aisle_id_size, vector.size) == (at, 6, 6)
         assert list(vector.indices) == ([at] if at < 6 else [])
+
+
+def test_one_hot_query_holds_the_whole_vectors(spark):
+    fields = "product_id long, product_name string, aisle_id long, department_id long"
+    products = spark.createDataFrame([(i, "p", i % 3, i % 2) for i in range(6)], fields)
+    features = spark.createDataFrame([(i, 10 - i) for i in range(6)], "product_id long, prod_orders long")
+    rows = queries.product_onehot(SimpleNamespace(products=products, product_features=features)).collect()
+    # Lines sold by aisle: 0 has 17, 1 has 15, 2 has 13; by department: 0 has 24, 1 has 21.
+    found = {r.product_id: (r.aisle_id_encoded, r.aisle_id_size, r.department_id_encoded) for r in rows}
+    aisles = {0: "10", 1: "01", 2: "00"}
+    assert found == {i: (aisles[i % 3], 2, "10"[i % 2]) for i in range(6)}
+    none = SimpleNamespace(products=products, product_features=features.limit(0))
+    assert queries.product_onehot(none).collect() == []
