@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow import schemas
-from basketflow.session import once, stored
+from basketflow.session import files_size, once, size_tasks, stored
 
 # So many parts are one product, so that products come back often enough. Of N
 # products there are about sqrt(N) aisles, and so many aisles are a department.
@@ -105,7 +105,9 @@ def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> Dat
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The basket tables as Parquet, which is how the operators find them in a
-    clean zone. They are written once per application and data folder."""
+    clean zone. They are written once per application and data folder; tasks are
+    sized for them in every session that asks."""
+    size_tasks(spark, sum(files_size(_table(spark, sf_dir, name)) for name in ("orders", "part", "lineitem")))
 
     def write() -> dict[str, DataFrame]:
         numbered = stored(orders(spark, sf_dir), "orders")
