@@ -432,3 +432,23 @@ def test_command_line_has_the_stream_jobs(spark, tmp_path):
     assert readers.read_clean(spark, zones, "orders").count() == 5
     with pytest.raises(SystemExit):
         runner.main(["arrivals", "--root", str(tmp_path)])
+
+
+def test_tasks_are_sized_for_the_basket_tables(spark, conf, monkeypatch, tmp_path):
+    """Partitions grow with the files; scans and merged partitions are bounded."""
+    from basketflow import session
+    from basketflow.testbed import mapping
+
+    conf({"spark.sql.shuffle.partitions": "2", "spark.sql.files.maxPartitionBytes": "128m"})
+    conf({"spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb"})
+    monkeypatch.setattr(session, "INPUT_PER_TASK", 2000)
+    monkeypatch.setattr(mapping, "once", lambda *_: {})
+    made = []
+    for folder, rows in (("small", 1), ("large", 10_000)):
+        for table in ("orders", "part", "lineitem"):
+            spark.range(rows).write.parquet(f"{tmp_path}/{folder}/{table}.parquet")
+        mapping.tables(spark, f"{tmp_path}/{folder}")
+        made.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert made[0] <= 3 and made[1] > 15
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 16 << 20
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "10kb"
