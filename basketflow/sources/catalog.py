@@ -51,19 +51,19 @@ def analyze(spark: SparkSession, database: str) -> None:
 
 def write_result(spark: SparkSession, zones: Zones, query: str, folder: str) -> None:
     """Run a query over the curated tables, by their names, and write what it
-    returns to a folder, in the place of what is there."""
-    database = f"curated_{uuid.uuid4().hex}"
-    before, reset = spark.catalog.currentDatabase(), {
-        key: spark.conf.get(key) for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
-    }
-    register_database(spark, zones, database)
+    returns to a folder, in the place of what is there. It runs in a session of
+    its own with the same settings, where no view of the caller's stands in for
+    a table of that name."""
+    own, database = spark.newSession(), f"curated_{uuid.uuid4().hex}"
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    register_database(own, zones, database)
     try:
-        analyze(spark, database)
-        spark.catalog.setCurrentDatabase(database)
+        analyze(own, database)
+        own.catalog.setCurrentDatabase(database)
         target = folder.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"INSERT OVERWRITE DIRECTORY '{target}' USING parquet {query}")
+        own.sql(f"INSERT OVERWRITE DIRECTORY '{target}' USING parquet {query}")
     finally:
-        spark.catalog.setCurrentDatabase(before)
-        spark.sql(f"DROP DATABASE `{database}` CASCADE")
-        for key, value in reset.items():
-            spark.conf.set(key, value)
+        own.catalog.setCurrentDatabase("default")
+        own.sql(f"DROP DATABASE `{database}` CASCADE")

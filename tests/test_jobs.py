@@ -97,6 +97,23 @@ def test_catalog_views(spark, lake):
     assert spark.sql("SELECT count(*) FROM user_features").first()[0] == 2
 
 
+def test_sql_job_reads_the_tables_whatever_views_there_are(spark, lake, conf, tmp_path):
+    zones, _ = lake
+    conf({"spark.sql.session.timeZone": "Asia/Tokyo"})
+    before = {key: spark.conf.get(key) for key in ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")}
+    for name in ("user_features", "some_view"):
+        spark.range(7).createOrReplaceTempView(name)
+    try:
+        query = "SELECT count(*) AS users, current_timezone() AS zone FROM user_features"
+        catalog.write_result(spark, zones, query, str(tmp_path / "result"))
+    finally:
+        for name in ("user_features", "some_view"):
+            spark.catalog.dropTempView(name)
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "result")).collect()] == [(2, "Asia/Tokyo")]
+    assert {key: spark.conf.get(key) for key in before} == before
+    assert not [found for found in spark.catalog.listDatabases() if found.name.startswith("curated_")]
+
+
 def test_train_and_score_jobs(spark, lake, tmp_path):
     zones, _ = lake
     model = str(tmp_path / "model")
