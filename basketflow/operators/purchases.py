@@ -165,8 +165,10 @@ def lowest_occasions(per_occasion: DataFrame) -> DataFrame:
 def merge_lowest(parts: DataFrame) -> DataFrame:
     """The lowest occasions of parts of history as those of the whole. A number
     among the two lowest of all is so in each part that has it, and its lines
-    in several parts add up."""
-    return lowest_occasions(parts.groupBy(*PAIR, "order_number").agg(F.sum("lines").alias("lines")))
+    in several parts add up. A part has two rows of a pair at most, so they are
+    dealt by pair at once, and nothing that follows by pair moves them again."""
+    dealt = parts.repartition(*PAIR)
+    return lowest_occasions(dealt.groupBy(*PAIR, "order_number").agg(F.sum("lines").alias("lines")))
 
 
 def early_purchases(per_occasion: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ orders. If a clean load was rewritten or is gone, history is built anew.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,18 +78,21 @@ def _lines(zones: Zones, folder: str) -> str:
     return f"{zones.curated_table(HISTORY)}/part={folder}"
 
 
-def _sums(spark: SparkSession, zones: Zones, log: Log, kind: str) -> DataFrame:
-    return spark.read.parquet(*(f"{zones.history_log()}/{kind}/{folder}" for folder in log.folders()))
+def _merged(spark: SparkSession, zones: Zones, kind: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sums of all loads; those of a single folder are merged as they lie."""
+    folders = read_log(spark, zones).folders()
+    parts = spark.read.parquet(*(f"{zones.history_log()}/{kind}/{folder}" for folder in folders))
+    return parts if len(folders) == 1 else merge(parts)
 
 
 def totals(spark: SparkSession, zones: Zones) -> DataFrame:
     """Pair totals of all loads."""
-    return purchases.merge_totals(_sums(spark, zones, read_log(spark, zones), "totals"))
+    return _merged(spark, zones, "totals", purchases.merge_totals)
 
 
 def lowest(spark: SparkSession, zones: Zones) -> DataFrame:
     """The two lowest order numbers of each pair over all loads."""
-    return purchases.merge_lowest(_sums(spark, zones, read_log(spark, zones), "lowest"))
+    return _merged(spark, zones, "lowest", purchases.merge_lowest)
 
 
 def add_load(
@@ -130,10 +134,13 @@ def fold(spark: SparkSession, zones: Zones) -> None:
 
 
 def write_features(spark: SparkSession, zones: Zones) -> None:
-    """The three feature tables from the sums of all loads."""
+    """The three feature tables from the sums of all loads. The totals are read
+    for each of them, the lowest occasions once."""
     with scratch_scope(spark):
-        pairs = stored(totals(spark, zones), "pair-totals")
-        write_feature_tables(zones, pairs, stored(lowest(spark, zones), "lowest-occasions"))
+        pairs = totals(spark, zones)
+        if len(read_log(spark, zones).folders()) > 1:
+            pairs = stored(pairs, "pair-totals")
+        write_feature_tables(zones, pairs, lowest(spark, zones))
 
 
 def add_history(spark: SparkSession, zones: Zones, lines: DataFrame, orders: DataFrame, load: int) -> bool:

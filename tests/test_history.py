@@ -52,6 +52,16 @@ def test_two_lowest_numbers_merge(spark):
     assert sorted(map(tuple, merged.collect())) == [(1, 1, 1, 3), (1, 1, 2, 4), (2, 1, 4, 3), (3, 1, 7, 1)]
 
 
+def test_sums_of_a_single_folder_are_not_merged_again(spark, zones, batch):
+    add(spark, zones, batch, 0)
+    for sums in (history.totals, history.lowest):
+        plan = sums(spark, zones)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    add(spark, zones, batch, 1)
+    for sums in (history.totals, history.lowest):
+        assert "Exchange" in sums(spark, zones)._jdf.queryExecution().executedPlan().toString()
+
+
 def add(spark, zones, batch, load):
     lines, orders = parts(spark, batch)[load]
     return history.add_load(spark, zones, purchases.prior_lines(lines, orders), load)

@@ -1,5 +1,6 @@
 """The shape of the plans: what is pushed down, shuffled, and split."""
 
+import os
 import re
 
 import pytest
@@ -80,6 +81,24 @@ def test_a_split_is_filtered_in_the_scan_and_not_rebalanced(spark):
         assert "16384" in line.split("Filter")[1][:400]
 
 
+def test_merged_lowest_orders_are_shuffled_once(occasions):
+    lowest = purchases.merge_lowest(purchases.lowest_occasions(occasions).localCheckpoint())
+    assert shuffles(final_plan(purchases.early_purchases(lowest))) == ["product_id", "user_id, product_id"]
+
+
+def test_sized_tasks_join_by_hash_and_write_less(spark, conf, tmp_path):
+    from basketflow import session
+
+    before = dict(zip(session.SIZED, ("0", "snappy")))
+    conf({**NO_BROADCAST, **before})
+    a, b = (stored(spark.range(size).repartition(4), f"side-{size}") for size in (1000, 2000))
+    with session.sized_shuffles(spark, str(tmp_path)):
+        assert "ShuffledHashJoin" in final_plan(a.join(b, "id"))
+        a.write.parquet(f"{tmp_path}/written")
+        assert all(".zstd." in name for name in os.listdir(f"{tmp_path}/written") if name.startswith("part-"))
+    assert {key: spark.conf.get(key) for key in before} == before
+
+
 def test_early_purchases_limit_before_the_shuffle(occasions):
     plan = final_plan(purchases.early_purchases(occasions))
     assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
