@@ -186,6 +186,26 @@ def test_compact_labels_still_split_a_hot_order(spark, conf):
     assert compact.selectExpr("sum(copies)").first()[0] == mlset.labels(mlset.target_orders(orders), lines).count()
 
 
+def test_mapping_marks_reordered_lines_in_one_shuffle_of_them(spark, conf, tmp_path):
+    conf(NO_BROADCAST)
+    lines = [(order, part, order % 4 + 1) for order in range(60) for part in (order % 3 * 20, 40, None)]
+    schema = "l_orderkey long, l_partkey long, l_linenumber int"
+    spark.createDataFrame(lines * 2, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(order, order % 7, order // 14 + 1) for order in range(55)]
+    numbered = stored(spark.createDataFrame(orders, "order_id long, user_id long, order_number long"), "numbered")
+    frame = mapping.order_products(spark, str(tmp_path), numbered)
+    assert shuffles(final_plan(frame)).count("user_id, product_id") == 1
+
+    bought = {(order, part // 20, at) for order, part, at in lines if part is not None and order < 55}
+    user, number = ({row[0]: row[at] for row in orders} for at in (1, 2))
+    expected = []
+    for order, product, at in bought:
+        first = min(number[o] for o, p, _ in bought if p == product and user[o] == user[order])
+        copies = 2 if (order + product) % mapping.LISTED_TWICE == 0 else 1
+        expected += [(order, product, at, int(first < number[order]))] * copies
+    assert sorted(map(tuple, frame.collect())) == sorted(expected)
+
+
 def test_mapping_numbers_orders_like_one_window_per_user(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
