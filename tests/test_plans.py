@@ -5,6 +5,7 @@ import re
 
 import pytest
 from conftest import SMALL, final_plan
+from pyspark.sql import functions as F
 
 from basketflow import schemas
 from basketflow.operators import mlset, orphans, purchases, serve
@@ -99,6 +100,17 @@ def test_sized_tasks_join_by_hash_and_write_less(spark, conf, tmp_path):
     assert {key: spark.conf.get(key) for key in before} == before
 
 
+def test_a_side_that_is_large_in_memory_is_not_joined_by_hash(spark, conf, tmp_path):
+    """Two partitions of some 25 MB each, more than is merged for a task."""
+    from basketflow import session
+
+    conf({**NO_BROADCAST, "spark.sql.shuffle.partitions": "2"})
+    wide = (spark.range(2_400_000).select(F.xxhash64("id").alias("id"), F.hash("id").alias(f"n{n}")) for n in (1, 2))
+    a, b = (stored(side, "wide") for side in wide)
+    with session.sized_shuffles(spark, str(tmp_path)):
+        assert "ShuffledHashJoin" not in final_plan(a.join(b, "id").agg(F.sum("n1"), F.sum("n2")))
+
+
 def test_early_purchases_limit_before_the_shuffle(occasions):
     plan = final_plan(purchases.early_purchases(occasions))
     assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
