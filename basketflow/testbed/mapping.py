@@ -85,15 +85,20 @@ def departments(named: DataFrame) -> DataFrame:
 
 
 def order_products(spark: SparkSession, sf_dir: str, numbered: DataFrame) -> DataFrame:
-    """Lines of the mapped orders, `numbered`. Their join is a merge, as lines in
-    the order of their orders take less room in all that follows. Lines of a user
+    """Lines of the mapped orders, `numbered`. They are dealt by order once, for
+    their grouping and the join, which is a merge, as lines in the order of
+    their orders take less room in all that follows. Lines of a user
     and product are no more than the user's orders, so the earliest of them is
     found where they lie side by side, and the lines move once for it."""
     lines = (
         _table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("order_id"), F.expr(f"l_partkey DIV {PARTS}").alias("product_id"))
+        .select(
+            F.col("l_orderkey").alias("order_id"), F.expr(f"l_partkey DIV {PARTS}").alias("product_id"), "l_linenumber"
+        )
+        .filter("order_id IS NOT NULL AND product_id IS NOT NULL")
+        .repartition("order_id")
+        .groupBy("order_id", "product_id")
         .agg(F.min("l_linenumber").cast("bigint").alias("add_to_cart_order"))
-        .filter(F.col("product_id").isNotNull())
         .join(numbered.select("order_id", "user_id", "order_number").hint("merge"), "order_id")
     )
     first = F.min("order_number").over(Window.partitionBy("user_id", "product_id"))

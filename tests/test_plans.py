@@ -111,6 +111,28 @@ def test_a_side_that_is_large_in_memory_is_not_joined_by_hash(spark, conf, tmp_p
         assert "ShuffledHashJoin" not in final_plan(a.join(b, "id").agg(F.sum("n1"), F.sum("n2")))
 
 
+def test_lines_are_dealt_by_order_once(spark, basket):
+    frame = mapping.order_products(spark, SMALL, basket.tables["orders"])
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", re.sub(r"#\d+L?", "", final_plan(frame)))
+    assert sorted(set(dealt)) == ["order_id", "user_id, product_id"]
+
+
+def test_targets_filter_lines_of_some_size_before_the_shuffle(spark, conf):
+    """Lines of 64 MB and more are filtered without any setting."""
+    conf(NO_BROADCAST)
+    ids = F.xxhash64("id")
+    lines = spark.range(9_000_000).select(ids.alias("order_id"), "id")
+    lines = stored(lines.withColumns({"product_id": F.col("id"), "reordered": F.lit(0)}).drop("id"), "many-lines")
+    orders = spark.range(1000).select(
+        ids.alias("order_id"),
+        F.col("id").alias("user_id"),
+        F.when(F.col("id") < 10, "train").otherwise("prior").alias("eval_set"),
+    )
+    labels = mlset.labels(mlset.target_orders(mlset.split(stored(orders, "few-orders"), "train")), lines)
+    assert "might_contain" in labels._jdf.queryExecution().optimizedPlan().toString()
+    assert labels.count() == 10
+
+
 def test_early_purchases_limit_before_the_shuffle(occasions):
     plan = final_plan(purchases.early_purchases(occasions))
     assert len(re.findall(r"WindowGroupLimit .* Partial", plan)) == 1
