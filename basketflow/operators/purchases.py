@@ -10,13 +10,14 @@ Fixed values: the column names of the three feature tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.functions.copies import repeat_rows
 from basketflow.functions.ratios import count_if, ratio, ratio2
 
 PAIR = ["user_id", "product_id"]
+ONLY = "only"
 SLICE = 1 << 20
 
 
@@ -48,6 +49,27 @@ def occasions(prior: DataFrame) -> DataFrame:
     )
 
 
+def each_line(prior: DataFrame) -> DataFrame:
+    """Every line as an occasion of its own, for sums that need no others."""
+
+    def known(name: str) -> Column:
+        return F.col(name).isNotNull().cast("bigint")
+
+    return prior.select(
+        *PAIR,
+        "order_number",
+        F.lit(1).cast("bigint").alias("lines"),
+        F.col("reordered").alias("reorders"),
+        known("reordered").alias("reordered_known"),
+        F.coalesce(F.col("reordered") == 1, F.lit(False)).cast("bigint").alias("reordered_lines"),
+        F.col("add_to_cart_order").alias("cart_sum"),
+        known("add_to_cart_order").alias("cart_known"),
+        F.col("days_since_prior_order").alias("gap_sum"),
+        known("days_since_prior_order").alias("gap_known"),
+        F.col("is_weekend").alias("weekend_lines"),
+    )
+
+
 def pair_totals(per_occasion: DataFrame) -> DataFrame:
     """Sums per (user, product) from which every average can be rebuilt."""
     later = F.sum(F.when(F.col("order_number") > 1, F.col("lines")).otherwise(0))
@@ -156,10 +178,30 @@ def _placed(per_occasion: DataFrame) -> DataFrame:
     return per_occasion.withColumn("place", F.row_number().over(by_order)).filter("place <= 2")
 
 
+def several_orders(pairs: DataFrame) -> DataFrame:
+    """(user, product) of the pairs with more than one order number."""
+    return pairs.filter("first_order < last_order").select(PAIR)
+
+
+def occasions_with_only(prior: DataFrame, pairs: DataFrame, several: DataFrame) -> DataFrame:
+    """The lines per occasion; those of pairs with one order number follow from
+    the totals and are marked as the `only` ones of their pair. Lines have
+    users, products and order numbers, none of them null."""
+    single = pairs.filter("first_order = last_order")
+    single = single.select(*PAIR, F.col("first_order").alias("order_number"), "lines", F.lit(True).alias(ONLY))
+    others = occasions(prior.join(several, PAIR, "left_semi")).select(*PAIR, "order_number", "lines")
+    return single.unionByName(others.withColumn(ONLY, F.lit(False)))
+
+
 def lowest_occasions(per_occasion: DataFrame) -> DataFrame:
     """(user, product, order number, lines) of the two lowest order numbers of
-    each pair: all that early purchases follow from."""
-    return _placed(per_occasion).select(*PAIR, "order_number", "lines")
+    each pair: all that early purchases follow from. Occasions marked as the
+    `only` ones of their pair need no place."""
+    columns = [*PAIR, "order_number", "lines"]
+    if ONLY not in per_occasion.columns:
+        return _placed(per_occasion).select(columns)
+    placed = _placed(per_occasion.filter(~F.col(ONLY)))
+    return placed.select(columns).unionByName(per_occasion.filter(ONLY).select(columns))
 
 
 def merge_lowest(parts: DataFrame) -> DataFrame:
@@ -189,7 +231,23 @@ def early_purchases(per_occasion: DataFrame) -> DataFrame:
     )
 
 
+def early_with_single(pairs: DataFrame, several: DataFrame) -> DataFrame:
+    """As `early_purchases`, from the lowest occasions of `several_orders` alone:
+    the lines of all other pairs are first purchases and nobody's second. Pairs
+    and order numbers are not null."""
+    once = pairs.filter("first_order = last_order").select(
+        "product_id", F.col("lines").alias("prod_first_orders"), F.lit(0).cast("bigint").alias("prod_second_orders")
+    )
+    both = once.unionByName(early_purchases(several)).groupBy("product_id")
+    return both.agg(*(F.sum(name).alias(name) for name in ("prod_first_orders", "prod_second_orders")))
+
+
 def product_features(pairs: DataFrame, per_occasion: DataFrame) -> DataFrame:
+    return product_features_with(pairs, early_purchases(per_occasion))
+
+
+def product_features_with(pairs: DataFrame, early: DataFrame) -> DataFrame:
+    """The features from pair totals and `early_purchases`."""
     totals = pairs.groupBy("product_id").agg(
         F.sum("lines").alias("prod_orders"),
         F.sum("reorders").alias("prod_reorders"),
@@ -197,7 +255,7 @@ def product_features(pairs: DataFrame, per_occasion: DataFrame) -> DataFrame:
         F.sum("cart_sum").alias("cart_sum"),
         F.sum("cart_known").alias("cart_known"),
     )
-    return totals.join(early_purchases(per_occasion), "product_id").select(
+    return totals.join(early, "product_id").select(
         "product_id",
         "prod_orders",
         "prod_reorders",

@@ -32,14 +32,14 @@ def write_features(spark: SparkSession, zones: Zones) -> None:
     writers.write_curated(purchases.pair_totals(occasions), zones, TOTALS)
 
     pairs = readers.read_curated(spark, zones, TOTALS)
-    write_feature_tables(zones, pairs, occasions)
+    write_feature_tables(zones, pairs, purchases.early_purchases(occasions))
 
 
-def write_feature_tables(zones: Zones, pairs: DataFrame, per_occasion: DataFrame) -> None:
-    """From stored pair totals and occasions, of which the lowest are enough."""
+def write_feature_tables(zones: Zones, pairs: DataFrame, early: DataFrame) -> None:
+    """From stored pair totals and the early purchases per product."""
     writers.write_curated(purchases.user_product_features(pairs), zones, "up_features")
     writers.write_curated(purchases.user_features(pairs), zones, "user_features", sort_by="user_id")
-    writers.write_curated(purchases.product_features(pairs, per_occasion), zones, "product_features")
+    writers.write_curated(purchases.product_features_with(pairs, early), zones, "product_features")
 
 
 def write_ml_dataset(spark: SparkSession, zones: Zones) -> None:

@@ -26,6 +26,7 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from basketflow.operators import purchases
+from basketflow.operators.purchases import PAIR
 from basketflow.plans.curation import HISTORY, write_feature_tables, write_ml_dataset
 from basketflow.session import scratch_scope, sized_shuffles, stored, tune
 from basketflow.sources import files, readers, versions
@@ -78,11 +79,15 @@ def _lines(zones: Zones, folder: str) -> str:
     return f"{zones.curated_table(HISTORY)}/part={folder}"
 
 
+def _parts(spark: SparkSession, zones: Zones, kind: str) -> DataFrame:
+    folders = read_log(spark, zones).folders()
+    return spark.read.parquet(*(f"{zones.history_log()}/{kind}/{folder}" for folder in folders))
+
+
 def _merged(spark: SparkSession, zones: Zones, kind: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Sums of all loads; those of a single folder are merged as they lie."""
-    folders = read_log(spark, zones).folders()
-    parts = spark.read.parquet(*(f"{zones.history_log()}/{kind}/{folder}" for folder in folders))
-    return parts if len(folders) == 1 else merge(parts)
+    parts = _parts(spark, zones, kind)
+    return parts if len(read_log(spark, zones).folders()) == 1 else merge(parts)
 
 
 def totals(spark: SparkSession, zones: Zones) -> DataFrame:
@@ -95,6 +100,20 @@ def lowest(spark: SparkSession, zones: Zones) -> DataFrame:
     return _merged(spark, zones, "lowest", purchases.merge_lowest)
 
 
+def _unknown(rows: DataFrame) -> bool:
+    """Whether a key or an order number is null, as in no clean table. Files
+    whose statistics count no nulls are not read for it."""
+    return not rows.filter(" OR ".join(f"{name} IS NULL" for name in [*PAIR, "order_number"])).isEmpty()
+
+
+def _occasions(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """What the lowest order numbers of a load follow from. Only pairs with
+    several are ranked, so these are stored, for Spark to see how many they are."""
+    if _unknown(lines):
+        return purchases.occasions(lines).select(*PAIR, "order_number", "lines")
+    return purchases.occasions_with_only(lines, pairs, stored(purchases.several_orders(pairs), "several-orders"))
+
+
 def add_load(
     spark: SparkSession,
     zones: Zones,
@@ -113,9 +132,12 @@ def add_load(
         return False
     prior.write.parquet(_lines(zones, folder))
     with scratch_scope(spark):
-        per_occasion = stored(purchases.occasions(spark.read.parquet(_lines(zones, folder))), "occasions")
-        for kind, sums in zip(SUMS, (purchases.pair_totals, purchases.lowest_occasions)):
-            sums(per_occasion).write.parquet(f"{zones.history_log()}/{kind}/{folder}")
+        lines = spark.read.parquet(_lines(zones, folder))
+        # Totals are sums of lines, and need no occasions.
+        sums = {kind: f"{zones.history_log()}/{kind}/{folder}" for kind in SUMS}
+        purchases.pair_totals(purchases.each_line(lines)).write.parquet(sums["totals"])
+        per_occasion = _occasions(lines, spark.read.parquet(sums["totals"]))
+        purchases.lowest_occasions(per_occasion).write.parquet(sums["lowest"])
     new = replace(
         kept, lines={**kept.lines, key: folder}, sums={**kept.sums, key: folder}, taken=taken or kept.taken, written={}
     )
@@ -133,14 +155,26 @@ def fold(spark: SparkSession, zones: Zones) -> None:
     _commit(spark, zones, replace(log, sums={}, base=folder))
 
 
+def early_purchases(spark: SparkSession, zones: Zones, pairs: DataFrame) -> DataFrame:
+    """Early purchases of all loads, of which `pairs` are the stored totals.
+    Pairs with one order number are counted from there; the lowest occasions of
+    the others are merged."""
+    parts = _parts(spark, zones, "lowest")
+    if _unknown(parts):
+        return purchases.early_purchases(lowest(spark, zones))
+    several = stored(purchases.several_orders(pairs), "several-orders")
+    lowest_of_several = purchases.merge_lowest(parts.join(several, PAIR, "left_semi"))
+    return purchases.early_with_single(pairs, lowest_of_several)
+
+
 def write_features(spark: SparkSession, zones: Zones) -> None:
     """The three feature tables from the sums of all loads. The totals are read
-    for each of them, the lowest occasions once."""
+    for each of them; of the lowest occasions, those of pairs with several."""
     with scratch_scope(spark):
         pairs = totals(spark, zones)
         if len(read_log(spark, zones).folders()) > 1:
             pairs = stored(pairs, "pair-totals")
-        write_feature_tables(zones, pairs, lowest(spark, zones))
+        write_feature_tables(zones, pairs, early_purchases(spark, zones, pairs))
 
 
 def add_history(spark: SparkSession, zones: Zones, lines: DataFrame, orders: DataFrame, load: int) -> bool:

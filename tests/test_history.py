@@ -181,3 +181,55 @@ def test_rewritten_loads_renamed_products_and_batches(spark, tmp_path, zones, ba
     curation.curate_all(spark, zones)
     assert [rows(spark, zones, table) for table in CURATED] == by_log
     assert history.read_log(spark, zones) == history.Log()
+
+
+NUMBERS = [
+    # user, product, order number, reordered: pairs of one order number, of two, of three, and with a number twice
+    (1, 10, 1, 0), (1, 10, 2, 1), (1, 20, 2, 0), (1, 20, 2, 0), (2, 10, 3, 0), (2, 10, 1, 0), (2, 10, 2, 1),
+    (2, 30, 1, None), (3, 20, 1, 0), (3, 20, 1, 1), (3, 20, 4, 1), (4, 30, 5, 0), (4, 30, 6, 1), (4, 30, 6, None),
+]
+
+
+def numbered(spark, some):
+    rows = [(i, user, product, number, again, i % 3 or None, float(i % 2) or None, i % 2) for i, user, product, number, again in some]
+    fields = (
+        "order_id long, user_id long, product_id long, order_number long, reordered long, "
+        "add_to_cart_order long, days_since_prior_order double, is_weekend int"
+    )
+    return spark.createDataFrame(rows, fields)
+
+
+@pytest.mark.parametrize("unknown", [[], [(5, 10, None, 1), (5, 10, 1, 0), (None, 10, 1, 0), (None, 10, 2, 1), (6, None, 1, 0)]])
+def test_features_of_loads_are_those_of_all_lines(spark, zones, unknown):
+    """Pairs with one order number in a load, or in all, and with null keys."""
+    all_lines = [(i, *row) for i, row in enumerate([*NUMBERS, *unknown])]
+    for load in range(3):
+        history.add_load(spark, zones, numbered(spark, [row for row in all_lines if row[0] % 3 == load]), load)
+    history.write_features(spark, zones)
+    per_occasion = purchases.occasions(numbered(spark, all_lines))
+    pairs = purchases.pair_totals(per_occasion)
+    whole = {
+        "user_features": purchases.user_features(pairs),
+        "up_features": purchases.user_product_features(pairs),
+        "product_features": purchases.product_features(pairs, per_occasion),
+    }
+    for table, frame in whole.items():
+        expected = sorted((tuple(r) for r in frame.select(sorted(frame.columns)).collect()), key=repr)
+        assert rows(spark, zones, table) == expected
+
+
+def test_pairs_of_one_order_number_are_not_ranked(spark, zones, monkeypatch):
+    """Of two loads, only the pairs that have several numbers in all are merged."""
+    ranked = []
+    merge = purchases.merge_lowest
+
+    def seen(parts):
+        ranked.extend(sorted((r.user_id, r.product_id) for r in parts.collect()))
+        return merge(parts)
+
+    lines = [(0, 1, 10, 1, 0), (1, 1, 20, 1, 0), (2, 2, 10, 1, 0)], [(3, 1, 10, 2, 1), (4, 3, 10, 1, 0)]
+    for load, some in enumerate(lines):
+        history.add_load(spark, zones, numbered(spark, some), load)
+    monkeypatch.setattr(purchases, "merge_lowest", seen)
+    history.write_features(spark, zones)
+    assert ranked == [(1, 10), (1, 10)]
